@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions.text import isbn_digits, present, read_year
-from dossierlake.llm import canonical, splits
+from dossierlake.llm import bpe, canonical, overlap, splits
 from dossierlake.session import cut_lineage, table
 
 
@@ -51,6 +51,18 @@ def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_report(splits.assign_splits(later, known=before, merges=merges))
 
 
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = overlap.cross_split_pairs(table(spark, d, "training"), table(spark, d, "testing"), "row_id", "staff", isbn_digits(F.col("print_isbn")))
+    return pairs.select(F.col("train_id").alias("train_row_id"), F.col("test_id").alias("test_row_id"))
+
+
+def p3_report(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs, and rows of testing that overlap with training, by split and label source."""
+    rows = table(spark, d, "testing").select(F.col("row_id").alias("test_row_id"), "split", "label_source")
+    per_row = p3_found(spark, d).groupBy("test_row_id").agg(F.count("*").alias("n_pairs"))
+    return rows.join(per_row, "test_row_id", "left").groupBy("split", "label_source").agg(F.count("*").alias("n_rows"), F.count("n_pairs").alias("n_overlapping"), F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n_pairs"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     trie = country_trie(spark, d)
     df = table(spark, d, "df").select("row_id", F.col("country").alias("name"))
@@ -67,5 +79,9 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return found.where("ref_id = 0").join(df, F.col("id") == F.col("row_id")).groupBy("country").agg(F.count("*").alias("n"))
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encode(table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and k != "p1_components"}
