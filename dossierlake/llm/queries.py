@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions.text import isbn_digits, present, read_year
-from dossierlake.llm import bpe, canonical, overlap, splits
+from dossierlake.llm import bpe, canonical, overlap, pieces, private, quota, splits
 from dossierlake.session import cut_lineage, table
 
 
@@ -79,9 +79,68 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     return found.where("ref_id = 0").join(df, F.col("id") == F.col("row_id")).groupBy("country").agg(F.count("*").alias("n"))
 
 
+def document_pieces(spark: SparkSession, d: str) -> DataFrame:
+    both = pieces.sides(table(spark, d, "df_documents"), "row_id", ["staff", "buff"])
+    return pieces.cut_texts(both, ["row_id", "side"], "text")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return document_pieces(spark, d).where("piece_no = 1").select("row_id", "side")
+
+
+def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return document_pieces(spark, d)
+
+
+#: Spellings of the groups of countries, without case, blanks and punctuation.
+GROUPS = {
+    "AEs": ("ae", "aes", "advanced", "advancedeconomy", "advancedeconomies"),
+    "EMDEs": ("emde", "emdes", "emsdes", "emdevelopingeconomies", "emergingdeveloping", "emerginganddeveloping", "emergingmarkets", "emergingmarketanddevelopingeconomies", "emsanddes"),
+    "LICs": ("lic", "lics", "lc", "lcs", "lowincome", "lowincomecountry", "lowincomecountries"),
+}
+
+
+def usable_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of df with a readable group and year."""
+    key = F.regexp_replace(F.lower("classification"), r"[^\p{L}]+", "")
+    spelled = F.create_map(*(F.lit(x) for group, forms in GROUPS.items() for form in forms for x in (form, group)))
+    df = table(spark, d, "df").withColumns({"classification": F.try_element_at(spelled, key), "year": read_year(F.col("year"))})
+    return df.where("classification is not null and year is not null")
+
+
+def p7_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Rows there are, are needed and are taken by group and year, and whether the target is met."""
+    return quota.plan(usable_rows(spark, d), ["classification", "year"], table(spark, d, "sample_targets"), "target_permille", "min_rows")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return p7_plan(spark, d).where("met = false").select("classification", "year")
+
+
+def p7_sample(spark: SparkSession, d: str) -> DataFrame:
+    """The sample itself."""
+    usable = usable_rows(spark, d)
+    planned = quota.plan(usable, ["classification", "year"], table(spark, d, "sample_targets"), "target_permille", "min_rows")
+    return quota.draw(usable, ["classification", "year"], planned, "row_id")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
 
 
+def mentions(spark: SparkSession, d: str) -> DataFrame:
+    names = private.given_names(table(spark, d, "given_names"), "given_name")
+    return private.find_private(table(spark, d, "documents"), "doc_id", "text", names)
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return mentions(spark, d).select(F.col("id").alias("doc_id"), "kind", F.col("begin_at").alias("start_at"))
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    """The texts with placeholders."""
+    return private.redact(table(spark, d, "documents"), "doc_id", "text", mentions(spark, d)).select(F.col("id").alias("doc_id"), "text")
+
+
 def queries() -> dict:
-    return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and k != "p1_components"}
+    return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and k != "p1_components" and callable(f)}
