@@ -183,8 +183,9 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
     found: dict[int, Candidate] = {}
     ends: list[tuple[int, int]] = []
 
-    def add(begin: int, end: int, given: str, family: str, form: str) -> None:
-        before, after = t[max(0, begin - 30) : begin], t[end : end + 40]
+    def add(begin: int, end: int, given: str, family: str, form: str, head: int | None = None) -> None:
+        behind = begin if head is None else head  # a title belongs to the mention's surroundings
+        before, after = t[max(0, behind - 30) : behind], t[end : end + 40]
         g = given.casefold().strip(" .")
         words = f"{given} {family}"
         found[begin] = Candidate("name", begin, end, _vote(
@@ -193,7 +194,7 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
             1 if STRONG.search(before) else 0,
             1 if WEAK.search(before) else 0,
             1 if BEHIND.match(after) else 0,
-            1 if form in ("initial", "middle") else 0,
+            1 if form in ("initial", "middle", "titled") else 0,
             -1 if _institution(words) else 0,
             1 if form == "reversed" else -1 if after[:1] == ":" else 0,
         ), given, family)
@@ -207,7 +208,7 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
 
     for m in TITLED.finditer(t):
         if not _institution(m["family"].split()[-1]):
-            add(m.start("name"), m.end("name"), t[m.start("name") : m.start("family")].strip(), m["family"], "titled")
+            add(m.start("name"), m.end("name"), t[m.start("name") : m.start("family")].strip(), m["family"], "titled", m.start())
     for m in REVERSED.finditer(t):
         if NAMED.search(t[max(0, m.start() - 10) : m.start()]) and free(m.start(), m.end()):
             add(m.start(), m.end(), m["given"], m["family"], "reversed")
