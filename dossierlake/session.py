@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,6 +55,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def write_shared(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder, read back: columnar and compressed, unlike a checkpoint."""
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def task_slots(spark: SparkSession) -> int:
     """Partitions to use for work that is heavy in CPU but small in bytes, where AQE would coalesce too far."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
