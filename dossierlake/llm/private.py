@@ -9,7 +9,6 @@ on those likelihoods, on a bounded sample of candidates (TRAIN_ROWS), and decide
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -18,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dossierlake.llm import spans
-from dossierlake.session import shared_dir
+from dossierlake.session import write_shared
 
 TRAIN_ROWS = 40_000
 CELLS = 1 << 16
@@ -45,13 +44,6 @@ def given_names(df: DataFrame, column: str, most: int = MAX_NAMES) -> frozenset[
     return frozenset(r[0].casefold() for r in rows if r[0])
 
 
-def write_shared(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, read back: compressed, unlike a checkpoint."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def find_candidates(df: DataFrame, id_col: str, text: str, names: frozenset[str]) -> DataFrame:
     """(id, text_hash, kind, begin_at, end_at, votes, first, second, cells): every candidate of every text; begin_at from 1."""
     shared = df.sparkSession.sparkContext.broadcast(names)
