@@ -18,12 +18,14 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from dossierlake.session import cut_lineage, task_slots
+from dossierlake.session import task_slots, write_shared
 
-GRAM, WINDOW, EDITS, LEAST_WORDS = 4, 2, 8, 12
+GRAM, WINDOW, EDITS, LEAST_WORDS, CHAIN = 4, 2, 8, 12, 3
 RUN = GRAM + WINDOW - 1
 SKETCH = 1 << 17
 SHIFT_CELL = 32
+#: An index of lookups of up to this many bytes is broadcast; beyond it, seeds are shuffled to it.
+BROADCAST_BYTES, LOOKUP_BYTES = 32 << 20, 56
 
 
 def normal_words(text: Column) -> Column:
@@ -33,11 +35,13 @@ def normal_words(text: Column) -> Column:
 
 
 def classes(df: DataFrame, id_col: str, text: str, least_words: int = LEAST_WORDS) -> tuple[DataFrame, DataFrame]:
-    """(members, texts): members (id, cls) of the texts long enough; texts (cls, words, n), one row for equal texts. cls is a hash of 128 bits."""
-    words = df.select(F.col(id_col).alias("id"), normal_words(F.col(text)).alias("words")).where(F.size("words") >= least_words)
+    """(members, texts): members (id, cls) of the texts long enough; texts (cls, words, n), one row for equal texts. cls is the least id with the text."""
+    words = df.select(F.col(id_col).cast("long").alias("id"), normal_words(F.col(text)).alias("words")).where(F.size("words") >= least_words)
     joined = F.array_join("words", " ")
-    rows = words.select("id", F.concat_ws("-", F.hex(F.xxhash64(joined)), F.hex(F.xxhash64(F.reverse(joined), F.lit(1)))).alias("cls"), "words")
-    return rows.select("id", "cls"), rows.groupBy("cls").agg(F.first("words").alias("words")).withColumn("n", F.size("words"))
+    rows = words.select("id", F.xxhash64(joined).alias("h1"), F.xxhash64(F.reverse(joined), F.lit(1)).alias("h2"), "words")
+    texts = write_shared(rows.groupBy("h1", "h2").agg(F.min("id").alias("cls"), F.first("words").alias("words")).withColumn("n", F.size("words")))
+    members = write_shared(rows.select("id", "h1", "h2").join(texts.select("h1", "h2", "cls"), ["h1", "h2"]).select("id", "cls"))
+    return members, texts.select("cls", "words", "n", "h1", "h2")
 
 
 def grams(words: Column) -> Column:
@@ -62,10 +66,10 @@ def winnow(g: Column, sketch: Column) -> Column:
 
 
 def lookup_seeds(g: Column, sketch: Column, n: Column) -> Column:
-    """The seeds of the n / 7 + 1 disjoint runs that are rarest."""
+    """The seeds of the n / 7 + CHAIN disjoint runs that are rarest."""
     ranked = F.transform(g, lambda h, i: F.struct(F.get(sketch, F.pmod(h, F.lit(SKETCH)).cast("int")).alias("level"), h.alias("h"), (i + 1).alias("at")))
     runs = lambda a: F.transform(F.sequence(F.lit(0), F.floor(n / RUN).cast("int") - 1), lambda i: F.array_min(F.slice(a, i * RUN + 1, F.lit(WINDOW))))
-    return F.slice(F.array_sort(F.get(F.transform(F.array(ranked), runs), F.lit(0))), F.lit(1), F.floor(n / (EDITS - 1)).cast("int") + 1)
+    return F.slice(F.array_sort(F.get(F.transform(F.array(ranked), runs), F.lit(0))), F.lit(1), F.floor(n / (EDITS - 1)).cast("int") + CHAIN)
 
 
 def edit_distance(a: list[str], b: list[str], most: int) -> int:
@@ -97,23 +101,28 @@ def allowed_edits(longer: Column) -> Column:
     return F.ceil(longer / EDITS).cast("int") - 1
 
 
-def near_classes(left: DataFrame, right: DataFrame) -> DataFrame:
-    """(l, r, edits, n_seeds, covered) for the pairs of classes of two sets of texts that match; equal classes with 0 edits.
+def near_classes(left: DataFrame, right: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """(l, r, edits, n_seeds) for the pairs of classes of two sets of texts that match; equal texts with 0 edits.
 
-    left should be the smaller set: its lookups are few. covered: words of l in the chained seeds, before alignment.
+    left should be the smaller set: its lookups are few.
     """
     spark = left.sparkSession
     with_grams = lambda t: t.select("cls", "n", grams(F.col("words")).alias("g"))
     lg, rg = with_grams(left), with_grams(right)
     sketch = rarity_sketch(lg.select("g").unionByName(rg.select("g")))
-    most = F.floor(F.col("n") / (EDITS - 1)).cast("int") + 1
-    looked = lg.select("cls", "n", F.explode(lookup_seeds(F.col("g"), sketch, F.col("n"))).alias("s")).select(F.col("cls").alias("l"), F.col("n").alias("ln"), F.col("s.h").alias("h"), F.col("s.at").alias("la"), most.alias("most"))
-    looked = cut_lineage(looked.withColumn("cell", F.explode(F.sequence(F.floor((F.col("la") - F.col("most")) / SHIFT_CELL), F.floor((F.col("la") + F.col("most")) / SHIFT_CELL)))))
-    kept = rg.select("cls", "n", F.explode(winnow(F.col("g"), sketch)).alias("s")).select(F.col("cls").alias("r"), F.col("n").alias("rn"), F.col("s.h").alias("h"), F.col("s.at").alias("ra"), F.floor(F.col("s.at") / SHIFT_CELL).alias("cell"))
-    close = (F.abs(F.col("la") - F.col("ra")) <= F.col("most")) & (F.abs(F.col("ln") - F.col("rn")) <= F.col("most")) & (F.col("l") != F.col("r"))
-    seeds = kept.join(looked, ["h", "cell"]).where(close)
-    chained = seeds.groupBy("l", "r").agg(F.count("*").alias("n_seeds"), F.max(F.abs(F.col("la") - F.col("ra"))).alias("shift"))
-    pairs = cut_lineage(chained)
+    most = F.floor(F.col("n") / (EDITS - 1)).cast("int")
+    runs = F.floor(F.col("n") / RUN).cast("int")
+    least = F.greatest(F.lit(1), F.least(runs, most + CHAIN) - most)
+    looked = write_shared(lg.select(F.col("cls").alias("l"), F.col("n").alias("ln"), most.alias("most"), least.alias("least"), F.explode(lookup_seeds(F.col("g"), sketch, F.col("n"))).alias("s")).select("l", "ln", "most", "least", F.col("s.h").alias("h"), F.col("s.at").alias("la")))
+    seeds_of = lambda t: t.select(F.col("cls").alias("r"), F.col("n").alias("rn"), F.explode(winnow(grams(F.col("words")), sketch)).alias("s")).select("r", "rn", F.col("s.h").alias("h"), F.col("s.at").alias("ra"))
+    close = (F.abs(F.col("la") - F.col("ra")) <= F.col("most") + 1) & (F.abs(F.col("ln") - F.col("rn")) <= F.col("most") + 1) & (F.col("l") != F.col("r"))
+    if looked.count() * LOOKUP_BYTES <= broadcast_bytes:  # a text's seeds stay where it is, and its chains are counted there
+        seeds = seeds_of(right.repartition(task_slots(spark), "cls")).join(F.broadcast(looked), "h").where(close)
+    else:
+        cells = F.sequence(F.floor((F.col("la") - F.col("most") - 1) / SHIFT_CELL), F.floor((F.col("la") + F.col("most") + 1) / SHIFT_CELL))
+        seeds = seeds_of(right).withColumn("cell", F.floor(F.col("ra") / SHIFT_CELL)).join(looked.withColumn("cell", F.explode(cells)), ["h", "cell"]).where(close)
+    chained = seeds.groupBy("r", "l", "least").agg(F.count("*").alias("n_seeds")).where("n_seeds >= least")
+    pairs = write_shared(chained.select("l", "r", "n_seeds"))
     lw, rw = left.select(F.col("cls").alias("l"), F.col("words").alias("lw"), F.col("n").alias("ln")), right.select(F.col("cls").alias("r"), F.col("words").alias("rw"), F.col("n").alias("rn"))
 
     @F.pandas_udf(T.IntegerType())
@@ -125,8 +134,8 @@ def near_classes(left: DataFrame, right: DataFrame) -> DataFrame:
     same = F.size(F.array_intersect("lw", "rw"))  # distinct words in common: each edit takes away one of a text's at most
     wide = wide.where((same >= F.size(F.array_distinct("lw")) - F.col("most")) & (same >= F.size(F.array_distinct("rw")) - F.col("most")))
     aligned = wide.repartition(task_slots(spark)).select("l", "r", "n_seeds", "most", align("lw", "rw", "most").alias("edits")).where("edits <= most")
-    equal = left.select(F.col("cls").alias("l"), F.col("n")).join(right.select(F.col("cls").alias("r")), F.col("l") == F.col("r")).select("l", "r", F.lit(0).alias("edits"), F.floor(F.col("n") / RUN).alias("n_seeds"))
-    return aligned.select("l", "r", "edits", "n_seeds").unionByName(equal)
+    equal = left.select("h1", "h2", F.col("cls").alias("l"), "n").join(right.select("h1", "h2", F.col("cls").alias("r")), ["h1", "h2"]).select("l", "r", F.lit(0).alias("edits"), F.floor(F.col("n") / RUN).alias("n_seeds"))
+    return aligned.where("edits > 0").select("l", "r", "edits", "n_seeds").unionByName(equal)
 
 
 def cross_split_pairs(train: DataFrame, test: DataFrame, id_col: str, text: str, key: Column | None = None) -> DataFrame:
@@ -137,7 +146,6 @@ def cross_split_pairs(train: DataFrame, test: DataFrame, id_col: str, text: str,
     """
     m1, t1 = classes(train, id_col, text)
     m2, t2 = classes(test, id_col, text)
-    m1, m2, t1, t2 = (cut_lineage(x) for x in (m1, m2, t1, t2))
     near = near_classes(t2, t1)
     by_text = near.join(m2.select(F.col("id").alias("test_id"), F.col("cls").alias("l")), "l").join(m1.select(F.col("id").alias("train_id"), F.col("cls").alias("r")), "r").select("train_id", "test_id")
     if key is None:
