@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions.text import isbn_digits, present, read_year
-from dossierlake.llm import bpe, canonical, overlap, pieces, private, quota, splits
-from dossierlake.session import cut_lineage, table
+from dossierlake.llm import bpe, canonical, mixing, overlap, pieces, private, quota, splits
+from dossierlake.session import cut_lineage, table, write_shared
 
 
 def country_trie(spark: SparkSession, d: str) -> canonical.Trie:
@@ -128,6 +128,24 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
 
 
+def source_tokens(spark: SparkSession, d: str) -> DataFrame:
+    counts = bpe.encode(table(spark, d, "documents"), "doc_id", "text").select("id", F.size("ids").cast("long").alias("n"))
+    sources = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source").where("source is not null")
+    return write_shared(sources.join(counts, "id").select("id", "source", "n"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """How often each document of the sources in mix_targets is used."""
+    copies, _ = mixing.mix(source_tokens(spark, d), table(spark, d, "mix_targets"))
+    return copies.select(F.col("id").alias("doc_id"), "source", F.col("n").alias("n_tokens"), "copies")
+
+
+def p9_report(spark: SparkSession, d: str) -> DataFrame:
+    """The shares reached, also of sources that fall short or are absent."""
+    _, report = mixing.mix(source_tokens(spark, d), table(spark, d, "mix_targets"))
+    return report
+
+
 def mentions(spark: SparkSession, d: str) -> DataFrame:
     names = private.given_names(table(spark, d, "given_names"), "given_name")
     return private.find_private(table(spark, d, "documents"), "doc_id", "text", names)
