@@ -90,7 +90,7 @@ def text_by_topic(df: DataFrame, keys: list[str], topics: dict[str, Column], tex
 def first_filled(df: DataFrame, key: str, columns: list[str], priority: list[Column], lists: dict[str, str] | None = None) -> DataFrame:
     """Per key, the first non-blank value of each column by priority, and the distinct values of list columns in that order, joined."""
     rank = F.struct(*priority)
-    firsts = [F.expr("1").alias("_")][:0] + [F.min_by(F.col(c), F.when(F.col(c).isNotNull() & (strip(F.col(c)) != ""), rank)).alias(c) for c in columns]
+    firsts = [F.min_by(F.col(c), F.when(F.col(c).isNotNull() & (strip(F.col(c)) != ""), rank)).alias(c) for c in columns]
     joined = []
     for name, column in (lists or {}).items():
         items = F.transform(F.array_sort(F.collect_list(F.when(strip(F.col(column)) != "", F.struct(rank.alias("o"), F.col(column).alias("t"))))), lambda x: x["t"])
