@@ -4,8 +4,8 @@ A text is cut into words by the tokenizer's pattern. A word's ids come from a fo
 the adjacent pair with the least rank until none is left, with the ranks in a literal map whose buckets make a lookup
 short. The most frequent distinct words of the corpus, a bounded number, are folded once and become a second literal map;
 a word that is not in it is folded where it stands, so the result does not depend on that bound. Words of more than
-LONG_WORD bytes, whose fold would be quadratic, are merged by a heap in an Arrow batch; only texts that hold one go
-that way.
+LONG_WORD bytes, whose fold would be quadratic, are merged by a heap in an Arrow batch; only texts that may hold one
+go that way.
 
 Pieces are kept as hexadecimal strings. Decoding joins the pieces of the ids and reads them as UTF-8.
 """
@@ -15,19 +15,20 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from dossierlake.session import cut_lineage, task_slots
+from dossierlake.session import task_slots
 
 TOKENIZERS = "/opt/tokenizers"
 #: Fixed value: the pattern that splits text before the merges, in Java's dialect.
 PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{IsL}+| ?\p{IsN}+| ?[^\s\p{IsL}\p{IsN}]+|\s+(?!\S)|\s+"
 BUCKETS = 16_384
-DICTIONARY = 40_000
+DICTIONARY = 20_000
 DICTIONARY_WORD = 64
 LONG_WORD = 256
 
@@ -43,17 +44,16 @@ def vocabulary_path(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> str
     return f"{folder}/{name}.tiktoken"
 
 
-def _bucketed(pairs: dict[str, object], kind: str, buckets: int, spark) -> Column:
-    """A literal array of small maps; the bucket of a key is its hash, computed by Spark for both sides."""
-    frame = spark.createDataFrame(pd.DataFrame({"k": list(pairs)})).select("k", F.pmod(F.hash("k"), F.lit(buckets)).alias("b"))
+def _bucketed(pairs: dict[str, object], kind: str, buckets: int) -> Column:
+    """A literal array of small maps; the bucket of a key is its checksum, which Python and Spark compute alike."""
     cells: list[dict] = [{} for _ in range(buckets)]
-    for k, b in frame.collect():
-        cells[b][k] = pairs[k]
-    return F.from_json(F.lit(json.dumps(cells)), f"array<map<string,{kind}>>")
+    for k, v in pairs.items():
+        cells[zlib.crc32(k.encode()) % buckets][k] = v
+    return F.from_json(F.lit(json.dumps(cells, separators=(",", ":"))), f"array<map<string,{kind}>>")
 
 
-def _look_up(literal: Column, key: Column, buckets: int) -> Column:
-    return F.try_element_at(F.get(literal, F.pmod(F.hash(key), F.lit(buckets))), key)
+def _look_up(maps: Column, key: Column, buckets: int) -> Column:
+    return F.try_element_at(F.get(maps, F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int")), key)
 
 
 def _let(value: Column, body) -> Column:
@@ -123,19 +123,17 @@ def encode(df: DataFrame, id_col: str, text: str, path: str | None = None, most:
     spark = df.sparkSession
     path = path or vocabulary_path()
     ranks = read_ranks(path)
-    rank_map = _bucketed({k.hex().upper(): v for k, v in ranks.items()}, "int", BUCKETS, spark)
-    split = df.select(F.col(id_col).alias("id"), words_of(F.col(text)).alias("words"))
-    frequent = frequent_words(split, "words", most).repartition(task_slots(spark))
-    folded = frequent.select("word", fold_word(F.hex(F.encode("word", "UTF-8")), rank_map).alias("ids"))
-    known = {r["word"]: r["ids"] for r in folded.collect()}  # at most `most` words of DICTIONARY_WORD bytes
-    rare = lambda w: fold_word(F.hex(F.encode(w, "UTF-8")), rank_map)
-    if known:
-        word_map = _bucketed(known, "array<int>", BUCKETS, spark)
-        ids_of = lambda w: F.coalesce(_look_up(word_map, w, BUCKETS), rare(w))
-    else:
-        ids_of = rare
-    long = F.exists("words", lambda w: F.octet_length(w) > LONG_WORD)
-    near = split.where(~long).select("id", F.flatten(F.transform("words", ids_of)).alias("ids"))
+    rank_map = _bucketed({k.hex().upper(): v for k, v in ranks.items()}, "int", BUCKETS)
+    texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+    # a word of LONG_WORD bytes has so many characters of one kind in a row; a text that is missed is only slower
+    long = F.coalesce(F.col("text").rlike(rf"(?:^|\s)\S{{{LONG_WORD // 4}}}|(?:^|\S)\s{{{LONG_WORD // 4}}}"), F.lit(False))
+    fold = lambda w, maps: fold_word(F.hex(F.encode(w, "UTF-8")), maps)
+    frequent = frequent_words(texts.select(words_of(F.col("text")).alias("words")), "words", most).repartition(task_slots(spark))
+    folded = frequent.select("word", _let(rank_map, lambda m: fold(F.col("word"), m)).alias("ids"))
+    word_map = _bucketed({r["word"]: r["ids"] for r in folded.collect()}, "array<int>", BUCKETS)  # at most `most` words of DICTIONARY_WORD bytes
+    maps = F.struct(rank_map.alias("ranks"), word_map.alias("words"))  # named once, so that a plan holds each literal once
+    ids_of = lambda w, m: F.coalesce(_look_up(m["words"], w, BUCKETS), fold(w, m["ranks"]))
+    near = texts.where(~long).select("id", words_of(F.col("text")).alias("words")).select("id", _let(maps, lambda m: F.flatten(F.transform("words", lambda w: ids_of(w, m)))).alias("ids"))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def by_heap(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -143,7 +141,7 @@ def encode(df: DataFrame, id_col: str, text: str, path: str | None = None, most:
         for batch in batches:
             yield pd.Series([[x for w in words for x in heap_merge(w.encode(), own)] for words in batch])
 
-    return near.unionByName(split.where(long).select("id", by_heap("words").alias("ids")))
+    return near.unionByName(texts.where(long).select("id", by_heap(words_of(F.col("text"))).alias("ids")))
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
