@@ -76,7 +76,7 @@ INITIAL = re.compile(rf"(?<![\w’'.@-])(?P<given>{INITIALS}){GAP}*(?P<family>{F
 TITLED = re.compile(rf"(?<![\w])(?P<title>(?:{'|'.join(TITLES)}|{'|'.join(t.upper() for t in TITLES)})\b\.?[ \r\n]{{1,2}}|(?:{'|'.join(OFFICES)}){GAP}+)(?P<name>(?:(?:[{U}][{L}]+|{INITIALS}){GAP}+(?:{INITIALS}{GAP}+)?)?(?P<family>{FAMILY}))(?![\w@])")
 REVERSED = re.compile(rf"(?<![\w’'.@-])(?P<family>{FAMILY}),{GAP}+(?P<given>[{U}][{L}]+|[{U}]{{2,}}\b)(?:{GAP}+{INITIALS})?")
 STRONG, WEAK, BEHIND = (re.compile(x, re.I) for x in (BEFORE_STRONG, BEFORE_NAME, AFTER_NAME))
-NAMED = re.compile(r"(?i)(?:name|nom|nombre)\s?:\s*$")
+NAMED = re.compile(r"\b(?:[Nn](?:ame|om|ombre)|N(?:AME|OM|OMBRE))\s?:\s*")
 GIVEN_BEFORE = re.compile(rf"([{U}][{U}{L}’'-]+){GAP}+$")
 #: Words that are no part of a name, also where they are capitalized.
 NOT_NAMES = frozenset("by mr mrs ms dr prof messrs of on behalf the and to in at for from with under statement prepared approved contact name tel fax phone mobile cc some loan table decision deposits arrears governor minister senior executive advisor director yours sincerely".split())
@@ -209,8 +209,8 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
     for m in TITLED.finditer(t):
         if not _institution(m["family"].split()[-1]):
             add(m.start("name"), m.end("name"), t[m.start("name") : m.start("family")].strip(), m["family"], "titled", m.start())
-    for m in REVERSED.finditer(t):
-        if NAMED.search(t[max(0, m.start() - 10) : m.start()]) and free(m.start(), m.end()):
+    for lead in NAMED.finditer(t):
+        if (m := REVERSED.match(t, lead.end())) and free(m.start(), m.end()):
             add(m.start(), m.end(), m["given"], m["family"], "reversed")
     for m in INITIAL.finditer(t):
         begin = m.start()
