@@ -18,13 +18,13 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 LIMIT, OVERLAP = 4000, 200
 #: Strengths, strongest first; a cut lies behind the match.
 BOUNDARIES = (
-    (5, regex.compile(r"(?:\r\n|\n|\r)[^\S\r\n]*(?:\r\n|\n|\r)\s*|\f\s*| \s*")),
+    (5, regex.compile(r"(?:\r\n|\n|\r)[^\S\r\n]*(?:\r\n|\n|\r)\s*|\f\s*|\u2029\s*")),
     (4, regex.compile(r"(?<![.!?。]\S{0,3}[a-z]\.)[.!?…。！？]+[\"'”’»)\]]*\s+(?=[\p{Lu}\p{N}\"'“‘«¿¡(\[])|[。！？]")),
     (3, regex.compile(r"\r\n|\n|\r")),
     (2, regex.compile(r"[;:,]\s+|\s[–—-]\s+|[，；、]")),
     (1, regex.compile(r"\s+")),
 )
-MARKS = regex.compile(r"[\p{M}‍️\U0001F3FB-\U0001F3FF]")
+MARKS = regex.compile(r"[\p{M}\u200d\ufe0f\U0001F3FB-\U0001F3FF]")
 
 
 class RangeMax:

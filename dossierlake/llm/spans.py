@@ -14,7 +14,7 @@ from typing import NamedTuple
 UPPER = "".join(c for c in map(chr, range(0x590)) if unicodedata.category(c) == "Lu")
 LOWER = "".join(c for c in map(chr, range(0x590)) if unicodedata.category(c) == "Ll")
 U, L = re.escape(UPPER), re.escape(LOWER)
-GAP = r"[  ]"
+GAP = r"[ \u00a0\u2007\u2009\u202f]"
 
 #: What stands before or after mentions in English, French and Spanish.
 TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Mme", "Mlle", "Sr", "Sra", "Srta", "Dra", "Sir", "Lady", "Messrs")
@@ -35,11 +35,11 @@ EMAIL_SPELLED = re.compile(r"(?i)\w[\w.+%-]*\s*[\[({<]\s*(?:at|arobase|arroba|@)
 EMAIL_WORDS = re.compile(r"\b\w[\w.+%-]* (?:AT|at) \w[\w-]*(?: (?:DOT|dot) \w[\w-]*)+")
 PHONE = re.compile(
     r"(?<![\w.,/+-])(?:"
-    r"\+ ?[0-9]{1,3}[-.   ]?(?:\([0-9]{1,4}\)[-.   ]?)?[0-9]{1,4}(?:[-.   ]?[0-9]{2,4}){1,4}"
-    r"|00[0-9]{2,3}(?:[-.   ]?[0-9]{2,4}){2,5}"
-    r"|\([0-9]{2,4}\)[-.   ]?[0-9]{3,4}[-.   ][0-9]{3,4}"
-    r"|[0-9]{3}[-.   ][0-9]{3}[-.   ][0-9]{4}"
-    r"|0[0-9]{2,4}(?:[-.   ][0-9]{2,4}){2,4}"
+    r"\+ ?[0-9]{1,3}[-. \u00a0\u202f]?(?:\([0-9]{1,4}\)[-. \u00a0\u202f]?)?[0-9]{1,4}(?:[-. \u00a0\u202f]?[0-9]{2,4}){1,4}"
+    r"|00[0-9]{2,3}(?:[-. \u00a0\u202f]?[0-9]{2,4}){2,5}"
+    r"|\([0-9]{2,4}\)[-. \u00a0\u202f]?[0-9]{3,4}[-. \u00a0\u202f][0-9]{3,4}"
+    r"|[0-9]{3}[-. \u00a0\u202f][0-9]{3}[-. \u00a0\u202f][0-9]{4}"
+    r"|0[0-9]{2,4}(?:[-. \u00a0\u202f][0-9]{2,4}){2,4}"
     r"|[0-9]{3}(?: [0-9]{3}){2,3}"
     r")(?![0-9]|[-.,/][0-9])"
 )
