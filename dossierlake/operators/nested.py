@@ -45,7 +45,7 @@ def resolve_entities(text: str) -> str:
 
 def xml_record(content: str | None, with_text: bool = True) -> tuple[str | None, str | None]:
     """(record as JSON, None), or (None, reason) for a file that is empty or not well-formed."""
-    if content is None or not content.strip("﻿ \t\r\n"):
+    if content is None or not content.strip("\ufeff \t\r\n"):
         return None, "empty"
     parser = expat.ParserCreate("utf-8", "}")
     parser.buffer_text = True
@@ -85,7 +85,7 @@ def xml_record(content: str | None, with_text: bool = True) -> tuple[str | None,
     if with_text:
         parser.CharacterDataHandler = data
     try:
-        parser.Parse(resolve_entities(content.removeprefix("﻿")).encode("utf-8", "surrogatepass"), True)
+        parser.Parse(resolve_entities(content.removeprefix("\ufeff")).encode("utf-8", "surrogatepass"), True)
     except expat.ExpatError as e:
         return None, f"{expat.errors.messages.get(e.code, 'not well-formed')} at line {e.lineno}"
     except RecursionError:

@@ -50,7 +50,7 @@ def find(e: ET.Element, *names: str) -> ET.Element | None:
 
 def parse(content: str | None) -> ET.Element:
     """The root; ET.ParseError for empty and damaged content."""
-    return ET.fromstring(resolve_entities((content or "").removeprefix("﻿")))
+    return ET.fromstring(resolve_entities((content or "").removeprefix("\ufeff")))
 
 
 def title_of(sec: ET.Element) -> str:

@@ -132,7 +132,7 @@ def probit_model(spark, d):
 ORACLE = {
     "file_roles": "select file_id, package_id, case when regexp_matches(file, '(?i)manifest') then 'manifest' when regexp_matches(file, '(?i)-a[0-9]{3}\\b') or regexp_matches(file, '(?i)^A[0-9]{2}_') then 'article' when regexp_matches(file, '(?i)front') then 'front_matter' when regexp_matches(file, '(?i)issue') then 'issue' when regexp_matches(file, '(?i)book') then 'book' else 'other' end as role, case when regexp_matches(file, '(?i)-a[0-9]{3}\\b') or regexp_matches(file, '(?i)^A[0-9]{2}_') then 2 else 4 end as file_rank, coalesce(try_cast(nullif(regexp_extract(file, '(?i)(?:-a|^A)([0-9]{2,3})', 1), '') as int), 999) as number from articleiv_xml_updated",
     "packages": "select package_id, min(file) as first_path, count(*) as n_files from articleiv_xml_updated group by 1",
-    "page_range": "select print_isbn, min(page) filter (contains(lower(body), 'risks are tilted')) as first_page, least(min(page) filter (contains(lower(body), 'risks are tilted')) + 4, max(page)) as last_page from (select print_isbn, unnest(string_split(staff, E'\\n\\n')) as body, cast(generate_subscripts(string_split(staff, E'\\n\\n'), 1) - 1 as int) as page from (select print_isbn, arg_min(staff, row_id) as staff from df_documents where print_isbn is not null group by 1)) group by 1 having count(*) filter (contains(lower(body), 'risks are tilted')) > 0",
+    "page_range": "select print_isbn, min(page) filter (contains(lower(body), 'risks are tilted')) as first_page, least(min(page) filter (contains(lower(body), 'risks are tilted')) + 4, max(page)) as last_page from (select print_isbn, unnest(string_split(staff, E'\\n\\n')) as body, cast(generate_subscripts(string_split(staff, E'\\n\\n'), 1) - 1 as int) as page from (select print_isbn, arg_min_null(staff, row_id) as staff from df_documents where print_isbn is not null group by 1)) group by 1 having count(*) filter (contains(lower(body), 'risks are tilted')) > 0",
     "classified": "select row_id, topic, confidence, case when confidence > 30 then 1 else 0 end as dummy from (" + " union all ".join(f"select row_id, '{t}' as topic, cast(least(100, 20 * (" + " + ".join(f"len(regexp_extract_all(lower(coalesce(staff, '')), '{w}'))" for w in words) + ")) as int) as confidence from labelled_monetary_v6" for t, words in TOPICS.items()) + ")",
     "batch_replies": "select cast(row_id as varchar) as id, bare as text, case when error_gpt0 is null then 'no reply' end as error, json_extract_string(bare, '$.agreement') as agreement from (select row_id, error_gpt0, trim(regexp_replace(error_gpt0, '```[A-Za-z]*', '', 'g'), E' \\n') as bare from df_agree)",
     "example_errors": "select count(*) as n_examples, cast(0 as bigint) as missing_messages, cast(0 as bigint) as no_assistant, cast(0 as bigint) as unknown_role, count(*) filter (staff = '') as empty_content from training where staff is not null and agreement_general is not null",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dossierlake.plans.reference import AREAS, TOPICS, YEARS
 
-WS = r"[\s  ]+"
+WS = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 YEAR = "try_cast(nullif(regexp_extract(cast(year as varchar), '((?:19|20)[0-9]{2})', 1), '') as int)"
 SQUASH = lambda c: f"trim(regexp_replace({c}, '{WS}', ' ', 'g'))"
 CLEAN = lambda c: f"coalesce({SQUASH(c)}, '')"
@@ -18,7 +18,7 @@ LABELLED = f"""(select *, {CUR('staff_current')} as staff_current_num, {CUR('buf
  {LABEL('staff_stance_current')} as staff_current, {LABEL('staff_stance_future')} as staff_future, {LABEL('buff_stance_current')} as buff_current, {LABEL('buff_stance_future')} as buff_future from training))"""
 GROUPS = ("AEs", "EMDEs", "LICs")
 HAS = lambda t, words: "(" + " or ".join(f"contains(lower(coalesce({t}, '')), '{w}')" for w in words) + ")"
-LIST = lambda t: "list_filter([" + ", ".join(f"case when {HAS(t, w)} then '{n}' end" for n, w in AREAS.items()) + "], x -> x is not null)"
+LIST = lambda t: "list_filter([" + ", ".join(f"case when {HAS(t, w)} then '{n}' end" for n, w in AREAS.items()) + "], lambda x: x is not null)"
 SHARE = lambda rows, by, cat, order: f"""select {by}, {cat}, count(*) as n, round(count(*) / sum(count(*)) over (partition by {by}), 6) as share from {rows}
  where {by} is not null and {cat} in ({', '.join("'" + o + "'" for o in order)}) group by {by}, {cat}"""
 PANEL = lambda t, v: f"(select country, {YEAR} as year, count({v}) as n from {t} where country is not null and {YEAR} is not null group by 1, 2)"
@@ -85,7 +85,7 @@ def oracle_sql() -> dict[str, str]:
         "years_until": f"select a.country, a.year, min(b.year - a.year) as until from {PANEL('training', 'agreement_general')} a left join {PANEL('testing', 'agreement_general')} b on a.country = b.country and b.year between a.year and a.year + 4 group by 1, 2",
         "monthly_mean": "select cast(date_trunc('month', ts) as date) as month, round(avg(value), 6) as mean, round(stddev_samp(value), 6) as deviation from events group by 1",
         "value_summary": "select event_type, count(value) as n, round(avg(value), 6) as mean, round(quantile_cont(value, 0.5), 6) as median, round(quantile_cont(value, 0.1), 6) as p10, round(quantile_cont(value, 0.9), 6) as p90 from events group by 1",
-        "wide_lookup": "select l_orderkey, l_returnflag as name, case l_returnflag when 'A' then l_quantity when 'N' then l_extendedprice when 'R' then l_discount end as value from lineitem where l_linenumber = 1",
+        "wide_lookup": "select l_orderkey, name, case name when 'A' then a when 'N' then n when 'R' then r end as value from (select l_orderkey, min(l_returnflag) as name, max(l_quantity) as a, max(l_extendedprice) as n, max(l_discount) as r from lineitem group by 1)",
         "within_group_pct": SHARE("(select cast(ts as date) as day, event_type from events)", "day", "event_type", ("click", "error", "purchase", "signup", "view")),
         "crosstab_margins": "select coalesce(mon_agreement, 'All') as row_label, coalesce(fis_agreement, 'All') as col_label, count(*) as n from df where mon_agreement is not null and fis_agreement is not null group by cube (mon_agreement, fis_agreement)",
         "crosstab_pct": "select mon_agreement as row_label, fis_agreement as col_label, round(100.0 * count(*) / sum(count(*)) over (), 6) as pct from df where mon_agreement is not null and fis_agreement is not null group by 1, 2",
@@ -97,7 +97,7 @@ def oracle_sql() -> dict[str, str]:
         "country_errors": f"select country, round(avg(abs(fut_diff)), 6) as mae from {LABELLED} where country is not null and fut_diff is not null group by 1",
         "transitions_top": f"select staff_future as old, buff_future as new, n, round(100.0 * n / sum(n) over (), 6) as pct from (select staff_future, buff_future, count(*) as n from {LABELLED} where staff_future <> buff_future group by 1, 2) order by n desc, old, new limit 5",
         "match_matrix": f"with t as (select country, yr, case when staff_current = buff_current then 1.0::double else 0.0::double end as m from {LABELLED} where country is not null and yr is not null), w as (select country from t group by 1 order by avg(m), country limit 30) select country, {', '.join(f'round(avg(m) filter (yr = {y}), 6) as y{y}' for y in YEARS)} from t join w using (country) group by country",
-        "areas_jaccard": f"select print_isbn, round(case when len(x) + len(y) = 0 then 1.0::double else len(list_intersect(x, y))::double / len(list_distinct(list_concat(x, y))) end, 6) as similarity from (select print_isbn, {LIST('a')} as x, {LIST('b')} as y from (select print_isbn, arg_min(disagreement_areas, row_id) as a from labelled_monetary_v6 where print_isbn is not null group by 1) join (select print_isbn, arg_min(disagreement_areas_gpt0, row_id) as b from df_agree where print_isbn is not null group by 1) using (print_isbn))",
+        "areas_jaccard": f"select print_isbn, round(case when len(x) + len(y) = 0 then 1.0::double else len(list_intersect(x, y))::double / len(list_distinct(list_concat(x, y))) end, 6) as similarity from (select print_isbn, {LIST('a')} as x, {LIST('b')} as y from (select print_isbn, arg_min_null(disagreement_areas, row_id) as a from labelled_monetary_v6 where print_isbn is not null group by 1) join (select print_isbn, arg_min_null(disagreement_areas_gpt0, row_id) as b from df_agree where print_isbn is not null group by 1) using (print_isbn))",
         "confusion_table": f"select * from {CONFUSION}",
         "label_metrics": f"select * from {PRF}",
         "overall_metrics": f"select (select round(sum(case when gold = predicted then n else 0 end) / sum(n), 6) from {CONFUSION}) as accuracy, (select cast(sum(n) as bigint) from {CONFUSION}) as n, " + ", ".join(f"round(avg({c}), 5) as macro_{c}, round(sum({c} * support) / sum(support), 5) as weighted_{c}" for c in ("precision", "recall", "f1")) + f" from {PRF}",
@@ -105,7 +105,7 @@ def oracle_sql() -> dict[str, str]:
         "metadata_counts": f"select count(*) as n_rows, count(*) filter (aiv) as n_aiv, count(*) filter (primary_country_code is null) as n_no_code, count(*) filter (year_from_title is null) as n_no_year, count(*) filter ({CLEAN('subtitle')} = '') as n_blank_subtitle from df_meta",
         "both_annotated": "select print_isbn, max(agreement_general) filter (rn = 1) as first, max(agreement_general) filter (rn = 2) as second from (select *, row_number() over (partition by print_isbn order by row_id) as rn, count(*) over (partition by print_isbn) as c from training where print_isbn is not null) where c = 2 group by 1",
         "carried_forward": f"with p as (select * from {PANEL('df', 'mon_agreement')} where year <= 2021) select country, year, n from p union all select country, y as year, n from p, (values (2022), (2023), (2024)) v(y) where year = 2021",
-        "latest_per_source": "select source, doc_id, loaded_at, cast(rn as int) as rank from (select source, doc_id, loaded_at, row_number() over (partition by source order by loaded_at desc, doc_id) as rn from documents where source is not null) where rn <= 3",
+        "latest_per_source": "select source, doc_id, cast(rn as int) as rank from (select source, doc_id, loaded_at, row_number() over (partition by source order by loaded_at desc, doc_id) as rn from documents where source is not null) where rn <= 3",
         "numbered_rows": "select row_id, print_isbn, row_number() over (order by print_isbn nulls first, row_id) - 1 as id from df",
         "range_filter": f"select row_id, yr, grp from {DATASET} where yr between 2015 and 2023 and staff_verified",
         "domain_filter": "select doc_id, source from documents where contains(lower(text), 'fiscal') and contains(lower(text), 'inflation')",

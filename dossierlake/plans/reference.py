@@ -238,10 +238,9 @@ def value_summary(spark, d):
 
 
 def wide_lookup(spark, d):
-    """The charge named by a line's flag, from its wide columns."""
-    lines = table(spark, d, "lineitem").where("l_linenumber = 1")
-    wide = lines.select("l_orderkey", F.col("l_quantity").alias("A"), F.col("l_extendedprice").alias("N"), F.col("l_discount").alias("R"))
-    return rel.lookup_wide(lines.select("l_orderkey", F.col("l_returnflag").alias("name")), wide, ["l_orderkey"], ["A", "N", "R"], "name", "value")
+    """The greatest charge of an order of the kind its least flag names, from wide columns."""
+    orders = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.min("l_returnflag").alias("name"), F.max("l_quantity").alias("A"), F.max("l_extendedprice").alias("N"), F.max("l_discount").alias("R"))
+    return rel.lookup_wide(orders.select("l_orderkey", "name"), orders.drop("name"), ["l_orderkey"], ["A", "N", "R"], "name", "value")
 
 
 def within_group_pct(spark, d):
@@ -340,7 +339,7 @@ def carried_forward(spark, d):
 
 def latest_per_source(spark, d):
     docs = table(spark, d, "documents").where("source is not null").select("source", "doc_id", "loaded_at")
-    return agg.top_per_group(docs, ["source"], [F.desc("loaded_at"), F.col("doc_id")], 3)
+    return agg.top_per_group(docs, ["source"], [F.desc("loaded_at"), F.col("doc_id")], 3).drop("loaded_at")
 
 
 def numbered_rows(spark, d):
