@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions import lists, stance, text
 from dossierlake.operators import chat, evaluation as ev, lines, models, reports, tables
+from dossierlake.plans.oracle import LABELLED
 from dossierlake.plans.reference import TOPICS, labelled
 from dossierlake.session import table
 from dossierlake.streaming.merge import windowed_counts
@@ -136,12 +137,15 @@ ORACLE = {
     "classified": "select row_id, topic, confidence, case when confidence > 30 then 1 else 0 end as dummy from (" + " union all ".join(f"select row_id, '{t}' as topic, cast(least(100, 20 * (" + " + ".join(f"len(regexp_extract_all(lower(coalesce(staff, '')), '{w}'))" for w in words) + ")) as int) as confidence from labelled_monetary_v6" for t, words in TOPICS.items()) + ")",
     "batch_replies": "select cast(row_id as varchar) as id, bare as text, case when error_gpt0 is null then 'no reply' end as error, json_extract_string(bare, '$.agreement') as agreement from (select row_id, error_gpt0, trim(regexp_replace(error_gpt0, '```[A-Za-z]*', '', 'g'), E' \\n') as bare from df_agree)",
     "example_errors": "select count(*) as n_examples, cast(0 as bigint) as missing_messages, cast(0 as bigint) as no_assistant, cast(0 as bigint) as unknown_role, count(*) filter (staff = '') as empty_content from training where staff is not null and agreement_general is not null",
+    "topic_shapes": "select event_id, cast(len(json_keys(props)) as int) as n_topics from events",
+    "training_examples": "select row_id, to_json({messages: [{role: 'system', content: 'Judge the agreement.'}, {role: 'user', content: staff}, {role: 'assistant', content: agreement_general}]})::varchar as example from training where staff is not null and agreement_general is not null",
+    "panel_model": f"select 'buff_future_num' as term, round(regr_slope(y, x), 6) as coefficient from (select staff_future_num - avg(staff_future_num) over (partition by country) as y, buff_future_num - avg(buff_future_num) over (partition by country) as x from {LABELLED} where country is not null and staff_future_num is not null and buff_future_num is not null)",
     "daily_counts": "select date_trunc('day', ts) as window_start, event_type, count(*) as n from events group by 1, 2",
 }
 
 
 def queries() -> dict:
-    skip = {"xml_files", "queries", "labelled", "table", "windowed_counts"}
+    skip = {"xml_files", "queries", "oracle_sql", "labelled", "table", "windowed_counts"}
     return {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and k not in skip and k[0] != "_"}
 
 

@@ -102,6 +102,12 @@ def oracle_sql() -> dict[str, str]:
         "label_metrics": f"select * from {PRF}",
         "overall_metrics": f"select (select round(sum(case when gold = predicted then n else 0 end) / sum(n), 6) from {CONFUSION}) as accuracy, (select cast(sum(n) as bigint) from {CONFUSION}) as n, " + ", ".join(f"round(avg({c}), 5) as macro_{c}, round(sum({c} * support) / sum(support), 5) as weighted_{c}" for c in ("precision", "recall", "f1")) + f" from {PRF}",
         "membership_accuracy": f"select count(*) as n, round(avg(case when {HAS('disagreement_areas_gpt0', AREAS['fiscal'])} then 1.0 else 0.0 end), 6) as accuracy from df_agree where agreement_general = 'disagreement exists'",
+        "isbn_numbers": f"select row_id, case when length(digits) >= 8 then digits end as isbn from (select row_id, regexp_replace(regexp_replace(regexp_replace(upper(coalesce({PRESENT('print_isbn')}, '')), '\\.0+$', ''), '^ISBN(-1[03])?', ''), '[^0-9X]', '', 'g') as digits from training)",
+        "publication_dates": f"select row_id, case when regexp_matches(t, '^(19|20)[0-9]{{2}}(-[0-9]{{1,2}}){{0,2}}$') then t when regexp_matches(t, '^[0-9]{{1,2}}[/.][0-9]{{1,2}}[/.][0-9]{{4}}$') then regexp_replace(t, '^([0-9]{{1,2}})[/.]([0-9]{{1,2}})[/.]([0-9]{{4}})$', '\\3-\\2-\\1') when y <> '' then y || case when m > 0 then '-' || lpad(cast(m as varchar), 2, '0') || case when dd <> '' then '-' || lpad(dd, 2, '0') else '' end else '' end end as published from (select *, regexp_extract(t, '\\b((?:19|20)[0-9]{{2}})\\b', 1) as y, coalesce(list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], regexp_extract(t, '\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*', 1)), 0) as m, regexp_extract(t, '(?:^|[^0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?(?:[^0-9]|$)', 1) as dd from (select row_id, lower({CLEAN('publication_date')}) as t from df_meta))",
+        "regions_joined": f"select series_name, coalesce(array_to_string(list_sort(list_distinct(list(nullif({CLEAN('regions')}, '')))), ' | '), '') as regions, count(*) as n from df_meta where print_isbn is not null group by 1",
+        "first_filled": "select print_isbn, count(*) as n_rows, " + ", ".join(f"arg_min({c}, struct_pack(a := coalesce(cast(aiv as int), -1), b := row_id)) filter (trim({c}) <> '') as {c}" for c in ("title", "subtitle", "language")) + ", coalesce(array_to_string(list_distinct_in_order, ' | '), '') as series from (select *, list_filter(list_transform(l, lambda x, i: case when list_position(l, x) = i then x end), lambda x: x is not null) as list_distinct_in_order from (select *, list(nullif(trim(series_name), '')) over (partition by print_isbn order by coalesce(cast(aiv as int), -1), row_id rows between unbounded preceding and unbounded following) as l0, list_filter(l0, lambda x: x is not null) as l from df_meta where print_isbn is not null)) group by print_isbn, list_distinct_in_order",
+        "keyword_flags": "select doc_id, " + ", ".join(f"{HAS('text', w)} as has_{t}" for t, w in TOPICS.items()) + f", cast(case when {CLEAN('text')} = '' then 0 else len(string_split({CLEAN('text')}, ' ')) end as int) as n_words from documents where text is not null",
+        "label_order": f"select a as left_order, b as right_order, a = b as same from (select string_agg(l, ',' order by n desc, l) as a from (select {LABEL('agreement_general')} as l, count(*) as n from training group by 1)), (select string_agg(l, ',' order by n desc, l) as b from (select {LABEL('agreement_general')} as l, count(*) as n from testing group by 1))",
         "metadata_counts": f"select count(*) as n_rows, count(*) filter (aiv) as n_aiv, count(*) filter (primary_country_code is null) as n_no_code, count(*) filter (year_from_title is null) as n_no_year, count(*) filter ({CLEAN('subtitle')} = '') as n_blank_subtitle from df_meta",
         "both_annotated": "select print_isbn, max(agreement_general) filter (rn = 1) as first, max(agreement_general) filter (rn = 2) as second from (select *, row_number() over (partition by print_isbn order by row_id) as rn, count(*) over (partition by print_isbn) as c from training where print_isbn is not null) where c = 2 group by 1",
         "carried_forward": f"with p as (select * from {PANEL('df', 'mon_agreement')} where year <= 2021) select country, year, n from p union all select country, y as year, n from p, (values (2022), (2023), (2024)) v(y) where year = 2021",
