@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from dossierlake.functions.text import name_aliases, name_key
+from dossierlake.session import write_shared
 
 
 def require_columns(df: DataFrame, columns: list[str], context: str) -> DataFrame:
@@ -109,7 +110,7 @@ def carry_forward(df: DataFrame, at: str, source_year: int, until: int) -> DataF
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "id", cells: int = 64) -> DataFrame:
     """Positional numbers from 0 in a total order, without one task seeing all rows: rows are sorted by range, and the sizes of the ranges before are added."""
-    ranked = df.repartitionByRange(cells, *order).withColumn("_part", F.spark_partition_id())
+    ranked = write_shared(df.repartitionByRange(cells, *order).withColumn("_part", F.spark_partition_id()))  # ranges are drawn once
     local = ranked.withColumn("_at", F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1)
     sizes = ranked.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_part", "_before")

@@ -26,7 +26,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None
 
 def read_packages(spark: SparkSession, root: str, suffix: str = ".xml") -> DataFrame:
     """(package_id, path, file, content) of the files with a suffix below a folder; the package is the file's own folder."""
-    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").option("wholetext", True).text(root)
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").text(root, wholetext=True)
     path = F.col("_metadata.file_path")
     return files.select(F.regexp_extract(path, r"([^/]+)/[^/]+$", 1).alias("package_id"), path.alias("path"), F.regexp_extract(path, r"([^/]+)$", 1).alias("file"), F.col("value").alias("content"))
 
