@@ -48,7 +48,7 @@ IDENTITY_FORMS = (
     r"[A-Z]{1,2}[0-9]{6,9}[A-Z]?|[0-9]{6}-[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{2}-[0-9]{7}|[0-9]{3} [0-9]{3} [0-9]{3}"
     r"|[A-Z]{2} ?[0-9]{2} ?[0-9]{2} ?[0-9]{2} ?[A-Z]|[A-Z]{2,3}-[0-9]{3,6}-[0-9]{2,6}|[A-Z][0-9]{1,3}-[0-9]{2,4}|[0-9]{7,9}-[0-9A-Z]|[0-9]{3}-[0-9]{3}/[A-Z]"
 )
-IDENTITY_ANY = r"[A-Z]{0,3}[- ]?[0-9][0-9A-Z]{4,13}(?:[ -][0-9A-Z]{1,6}){0,3}"
+IDENTITY_ANY = r"[A-Z]{0,3}-?[0-9][0-9A-Z]{4,13}(?:[ -][0-9A-Z]{1,6}){0,3}"
 IDENTITY = re.compile(rf"(?<![\w/+.-])(?=[A-Z]{{0,3}}[- ]?[0-9])(?:{IDENTITY_FORMS}|{IDENTITY_ANY})(?![\w/]|-[0-9])")
 IDENTITY_FORM = re.compile(r"[A-Z][0-9]{7}|[0-9]{6}-[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{2}-[0-9]{7}|[A-Z]{2} [0-9]{2} [0-9]{2} [0-9]{2} [A-Z]|[A-Z]{2}-[0-9]{4}-[0-9]{3}|[0-9]{8}-[0-9]")
 NOT_IDENTITY_FORM = re.compile(r"[A-Z][0-9]{1,3}-[0-9]{2,4}|[0-9]{3}-[0-9]{3}/[A-Z]|[0-9]{1,7}")

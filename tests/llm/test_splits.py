@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from dossierlake.llm import splits
 
-KEYS = {"a": F.col("a"), "b": F.col("b")}
+def keys():
+    return {"a": F.col("a"), "b": F.col("b")}
 
 
 def brute(rows):
@@ -38,26 +39,26 @@ def frame(spark, rows):
 def test_components_match_brute_force(spark, seed):
     rng = random.Random(seed)
     rows = [(i, rng.choice([None, f"a{rng.randrange(25)}"]), rng.choice([None, f"b{rng.randrange(20)}"])) for i in range(80)]
-    _, got, _ = splits.update_components(frame(spark, rows), "row_id", KEYS)
+    _, got, _ = splits.update_components(frame(spark, rows), "row_id", keys())
     assert {r["id"]: r["component"] for r in got.collect()} == brute(rows)
 
 
 def test_chain_and_nulls(spark):
     rows = [(i, f"a{i // 2}", f"b{(i + 1) // 2}") for i in range(40)] + [(100, None, None), (101, None, None)]
-    _, got, _ = splits.update_components(frame(spark, rows), "row_id", KEYS)
+    _, got, _ = splits.update_components(frame(spark, rows), "row_id", keys())
     found = {r["id"]: r["component"] for r in got.collect()}
     assert {found[i] for i in range(40)} == {0} and found[100] == 100 and found[101] == 101
 
 
 def test_empty(spark):
-    components, got, merges = splits.update_components(frame(spark, []), "row_id", KEYS)
+    components, got, merges = splits.update_components(frame(spark, []), "row_id", keys())
     assert not components.collect() and not got.collect() and not merges.collect()
     assert splits.assign_splits(got).collect() == []
 
 
 def test_deliveries_keep_splits_and_quarantine_conflicts(spark):
     first = [(i, f"a{i}", f"b{i}") for i in range(300)]
-    components, rows, _ = splits.update_components(frame(spark, first), "row_id", KEYS)
+    components, rows, _ = splits.update_components(frame(spark, first), "row_id", keys())
     before = splits.assign_splits(rows)
     held = {r["component"]: r["split"] for r in before.collect()}
     assert set(held.values()) == {"train", "validation", "test"}
@@ -65,12 +66,12 @@ def test_deliveries_keep_splits_and_quarantine_conflicts(spark):
     y = next(c for c, s in held.items() if s == "test")
     z = [c for c, s in held.items() if s == "train" and c != x][:2]
     second = [(1000, f"a{x}", f"b{y}"), (1001, f"a{z[0]}", f"b{z[1]}"), (1002, f"a{z[0]}", None), (1003, "new", None)]
-    components2, rows2, merges = splits.update_components(frame(spark, second), "row_id", KEYS, components)
+    components2, rows2, merges = splits.update_components(frame(spark, second), "row_id", keys(), components)
     assert {r["id"]: r["component"] for r in rows2.collect()} == {1000: min(x, y), 1001: min(z), 1002: min(z), 1003: 1003}
     after = {r["component"]: (r["split"], r["n_rows"]) for r in splits.assign_splits(rows2, known=before, merges=merges).collect()}
     assert after[min(x, y)] == ("quarantine", 3) and after[min(z)] == ("train", 4) and max(x, y) not in after
     assert all(after[c][0] == s for c, s in held.items() if c not in (x, y, *z))
-    all_rows = {r["id"]: r["component"] for r in splits.update_components(frame(spark, first + second), "row_id", KEYS)[1].collect()}
+    all_rows = {r["id"]: r["component"] for r in splits.update_components(frame(spark, first + second), "row_id", keys())[1].collect()}
     assert all_rows == brute(first + second)
     assert {(r["kind"], r["key"]) for r in components2.collect()} >= {("a", "new"), ("b", "b1")}
 
