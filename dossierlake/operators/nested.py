@@ -15,6 +15,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import reduce
 from html.entities import html5
 from xml.parsers import expat
 
@@ -28,7 +29,7 @@ XML_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
 ENTITY = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
 KINDS = ("sec", "title", "p")
 #: Sections nested deeper than this are carried as text and opened in a further round.
-LEVELS_A_ROUND = 40
+LEVELS_A_ROUND = 12
 
 
 def resolve_entities(text: str) -> str:
@@ -198,8 +199,8 @@ def section_tables(df: DataFrame, id_col: str, content: str, with_text: bool = T
     kind) and text (null for sections and without with_text). rejects: id, error. Null, empty and damaged contents are
     rejects; a repeated id keeps the rows of both files; an empty table gives two empty tables.
 
-    One recursion level of the merged schema at a time: the rows of all levels come out of a single scan of the records
-    (an array of the elements of a level is exploded, its sections go on to the next), without joins and shuffles.
+    One level of the merged schema at a time: its elements are exploded, and its sections go on to the next, with their
+    number as the parent's key; there are no joins and no shuffles.
     """
     records = cut_lineage(xml_records(df, id_col, content, with_text))
     rejects = records.where("error is not null").select("id", "error")
@@ -207,30 +208,24 @@ def section_tables(df: DataFrame, id_col: str, content: str, with_text: bool = T
     parts: list[DataFrame] = []
     while True:
         schema = merged_schema(good, "record")
-        text = F.col("e.text") if with_text else F.lit(None).cast("string")
-        level, t, deeper = good.select("id", F.col("parent").cast("long").alias("parent"), F.from_json("record", schema).alias("v")) if schema.fields else None, schema, []
+        level, t, deeper = good.select("id", F.col("parent").cast("int").alias("parent"), F.from_json("record", schema).alias("v")) if schema.fields else None, schema, []
         while level is not None:
-            going_on = None
-            for kind, array, element in _level_arrays(t, F.col("v")):
-                rows = level.select("id", "parent", F.posexplode(array).alias("at", "e"))
-                shown = text if with_text and kind != "sec" else F.lit(None).cast("string")
-                parts.append(rows.select("id", F.lit(kind).alias("kind"), F.col("e.no").cast("int").alias("node_no"), F.col("parent").cast("int").alias("parent_sec_no"), (F.col("at") + 1).cast("int").alias("pos"), shown.alias("text")))
-                if kind == "sec":
-                    if "deeper" in element.fieldNames():
-                        deeper.append(rows.where("e.deeper is not null").select("id", F.col("e.deeper").alias("record"), F.col("e.no").alias("parent")))
-                    if any(n in KINDS for n in element.fieldNames()):
-                        going_on = (rows.select("id", F.col("e.no").alias("parent"), F.col("e").alias("v")), element)
-            level, t = going_on or (None, t)
+            arrays = {kind: (array, element) for kind, array, element in _level_arrays(t, F.col("v"))}
+            row = lambda kind: lambda e, at: F.struct(F.lit(kind).alias("kind"), e["no"].cast("int").alias("node_no"), (at + 1).cast("int").alias("pos"), (e["text"] if with_text and kind != "sec" else F.lit(None).cast("string")).alias("text"))
+            if arrays:
+                rows = F.flatten(F.array(*(F.coalesce(F.transform(array, row(kind)), F.array()) for kind, (array, _) in arrays.items())))
+                parts.append(level.select("id", "parent", F.explode(rows).alias("e")).select("id", "e.kind", "e.node_no", F.col("parent").alias("parent_sec_no"), "e.pos", "e.text"))
+            if "sec" not in arrays:
+                break
+            array, element = arrays["sec"]
+            below = level.select("id", F.explode(array).alias("v")).select("id", F.col("v.no").cast("int").alias("parent"), "v")
+            if "deeper" in element.fieldNames():
+                deeper.append(below.where("v.deeper is not null").select("id", F.col("v.deeper").alias("record"), "parent"))
+            level, t = (below, element) if any(n in KINDS for n in element.fieldNames()) else (None, t)
         if not deeper:
             break
-        good = deeper[0]
-        for x in deeper[1:]:
-            good = good.unionByName(x)
-        good = cut_lineage(good)
+        good = cut_lineage(reduce(DataFrame.unionByName, deeper))
     if not parts:
         empty = df.sparkSession.createDataFrame([], "kind string, node_no int, parent_sec_no int, pos int, text string")
         return records.select("id").limit(0).crossJoin(empty), rejects
-    elements = parts[0]
-    for x in parts[1:]:
-        elements = elements.unionByName(x)
-    return elements, rejects
+    return reduce(DataFrame.unionByName, parts), rejects
