@@ -196,20 +196,25 @@ def count_words(value: Column) -> Column:
 
 def complexity(value: Column) -> Column:
     """Words, distinct words, sentences, their ratios and readability: JVM expressions only, syllables as runs of vowels."""
-    words = F.filter(F.split(F.lower(clean_text(value)), r"[^\p{L}\p{N}']+"), lambda w: w != "")
-    n = F.size(words)
-    sentences = F.greatest(F.regexp_count(clean_text(value), F.lit(r"[.!?]+(?:\s|$)")), F.lit(1))
-    syllables = F.greatest(F.regexp_count(F.lower(clean_text(value)), F.lit(r"[aeiouyáéíóúàèùâêîôû]+")), F.lit(1))
-    hard = F.size(F.filter(words, lambda w: F.regexp_count(w, F.lit(r"[aeiouy]+")) >= 3))
-    letters = F.length(F.regexp_replace(clean_text(value), r"[^\p{L}\p{N}]", ""))
+    t = clean_text(value)
     per = lambda a, b: F.when(b > 0, a / b)
-    return F.struct(
-        n.alias("words"), F.size(F.array_distinct(words)).alias("distinct_words"), sentences.alias("sentences"),
-        per(F.size(F.array_distinct(words)), n).alias("type_token_ratio"), per(n, sentences).alias("sentence_length"),
-        (206.835 - 1.015 * per(n, sentences) - 84.6 * per(syllables, n)).alias("flesch_ease"),
-        (0.39 * per(n, sentences) + 11.8 * per(syllables, n) - 15.59).alias("flesch_grade"),
-        (0.4 * (per(n, sentences) + 100 * per(hard, n))).alias("fog"),
-        (1.043 * F.sqrt(hard * 30 / sentences) + 3.1291).alias("smog"),
-        (4.71 * per(letters, n) + 0.5 * per(n, sentences) - 21.43).alias("automated_index"),
-        (5.88 * per(letters, n) - 29.6 * per(sentences, n) - 15.8).alias("coleman_liau"),
-    )
+    once = lambda v, body: F.get(F.transform(F.array(v), body), F.lit(0))
+
+    def counts(words: Column) -> Column:
+        return F.struct(
+            F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("distinct"), F.greatest(F.regexp_count(t, F.lit(r"[.!?]+(?:\s|$)")), F.lit(1)).alias("sentences"),
+            F.greatest(F.regexp_count(F.lower(t), F.lit(r"[aeiouyáéíóúàèùâêîôû]+")), F.lit(1)).alias("syllables"),
+            F.size(F.filter(words, lambda w: w.rlike(r"[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]+[aeiouy]"))).alias("hard"), F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", "")).alias("letters"),
+        )
+
+    def indices(c: Column) -> Column:
+        n, s, hard, letters = c["n"], c["sentences"], c["hard"], c["letters"]
+        return F.struct(
+            n.alias("words"), c["distinct"].alias("distinct_words"), s.alias("sentences"), per(c["distinct"], n).alias("type_token_ratio"), per(n, s).alias("sentence_length"),
+            (206.835 - 1.015 * per(n, s) - 84.6 * per(c["syllables"], n)).alias("flesch_ease"), (0.39 * per(n, s) + 11.8 * per(c["syllables"], n) - 15.59).alias("flesch_grade"),
+            (0.4 * (per(n, s) + 100 * per(hard, n))).alias("fog"), (1.043 * F.sqrt(hard * 30 / s) + 3.1291).alias("smog"),
+            (4.71 * per(letters, n) + 0.5 * per(n, s) - 21.43).alias("automated_index"), (5.88 * per(letters, n) - 29.6 * per(s, n) - 15.8).alias("coleman_liau"),
+        )
+
+    words = F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}']+"), lambda w: w != "")
+    return once(once(words, counts), indices)

@@ -203,3 +203,48 @@ def package_metadata(records: DataFrame, package: str, name: str) -> DataFrame:
     merged = records.groupBy(package).agg(F.count("*").alias("xml_file_count"), F.count_if(F.col("error").isNull()).alias("parsed_xml_count"), *first, *united)
     status = F.when(F.col("parsed_xml_count") == F.col("xml_file_count"), "ok").when(F.col("parsed_xml_count") > 0, "partial").otherwise("failed")
     return merged.withColumns({"failed_xml_count": F.col("xml_file_count") - F.col("parsed_xml_count"), "parse_status": status})
+
+
+TITLE_PAGE_END = re.compile(r"^(?:approved|prepared)\b", re.I)
+DATE_LINE = re.compile(r"\b(?:(?:19|20)\d{2}|jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\w*\b.*\b(?:\d{1,2}|(?:19|20)\d{2})\b", re.I)
+FRONT = T.StructType([T.StructField("title_lines", TEXTS), T.StructField("board_date", T.StringType())])
+
+
+def title_page(root: ET.Element) -> list[str]:
+    """The lines of the front matter up to the first that approves, prepares or dates the report."""
+    front = find(root, "front", "book-front", "titlepage")
+    out: list[str] = []
+    for x in walk(front if front is not None else root, (*LEFT_OUT, "sec", "abstract")):
+        own = " ".join((x.text or "").split())
+        if not own:
+            continue
+        if TITLE_PAGE_END.search(own) or (out and DATE_LINE.fullmatch(own)):
+            break
+        out.append(own)
+    return out
+
+
+def board_date(root: ET.Element) -> str | None:
+    """The first line with a date in a section on key issues or the board's discussion; failing that, of the front matter."""
+    for sec in (s for s in walk(root) if local(s) == "sec" and re.search(r"key issues|board|discussion", title_of(s), re.I)):
+        for p in paragraphs_of(sec):
+            if m := DATE_LINE.search(p):
+                return m[0]
+    return next((m[0] for x in title_page(root) if (m := DATE_LINE.search(x))), None)
+
+
+def front_matter(df: DataFrame, id_col: str, content: str) -> DataFrame:
+    """(id, title_lines, board_date); unreadable files have no lines and no date."""
+
+    @F.pandas_udf(FRONT)
+    def take(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for x in batch:
+                try:
+                    rows.append((title_page(root := parse(x)), board_date(root)))
+                except ET.ParseError:
+                    rows.append(([], None))
+            yield pd.DataFrame(rows, columns=FRONT.fieldNames())
+
+    return df.select(F.col(id_col).alias("id"), take(F.col(content)).alias("x")).select("id", "x.*")

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions import lists, stance, text
-from dossierlake.operators import chat, evaluation as ev, lines, models, reports, tables
-from dossierlake.plans.oracle import LABELLED
+from dossierlake.operators import chat, evaluation as ev, lines, models, reports, stages, tables
+from dossierlake.plans.oracle import CLEAN, LABELLED
 from dossierlake.plans.reference import TOPICS, labelled
 from dossierlake.session import table
 from dossierlake.streaming.merge import windowed_counts
@@ -113,6 +113,59 @@ def daily_counts(spark, d):
     return windowed_counts(table(spark, d, "events"), "ts", "event_type")
 
 
+def front_matter(spark, d):
+    return reports.front_matter(xml_files(spark, d), "file_id", "content")
+
+
+def enriched_metadata(spark, d):
+    loaded = stages.load_metadata(table(spark, d, "df_meta"))
+    return stages.enrich_metadata(loaded, table(spark, d, "country_reference")).select("print_isbn", "row_id", "head", "tail", "first_regions", "year_in_title", "is_article_iv", "iso3")
+
+
+def built_documents(spark, d):
+    """One row for each package: parts of its files, metadata, flags."""
+    files = xml_files(spark, d).select("file_id", text.isbn_digits(F.col("package_id")).alias("print_isbn"), "file")
+    meta = stages.load_metadata(table(spark, d, "df_meta").withColumn("print_isbn", text.isbn_digits(F.col("print_isbn")))).select("print_isbn", "title", F.col("year_from_title").alias("year"))
+    docs = stages.build_documents(report_parts(spark, d), files, meta)
+    return docs.select("print_isbn", "n_files", "av_uncertain", "metadata_matched", "buff_verified", "staff_verified", "title", "year", F.size("views").alias("n_views"))
+
+
+def sides_long(spark, d):
+    return stages.sides_long(table(spark, d, "training"), ["row_id"], {"stance_current": "stance_current", "stance_future": "stance_future"})
+
+
+def refreshed_labels(spark, d):
+    """Agreement of df_agree, replaced where the labelled sheet has the report."""
+    fresh = table(spark, d, "labelled_monetary_v6").where("print_isbn is not null").groupBy("print_isbn").agg(F.min_by("agreement_general", F.when(F.col("agreement_general").isNotNull(), F.col("row_id"))).alias("agreement_general"))
+    return stages.refresh_labels(table(spark, d, "df_agree").select("row_id", "print_isbn", "agreement_general"), fresh, ["print_isbn"], ["agreement_general"])
+
+
+def annotator_differences(spark, d):
+    """Pairs of label sources that have judged the same report."""
+    t = table(spark, d, "training").where("print_isbn is not null")
+    one = t.groupBy("print_isbn", "label_source").agg(F.min_by("agreement_general", "row_id").alias("agreement"))
+    return stages.annotator_differences(one, "print_isbn", "label_source", ["agreement"])
+
+
+def example_statistics(spark, d):
+    return stages.example_statistics(table(spark, d, "training").where("staff is not null"), "staff", "agreement_general")
+
+
+def verified_results(spark, d):
+    return stages.verify_results(table(spark, d, "df_meta").where("print_isbn is not null"), table(spark, d, "df_agree"), "print_isbn", "disagreement_areas_gpt0")
+
+
+def harmonized_topics(spark, d):
+    """Sources of documents mapped to topics; the rest stays without."""
+    mapping = spark.createDataFrame([("Staff_Report", "report"), ("press_release", "news"), ("mission_memo", "memo")], "label string, topic string")
+    return stages.harmonize_topics(table(spark, d, "documents").select("doc_id", "source"), "source", mapping)[0]
+
+
+def final_dataset(spark, d):
+    t = labelled(spark, d).select("row_id", "yr", "staff_current", "staff_future", "buff_current", "buff_future", stance.label(F.col("agreement_general")).alias("agreement"))
+    return stages.final_dataset(t)
+
+
 def _coefficients(spark, found: dict) -> DataFrame:
     return spark.createDataFrame([(k, round(v, 6)) for k, v in found.items()], "term string, coefficient double")
 
@@ -140,6 +193,12 @@ ORACLE = {
     "topic_shapes": "select event_id, cast(len(json_keys(props)) as int) as n_topics from events",
     "training_examples": "select row_id, to_json({messages: [{role: 'system', content: 'Judge the agreement.'}, {role: 'user', content: staff}, {role: 'assistant', content: agreement_general}]})::varchar as example from training where staff is not null and agreement_general is not null",
     "panel_model": f"select 'buff_future_num' as term, round(regr_slope(y, x), 6) as coefficient from (select staff_future_num - avg(staff_future_num) over (partition by country) as y, buff_future_num - avg(buff_future_num) over (partition by country) as x from {LABELLED} where country is not null and staff_future_num is not null and buff_future_num is not null)",
+    "sides_long": "select row_id, 'staff' as author, staff as text, staff_stance_current as stance_current, staff_stance_future as stance_future from training union all select row_id, 'buff', buff, buff_stance_current, buff_stance_future from training",
+    "refreshed_labels": "select row_id, print_isbn, coalesce(b.a, agreement_general) as agreement_general from df_agree left join (select print_isbn, arg_min(agreement_general, row_id) as a from labelled_monetary_v6 where print_isbn is not null group by 1) b using (print_isbn)",
+    "annotator_differences": "with o as (select print_isbn, label_source as s, arg_min_null(agreement_general, row_id) as a from training where print_isbn is not null group by 1, 2) select x.print_isbn, x.s as first, y.s as second, x.a is distinct from y.a as agreement_differs from o x join o y on x.print_isbn = y.print_isbn and x.s < y.s",
+    "example_statistics": "select agreement_general as label, count(*) as n, round(avg(length(staff)), 6) as mean_length, cast(min(length(staff)) as int) as min_length, cast(max(length(staff)) as int) as max_length from training where staff is not null group by 1",
+    "verified_results": f"select n_expected, n_missing, n_results, n_empty, round(100.0 * n_empty / n_results, 6) as empty_pct from (select count(distinct print_isbn) as n_expected, count(distinct print_isbn) filter (print_isbn not in (select print_isbn from df_agree where print_isbn is not null)) as n_missing from df_meta), (select count(*) as n_results, count(*) filter ({CLEAN('disagreement_areas_gpt0')} in ('', '[]')) as n_empty from df_agree)",
+    "harmonized_topics": "select doc_id, source, case source when 'staff_report' then 'report' when 'press_release' then 'news' when 'mission_memo' then 'memo' end as topic from documents",
     "daily_counts": "select date_trunc('day', ts) as window_start, event_type, count(*) as n from events group by 1, 2",
 }
 

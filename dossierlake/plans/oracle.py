@@ -63,7 +63,7 @@ def oracle_sql() -> dict[str, str]:
         "policy_mix": f"select yr, 'M' || {WAY('staff_future')} || 'F' || {WAY('buff_future')} as mix, count(*) as n from {LABELLED} group by 1, 2",
         "agreement_overall": "select row_id, mon, fis, coalesce((mon = 1 and fis = 1) or (mon is null and fis = 1) or (fis is null and mon = 1), false) as agreement_overall from (select row_id, cast(case mon_agreement when 'mostly agree' then 1 when 'disagreement exists' then 0 end as double) as mon, cast(case fis_agreement when 'mostly agree' then 1 when 'disagreement exists' then 0 end as double) as fis from df)",
         "stance_wide": f"select c, yr, {', '.join(f'arg_min({x}, row_id) as {x}' for x in ('staff_current', 'staff_future', 'buff_current', 'buff_future'))} from (select *, {PRESENT('country')} as c from {LABELLED}) where c is not null and yr is not null group by c, yr",
-        "agreement_pivot": "select country, year, " + ", ".join(f"nullif(string_agg(text, ' ' order by doc_id) filter (source = '{s}' and trim(text, E' \\n\\r\\t  ') <> ''), '') as {s}" for s in ("staff_report", "buff_statement")) + " from documents where source in ('staff_report', 'buff_statement') and country is not null and year is not null group by country, year",
+        "agreement_pivot": "select print_isbn, country, year, " + ", ".join(f"nullif(string_agg(text, ' ' order by doc_id) filter (source = '{s}' and trim(text, E' \\n\\r\\t  ') <> ''), '') as {s}" for s in ("staff_report", "buff_statement")) + " from documents where source in ('staff_report', 'buff_statement') and print_isbn is not null and country is not null and year is not null group by print_isbn, country, year",
         "text_by_topic": "select print_isbn, source, topic, string_agg(text, E'\\n\\n' order by doc_id) as text from (" + " union all ".join(f"select print_isbn, source, doc_id, text, '{t}' as topic from documents where {HAS('text', w)}" for t, w in TOPICS.items()) + ") where source is not null and print_isbn is not null group by print_isbn, source, topic",
         "paragraph_explode": "select row_id, print_isbn, kind, cast(ord - 1 as int) as ord, paragraph from (select *, row_number() over (partition by print_isbn, kind, paragraph order by row_id, side_no, ord) as rn from (select row_id, print_isbn, side_no, kind, unnest(string_split(body, E'\\n\\n')) as paragraph, generate_subscripts(string_split(body, E'\\n\\n'), 1) as ord from (select row_id, print_isbn, 0 as side_no, 'buff' as kind, buff as body from df_documents union all select row_id, print_isbn, 1, 'staff', staff from df_documents)) where length(paragraph) > 100) where rn = 1",
         "topic_wide": "select *, " + ", ".join(f"case when {t} > 30 then 1 else 0 end as {t}_dummy" for t in TOPICS) + f", greatest({', '.join(TOPICS)}) as best from (select doc_id, " + ", ".join("cast(least(100, 20 * (" + " + ".join(f"len(regexp_extract_all(lower(text), '{w}'))" for w in words) + f")) as int) as {t}" for t, words in TOPICS.items()) + " from documents where text is not null)",

@@ -106,7 +106,7 @@ def stance_wide(spark, d):
 
 def agreement_pivot(spark, d):
     docs = table(spark, d, "documents")
-    return agg.pivot_text(docs.where(F.col("source").isin("staff_report", "buff_statement")), ["country", "year"], "source", ["staff_report", "buff_statement"], "text", "doc_id")
+    return agg.pivot_text(docs.where(F.col("source").isin("staff_report", "buff_statement")), ["print_isbn", "country", "year"], "source", ["staff_report", "buff_statement"], "text", "doc_id")
 
 
 def text_by_topic(spark, d):

@@ -38,7 +38,7 @@ def test_titles_lists_and_fences(spark):
     assert one(spark, text.pairs_to_map, "a: 1 || b : x: y||  || a: 2") == {"a": "2", "b": "x: y"}
     assert one(spark, text.first_of_list, "x | y") == "x" and one(spark, text.first_of_list, None) == ""
     assert one(spark, lambda c: text.fill_placeholders("{A}-{B}", {"A": c, "B": F.lit(None)}), "v") == "v-"
-    assert one(spark, text.drop_upper_words, "The IMF Board G20 said") == "The Board said"
+    assert one(spark, text.drop_upper_words, "The NATO Board G20 said") == "The Board said"
     assert one(spark, lambda c: text.keep_tagged(F.split(c, ";"), ["<p>"], True), "<p>a;b;<p> c") == ["a", "c"]
 
 
