@@ -109,3 +109,38 @@ def markdown_report(metrics: DataFrame, title: str, most: int = 1000) -> str:
     show = lambda v: "" if v is None else f"{v:.4f}" if isinstance(v, float) else str(v)
     line = lambda cells: "| " + " | ".join(cells) + " |"
     return "\n".join([f"# {title}", "", line(metrics.columns), line(["---"] * len(metrics.columns)), *(line(map(show, r)) for r in rows)]) + "\n"
+
+
+def read_sheet(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
+    """A sheet of a workbook, all cells as text. Needs openpyxl; workbooks are read on the driver, so they are for reference lists, not for data."""
+    try:
+        import openpyxl  # noqa: F401
+    except ImportError as e:
+        raise RuntimeError("reading workbooks needs openpyxl; export the sheet as CSV or Parquet instead") from e
+    import pandas as pd
+
+    frame = pd.read_excel(path, sheet_name=sheet, dtype=str)
+    return spark.createDataFrame(frame.where(frame.notna(), None), ", ".join(f"`{c}` string" for c in frame.columns))
+
+
+def read_pdf_pages(spark: SparkSession, root: str) -> DataFrame:
+    """(path, page, body) of the pages of PDF files, extracted in the tasks. Needs pypdf."""
+    try:
+        import pypdf  # noqa: F401
+    except ImportError as e:
+        raise RuntimeError("reading PDF files needs pypdf") from e
+    from collections.abc import Iterator
+
+    import pandas as pd
+
+    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import io
+
+        import pypdf
+
+        for batch in batches:
+            rows = [(p, i + 1, page.extract_text() or "") for p, c in zip(batch["path"], batch["content"]) for i, page in enumerate(pypdf.PdfReader(io.BytesIO(c)).pages)]
+            yield pd.DataFrame(rows, columns=["path", "page", "body"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.pdf").load(root)
+    return files.select("path", "content").mapInPandas(pages, "path string, page int, body string")
