@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dossierlake.functions.text import squash
-from dossierlake.session import cut_lineage, task_slots
+from dossierlake.session import cut_lineage, task_slots, write_shared
 
 #: Abbreviations in names of states and places.
 SHORT_FORMS = {"rep": "republic", "dem": "democratic", "fed": "federal", "st": "saint", "ste": "saint", "n": "north", "s": "south", "e": "east", "w": "west", "kgdm": "kingdom", "princ": "principality", "is": "islands", "isl": "islands", "u": "upper"}
@@ -142,7 +142,7 @@ def map_to_reference(df: DataFrame, id_col: str, name: str, trie: Trie, hint: st
     Null and blank names give no row. A tie between entries at the least distance gives 0, unless `hint` (a column with
     an entry's id) names one of them. Repeated ids and names stay; an empty table gives no rows.
     """
-    rows = df.select(F.col(id_col).alias("id"), squash(F.col(name)).alias("name"), (F.col(hint) if hint else F.lit(None).cast("long")).alias("hint")).where("name is not null and name != ''")
+    rows = write_shared(df.select(F.col(id_col).alias("id"), squash(F.col(name)).alias("name"), (F.col(hint) if hint else F.lit(None).cast("long")).alias("hint")).where("name is not null and name != ''"))
     found = cut_lineage(map_names(rows, "name", trie))
     size = found.agg(F.sum(F.length("name") * 2 + F.size("candidates") * 16 + 64)).first()[0] or 0
     joined = rows.join(F.broadcast(found) if size <= broadcast_bytes else found, "name")
@@ -162,8 +162,12 @@ def title_subject(title: Column) -> Column:
     The head of the title, up to the first colon, semicolon, long dash or spaced dash, unless that is a heading; of a
     heading, what follows 'with', 'on' or 'for' at its end, or else the next part of the title.
     """
-    t = squash(title)
-    parts = F.split(t, r"\s*[:;—]\s*|\s+[-–]\s+")
-    head = F.element_at(parts, 1)
-    in_heading = F.regexp_extract(head, r"(?i)^.*?\b(?:consultation|discussions?|mission|report|release|no\.?\s*\S+)\s+(?:with|on|for|to)\s+(?!the\s+[0-9]{4})(.+)$", 1)
-    return F.when(~head.rlike(HEADINGS), head).when(in_heading != "", in_heading).otherwise(F.coalesce(F.try_element_at(parts, F.lit(2)), head))
+    once = lambda v, body: F.get(F.transform(F.array(v), body), F.lit(0))
+
+    def pick(parts: Column) -> Column:
+        head = F.element_at(parts, 1)
+        in_heading = F.regexp_extract(head, r"(?i)\b(?:consultation|discussions?|mission|report|release|no\.?\s*\S+)\s+(?:with|on|for|to)\s+(?!the\s+[0-9]{4})(.+)$", 1)
+        tail = once(in_heading, lambda x: F.when(x != "", x).otherwise(F.coalesce(F.try_element_at(parts, F.lit(2)), head)))
+        return F.when(~head.rlike(HEADINGS), head).otherwise(tail)
+
+    return once(F.split(squash(title), r"\s*[:;—]\s*|\s+[-–]\s+"), pick)
