@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from dossierlake.functions.text import squash
-from dossierlake.session import cut_lineage, task_slots
+from dossierlake.session import cut_lineage, task_slots, write_shared
 
 #: Cells that say there is nothing.
 NOTHING = ("", "[]", "[ ]", "{}", "()", "nan", "none", "n/a", "na", "null", "-", "--", "nil", "n.a.")
@@ -172,7 +172,7 @@ def split_packed(df: DataFrame, id_col: str, cell: str, broadcast_bytes: int = B
     """
     named = df.select(F.col(id_col).alias("id"), F.col(cell).alias("cell")).where(F.col("cell").isNotNull() & ~F.lower(squash(F.col("cell"))).isin(*NOTHING))
     tokens = named.select("id", F.regexp_extract_all("cell", F.lit(TOKEN), F.lit(0)).alias("tokens"))
-    masked = tokens.select("id", "tokens", F.array_join(F.transform("tokens", mask), "").alias("skeleton"))
+    masked = write_shared(tokens.select("id", "tokens", F.array_join(F.transform("tokens", mask), "").alias("skeleton")))
     spark = df.sparkSession
     rules = cut_lineage(masked.select("skeleton").distinct().repartition(task_slots(spark), "skeleton").select("skeleton", resolve_skeletons("skeleton").alias("rule")))
     size = rules.agg(F.sum(F.length("skeleton") + F.size("rule") * 24 + 64)).first()[0] or 0
