@@ -83,7 +83,7 @@ def classified(spark, d):
 
 def batch_lines(spark, d):
     t = table(spark, d, "labelled_monetary_v6")
-    parts = chat.messages("You read statements.", "{COUNTRY} {YEAR}: {TEXT}", {"COUNTRY": F.col("country"), "YEAR": F.col("year"), "TEXT": text.truncate(F.col("staff"), 2000)}, schema="{agreement: string}")
+    parts = chat.messages("You read statements.", "{COUNTRY} {YEAR}: {TEXT}", {"COUNTRY": F.col("country"), "YEAR": F.col("year"), "TEXT": text.strip(F.coalesce(F.col("staff"), F.lit("")))}, schema="{agreement: string}")
     return t.select("row_id", chat.batch_line(F.concat(F.lit("row-"), "row_id"), parts, "any").alias("line"))
 
 
