@@ -52,3 +52,40 @@ def test_shuffled_rules_give_the_same(spark):
 def test_long_cell(spark):
     df = spark.createDataFrame([(1, ", ".join(f"area {i}" for i in range(5000)))], "row_id bigint, cell string")
     assert split_packed(df, "row_id", "cell").count() == 5000
+
+
+def test_round_trip_of_random_notations(spark):
+    """Random areas written in every notation come back as they were."""
+    import json
+    import random
+
+    import dossierlake.operators.packed as packed
+
+    rng = random.Random(11)
+    plain = ["wage bill", "R&D tax credit", "debt/financing mix", "near-term policy", "authorities' capacity", "VAT threshold", "política cambiaria", "size of the output gap", "G20 rules"]
+    special = ["a, b and c", "rates | corridor width", "energy; costs", 'so-called "neutral" rate', "tax policy (VAT, excises)", "x / y", "2025 budget, second reading"]
+    roman = ["i", "ii", "iii", "iv", "v", "vi"]
+
+    def csv(x):
+        return '"' + x.replace('"', '""') + '"' if x in special or rng.random() < 0.2 else x
+
+    cells, want = [], []
+    for _ in range(400):
+        areas = [rng.choice(plain + special) for _ in range(rng.randrange(1, 7))]
+        how = rng.randrange(9)
+        if how == 0:
+            cells.append(json.dumps(areas, ensure_ascii=rng.random() < 0.5))
+        elif how == 1:
+            cells.append(repr(areas))
+        elif how < 5:
+            seps = [rng.choice([", ", ",", "; ", " ; ", " | ", "|", "\n", "\t", " / ", " || ", "、", "；", ";; "]) for _ in areas]
+            cells.append("".join(csv(a) + s for a, s in zip(areas, seps[:-1] + [rng.choice(["", ";", " "])])))
+        else:
+            areas = [rng.choice(plain) for _ in areas]
+            mark = [lambda i: f"({i + 1}) ", lambda i: f"{i + 1}. ", lambda i: f"({roman[i]}) ", lambda i: "• "][how - 5]
+            sep = rng.choice([" ", "\n"] + (["; "] if how == 7 else []))
+            cells.append(sep.join(mark(i) + a for i, a in enumerate(areas)))
+        want.append(areas)
+    got = cells_of(packed, cells)
+    wrong = [(cells[i], got[i], want[i]) for i in range(len(cells)) if got[i] != want[i]]
+    assert not wrong, wrong[:5]
