@@ -10,7 +10,7 @@ whose fraction, set against a hash of the id, is largest, up to the token where
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from dossierlake.session import cut_lineage
 
@@ -40,9 +40,10 @@ def goals(tokens: DataFrame, targets: DataFrame, total: int | None = None, max_s
     }
 
 
-def _case(values: dict[str, float], otherwise: float = 0.0) -> Column:
-    found = F.create_map(*(F.lit(x) for kv in values.items() for x in kv))
-    return F.coalesce(F.try_element_at(found, F.col("source")), F.lit(otherwise))
+def _with(df: DataFrame, values: dict[str, tuple], columns: str) -> DataFrame:
+    """df with numbers of its source; sources without are left out. They come as a table of one row for each source, so that every step has the same plan and code."""
+    rows = [(s, *map(float, v)) for s, v in values.items()]
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, f"source string, {columns}")), "source")
 
 
 def solve(lengths: DataFrame, plan: dict[str, dict], steps: int = STEPS) -> dict[str, float]:
@@ -59,12 +60,11 @@ def solve(lengths: DataFrame, plan: dict[str, dict], steps: int = STEPS) -> dict
     for _ in range(steps):
         if not at:
             break
-        z = F.col("n") / _case(scale, 1.0)
-        rate = F.exp(F.least(_case(at) * z, F.lit(50.0)))
-        cap = _case({s: float(plan[s]["cap"]) for s in at})
-        sums = lengths.where(F.col("source").isin(*at)).groupBy("source").agg(
-            F.sum(F.col("records") * F.col("n") * F.least(rate, cap)).alias("f"),
-            F.sum(F.when(rate < cap, F.col("records") * F.col("n") * z * rate).otherwise(0.0)).alias("d"),
+        z = F.col("n") / F.col("scale")
+        rate = F.exp(F.least(F.col("at") * z, F.lit(50.0)))
+        sums = _with(lengths, {s: (x, scale[s], plan[s]["cap"]) for s, x in at.items()}, "at double, scale double, cap double").groupBy("source").agg(
+            F.sum(F.col("records") * F.col("n") * F.least(rate, F.col("cap"))).alias("f"),
+            F.sum(F.when(rate < F.col("cap"), F.col("records") * F.col("n") * z * rate).otherwise(0.0)).alias("d"),
         )
         for r in sums.collect():
             s = r["source"]
@@ -95,33 +95,32 @@ def mix(tokens: DataFrame, targets: DataFrame, total: int | None = None, seed: i
     known = usable.where(F.col("source").isin(*plan))
     lengths = cut_lineage(known.groupBy("source", "n").agg(F.count("*").alias("records")))
     found = solve(lengths, plan)
-    exponent = F.least(_case({s: max(min(x, 1e6), -1e6) for s, x in found.items()}) * F.col("n"), F.lit(50.0))
-    cap = _case({s: float(g["cap"]) for s, g in plan.items()})
-    rate = F.when(_case({s: float(x == float("-inf")) for s, x in found.items()}) == 1, 0.0).otherwise(F.least(F.exp(exponent), cap))
+    # lambda, cap; a source without a target has rate 0 and no lambda
+    rates = _with(known, {s: (max(min(x, 1e6), -1e6), g["cap"] if found[s] > float("-inf") else 0) for s, g in plan.items() for x in [found[s]]}, "lambda double, cap double")
     u = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 40)) / float(1 << 40)
-    rated = known.withColumn("rate", rate).withColumns({"whole": F.floor("rate"), "order": F.col("rate") - F.floor("rate") - u})
+    rated = rates.withColumn("rate", F.least(F.exp(F.least(F.col("lambda") * F.col("n"), F.lit(50.0))), F.col("cap"))).withColumns({"whole": F.floor("rate"), "order": F.col("rate") - F.floor("rate") - u})
     # the fraction beats the hash at about the target; the exact place is found from sums over cells of `order`
     cell = F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), F.floor((1 - F.col("order")) * (CELLS / 2)))).cast("int")
-    placed = rated.withColumn("cell", F.when(F.col("rate") > F.col("whole"), cell))
+    placed = rated.select("id", "source", "n", "whole", "order", F.when(F.col("rate") > F.col("whole"), cell).alias("cell"))
     sums = placed.groupBy("source", "cell").agg(F.sum("n").alias("t"), F.sum(F.col("whole") * F.col("n")).alias("w")).collect()  # CELLS rows for each source
     by: dict[str, dict] = {}
     for r in sums:
         by.setdefault(r["source"], {})[r["cell"]] = (r["t"], r["w"])
-    edge, left = {}, {}
+    edge: dict[str, tuple[float, float]] = {}
     for s, cells in by.items():
         rest = plan[s]["aim"] - sum(w for _, w in cells.values())
-        edge[s], left[s] = float(CELLS), 0.0
+        edge[s] = (CELLS, 0.0)
         for c in sorted(c for c in cells if c is not None):
             if cells[c][0] > rest:
-                edge[s], left[s] = float(c), max(0.0, rest)
+                edge[s] = (c, max(0.0, rest))
                 break
             rest -= cells[c][0]
-    last = placed.where(F.col("cell") == _case(edge, -1.0))  # one cell of each source
+    cut = _with(placed, edge, "edge double, room double")
     upto = F.sum("n").over(Window.partitionBy("source").orderBy(F.desc("order"), "id").rowsBetween(Window.unboundedPreceding, 0))
-    more = F.when(F.col("upto") - F.col("n") / 2 <= _case(left), 1).otherwise(0)
-    in_edge = last.withColumn("upto", upto).select("id", "source", "n", (F.col("whole") + more).cast("int").alias("copies"))
-    others = placed.where(F.col("cell").isNull() | (F.col("cell") != _case(edge, -1.0)))
-    outside = others.select("id", "source", "n", (F.col("whole") + F.when(F.col("cell") < _case(edge, -1.0), 1).otherwise(0)).cast("int").alias("copies"))
+    last = cut.where(F.col("cell") == F.col("edge")).withColumn("upto", upto)  # one cell of each source
+    in_edge = last.select("id", "source", "n", (F.col("whole") + (F.col("upto") - F.col("n") / 2 <= F.col("room")).cast("int")).cast("int").alias("copies"))
+    others = cut.where(F.col("cell").isNull() | (F.col("cell") != F.col("edge")))
+    outside = others.select("id", "source", "n", (F.col("whole") + F.coalesce((F.col("cell") < F.col("edge")).cast("int"), F.lit(0))).cast("int").alias("copies"))
     copies = outside.unionByName(in_edge)
     reached = copies.groupBy("source").agg(F.sum(F.col("n") * F.col("copies")).alias("tokens_reached"))
     kinds = "source string, target_share double, max_repeats int, tokens_available bigint, tokens_wanted double, short boolean"
