@@ -5,10 +5,11 @@ one word in EDITS of the longer is added, dropped or changed. Equal texts are on
 
 Seeds are winnowing fingerprints: of the GRAM-word hashes in every window of WINDOW the least is selected, in an order
 that puts rare hashes first (counts over all texts, in a sketch of fixed size). Both texts select the same hash from a
-run of GRAM + WINDOW - 1 unchanged words. A text of n words has n / 5 disjoint runs of that length and a matching text
-spoils at most n / 7 of them, so the n / 7 + 1 runs with the rarest seeds are enough on one side and lose no match: a
-boilerplate paragraph, however common, is looked up only by texts that hold little else. Seeds join within the shift
-that so many edits allow, chains of collinear seeds give the band of the alignment, and the alignment decides.
+run of GRAM + WINDOW - 1 unchanged words. A text of n words has n / 5 disjoint runs of that length, and a matching text
+spoils at most n / 7 of them. So one side looks up only the n / 7 + CHAIN runs with the rarest seeds, and a matching
+text shares CHAIN of them at least (fewer only if the text has too few runs): no match is lost, while a boilerplate
+paragraph, however common, is looked up only by texts that hold little else. Seeds count for a chain within the shift
+that so many edits allow; the words of chained pairs are aligned, and the alignment decides.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ RUN = GRAM + WINDOW - 1
 SKETCH = 1 << 17
 SHIFT_CELL = 32
 #: An index of lookups of up to this many bytes is broadcast; beyond it, seeds are shuffled to it.
-BROADCAST_BYTES, LOOKUP_BYTES = 32 << 20, 56
+BROADCAST_BYTES, LOOKUP_BYTES = 48 << 20, 72
 
 
 def normal_words(text: Column) -> Column:
@@ -44,8 +45,15 @@ def classes(df: DataFrame, id_col: str, text: str, least_words: int = LEAST_WORD
     return members, texts.select("cls", "words", "n", "h1", "h2")
 
 
+def _once(value: Column, body) -> Column:
+    """body with value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def grams(words: Column) -> Column:
-    return F.transform(F.sequence(F.lit(1), F.size(words) - GRAM + 1), lambda i: F.xxhash64(F.array_join(F.slice(words, i, F.lit(GRAM)), " ")))
+    """Hashes of every GRAM words in a row, from hashes of the words."""
+    hashed = F.transform(words, lambda w: F.xxhash64(w))
+    return _once(hashed, lambda h: F.transform(F.sequence(F.lit(0), F.size(h) - GRAM), lambda i: F.xxhash64(*(F.get(h, i + k) for k in range(GRAM)))))
 
 
 def rarity_sketch(texts: DataFrame, column: str = "g") -> Column:
@@ -58,18 +66,25 @@ def rarity_sketch(texts: DataFrame, column: str = "g") -> Column:
     return F.from_json(F.lit("[" + ",".join(levels) + "]"), "array<tinyint>")
 
 
+def _ranked(g: Column, sketch: Column) -> Column:
+    """(level, h, at) of each hash; their order puts rare ones first."""
+    return F.transform(g, lambda h, i: F.struct(F.get(sketch, F.pmod(h, F.lit(SKETCH)).cast("int")).alias("level"), h.alias("h"), (i + 1).alias("at")))
+
+
+def _least(a: Column, at: Column) -> Column:
+    """The least of the window of a that begins at a place from 0."""
+    return F.least(*(F.get(a, at + k) for k in range(WINDOW))) if WINDOW > 1 else F.get(a, at)
+
+
 def winnow(g: Column, sketch: Column) -> Column:
     """The selected (level, h, at) of the windows of g, in order of place, each once."""
-    ranked = F.transform(g, lambda h, i: F.struct(F.get(sketch, F.pmod(h, F.lit(SKETCH)).cast("int")).alias("level"), h.alias("h"), (i + 1).alias("at")))
-    least = lambda a: F.transform(F.sequence(F.lit(1), F.greatest(F.size(a) - WINDOW + 1, F.lit(1))), lambda i: F.array_min(F.slice(a, i, F.lit(WINDOW))))
-    return F.get(F.transform(F.array(ranked), lambda a: F.array_distinct(least(a))), F.lit(0))
+    return _once(_ranked(g, sketch), lambda a: F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(a) - WINDOW), lambda i: _least(a, i))))
 
 
 def lookup_seeds(g: Column, sketch: Column, n: Column) -> Column:
     """The seeds of the n / 7 + CHAIN disjoint runs that are rarest."""
-    ranked = F.transform(g, lambda h, i: F.struct(F.get(sketch, F.pmod(h, F.lit(SKETCH)).cast("int")).alias("level"), h.alias("h"), (i + 1).alias("at")))
-    runs = lambda a: F.transform(F.sequence(F.lit(0), F.floor(n / RUN).cast("int") - 1), lambda i: F.array_min(F.slice(a, i * RUN + 1, F.lit(WINDOW))))
-    return F.slice(F.array_sort(F.get(F.transform(F.array(ranked), runs), F.lit(0))), F.lit(1), F.floor(n / (EDITS - 1)).cast("int") + CHAIN)
+    runs = _once(_ranked(g, sketch), lambda a: F.transform(F.sequence(F.lit(0), F.floor(n / RUN).cast("int") - 1), lambda i: _least(a, i * RUN)))
+    return F.slice(F.array_sort(runs), F.lit(1), F.floor(n / (EDITS - 1)).cast("int") + CHAIN)
 
 
 def edit_distance(a: list[str], b: list[str], most: int) -> int:
@@ -110,18 +125,17 @@ def near_classes(left: DataFrame, right: DataFrame, broadcast_bytes: int = BROAD
     with_grams = lambda t: t.select("cls", "n", grams(F.col("words")).alias("g"))
     lg, rg = with_grams(left), with_grams(right)
     sketch = rarity_sketch(lg.select("g").unionByName(rg.select("g")))
-    most = F.floor(F.col("n") / (EDITS - 1)).cast("int")
-    runs = F.floor(F.col("n") / RUN).cast("int")
-    least = F.greatest(F.lit(1), F.least(runs, most + CHAIN) - most)
-    looked = write_shared(lg.select(F.col("cls").alias("l"), F.col("n").alias("ln"), most.alias("most"), least.alias("least"), F.explode(lookup_seeds(F.col("g"), sketch, F.col("n"))).alias("s")).select("l", "ln", "most", "least", F.col("s.h").alias("h"), F.col("s.at").alias("la")))
+    most = F.floor(F.col("ln") / (EDITS - 1)).cast("int")
+    least = F.greatest(F.lit(1), F.least(F.floor(F.col("ln") / RUN).cast("int"), most + CHAIN) - most)
+    looked = write_shared(lg.select(F.col("cls").alias("l"), F.col("n").alias("ln"), F.explode(lookup_seeds(F.col("g"), sketch, F.col("n"))).alias("s")).select("l", "ln", F.col("s.h").alias("h"), F.col("s.at").alias("la")))
     seeds_of = lambda t: t.select(F.col("cls").alias("r"), F.col("n").alias("rn"), F.explode(winnow(grams(F.col("words")), sketch)).alias("s")).select("r", "rn", F.col("s.h").alias("h"), F.col("s.at").alias("ra"))
-    close = (F.abs(F.col("la") - F.col("ra")) <= F.col("most") + 1) & (F.abs(F.col("ln") - F.col("rn")) <= F.col("most") + 1) & (F.col("l") != F.col("r"))
+    close = (F.abs(F.col("la") - F.col("ra")) <= most + 1) & (F.abs(F.col("ln") - F.col("rn")) <= most + 1) & (F.col("l") != F.col("r"))
     if looked.count() * LOOKUP_BYTES <= broadcast_bytes:  # a text's seeds stay where it is, and its chains are counted there
         seeds = seeds_of(right.repartition(task_slots(spark), "cls")).join(F.broadcast(looked), "h").where(close)
     else:
-        cells = F.sequence(F.floor((F.col("la") - F.col("most") - 1) / SHIFT_CELL), F.floor((F.col("la") + F.col("most") + 1) / SHIFT_CELL))
+        cells = F.sequence(F.floor((F.col("la") - most - 1) / SHIFT_CELL), F.floor((F.col("la") + most + 1) / SHIFT_CELL))
         seeds = seeds_of(right).withColumn("cell", F.floor(F.col("ra") / SHIFT_CELL)).join(looked.withColumn("cell", F.explode(cells)), ["h", "cell"]).where(close)
-    chained = seeds.groupBy("r", "l", "least").agg(F.count("*").alias("n_seeds")).where("n_seeds >= least")
+    chained = seeds.groupBy("r", "l", "ln").agg(F.count("*").alias("n_seeds")).where(F.col("n_seeds") >= least)
     pairs = write_shared(chained.select("l", "r", "n_seeds"))
     lw, rw = left.select(F.col("cls").alias("l"), F.col("words").alias("lw"), F.col("n").alias("ln")), right.select(F.col("cls").alias("r"), F.col("words").alias("rw"), F.col("n").alias("rn"))
 
