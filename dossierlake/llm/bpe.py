@@ -15,7 +15,6 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -44,16 +43,32 @@ def vocabulary_path(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> str
     return f"{folder}/{name}.tiktoken"
 
 
+def spark_hash(data: bytes, seed: int = 42) -> int:
+    """Spark's `hash` of a string: Murmur3 over words of four bytes, the bytes left over one by one as signed numbers."""
+    mask, h, n = 0xFFFFFFFF, seed, len(data)
+    words = [int.from_bytes(data[i : i + 4], "little") for i in range(0, n - n % 4, 4)]
+    for k in words + [x - 256 if x > 127 else x for x in data[n - n % 4 :]]:
+        k = (k * 0xCC9E2D51) & mask
+        k = (((k << 15) | (k >> 17)) * 0x1B873593) & mask
+        h ^= k
+        h = (((h << 13) | (h >> 19)) * 5 + 0xE6546B64) & mask
+    h ^= n
+    h = ((h ^ (h >> 16)) * 0x85EBCA6B) & mask
+    h = ((h ^ (h >> 13)) * 0xC2B2AE35) & mask
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
 def _bucketed(pairs: dict[str, object], kind: str, buckets: int) -> Column:
-    """A literal array of small maps; the bucket of a key is its checksum, which Python and Spark compute alike."""
+    """A literal array of small maps; the bucket of a key is its hash, which Python and Spark compute alike."""
     cells: list[dict] = [{} for _ in range(buckets)]
     for k, v in pairs.items():
-        cells[zlib.crc32(k.encode()) % buckets][k] = v
+        cells[spark_hash(k.encode()) % buckets][k] = v
     return F.from_json(F.lit(json.dumps(cells, separators=(",", ":"))), f"array<map<string,{kind}>>")
 
 
 def _look_up(maps: Column, key: Column, buckets: int) -> Column:
-    return F.try_element_at(F.get(maps, F.pmod(F.crc32(key.cast("binary")), F.lit(buckets)).cast("int")), key)
+    return F.try_element_at(F.get(maps, F.pmod(F.hash(key), F.lit(buckets))), key)
 
 
 def _let(value: Column, body) -> Column:
@@ -131,9 +146,9 @@ def encode(df: DataFrame, id_col: str, text: str, path: str | None = None, most:
     frequent = frequent_words(texts.select(words_of(F.col("text")).alias("words")), "words", most).repartition(task_slots(spark))
     folded = frequent.select("word", _let(rank_map, lambda m: fold(F.col("word"), m)).alias("ids"))
     word_map = _bucketed({r["word"]: r["ids"] for r in folded.collect()}, "array<int>", BUCKETS)  # at most `most` words of DICTIONARY_WORD bytes
-    maps = F.struct(rank_map.alias("ranks"), word_map.alias("words"))  # named once, so that a plan holds each literal once
-    ids_of = lambda w, m: F.coalesce(_look_up(m["words"], w, BUCKETS), fold(w, m["ranks"]))
-    near = texts.where(~long).select("id", words_of(F.col("text")).alias("words")).select("id", _let(maps, lambda m: F.flatten(F.transform("words", lambda w: ids_of(w, m)))).alias("ids"))
+    # each literal is named once, so that a plan holds it once; the ranks are bound only where a word has to be folded
+    ids_of = lambda w: F.coalesce(_look_up(word_map, w, BUCKETS), _let(rank_map, lambda m: fold(w, m)))
+    near = texts.where(~long).select("id", words_of(F.col("text")).alias("words")).select("id", F.flatten(F.transform("words", ids_of)).alias("ids"))
 
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def by_heap(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -48,3 +48,9 @@ def test_whole_table_and_round_trip(spark, small, encoding):
 @given(st.text(min_size=1, max_size=300))
 def test_heap(encoding, text):
     assert bpe.heap_merge(text.encode(), bpe.read_ranks(bpe.vocabulary_path())) == encoding._encode_single_piece(text.encode()) if len(text) else True
+
+
+def test_hash_is_sparks(spark):
+    words = ["", "a", " the", "é", "日本語", "abcd", "abcde", "abcdefg\u00ff", "F0A1", "x" * 63]
+    rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.hash("w").alias("h")).collect()
+    assert {r["w"]: r["h"] for r in rows} == {w: bpe.spark_hash(w.encode()) for w in words}
