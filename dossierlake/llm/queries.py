@@ -129,7 +129,8 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 def source_tokens(spark: SparkSession, d: str) -> DataFrame:
-    counts = bpe.encode(table(spark, d, "documents"), "doc_id", "text").select("id", F.size("ids").cast("long").alias("n"))
+    """(id, source, n): the tokens of each document. The counts are written first: a join's plan, which is kept in many versions, then holds no vocabulary."""
+    counts = write_shared(bpe.encode(table(spark, d, "documents"), "doc_id", "text").select("id", F.size("ids").cast("long").alias("n")))
     sources = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source").where("source is not null")
     return write_shared(sources.join(counts, "id").select("id", "source", "n"))
 
