@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from functools import lru_cache
 from typing import NamedTuple
 
@@ -183,7 +184,8 @@ def addresses(t: str) -> list[Candidate]:
 
 def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
     found: dict[int, Candidate] = {}
-    ends: list[tuple[int, int]] = []
+    begins: list[int] = []  # of the accepted spans, in order; no two of them overlap
+    ends: list[int] = []
 
     def add(begin: int, end: int, given: str, family: str, form: str, head: int | None = None) -> None:
         behind = begin if head is None else head  # a title belongs to the mention's surroundings
@@ -200,13 +202,17 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
             -1 if _institution(words) else 0,
             1 if form == "reversed" else -1 if after[:1] == ":" else 0,
         ), given, family)
-        ends.append((begin, end))
+        if form != "plain" and form != "middle" or not _institution(words):  # 'Governor Prepared By': the next pair may begin inside
+            i = bisect_left(begins, begin)
+            begins.insert(i, begin)
+            ends.insert(i, end)
 
     def word(x: str) -> bool:
         return x.casefold().rstrip(".") in NOT_NAMES
 
     def free(begin: int, end: int) -> bool:
-        return not any(a < end and begin < b for a, b in ends[-40:])
+        i = bisect_left(begins, end)
+        return not i or ends[i - 1] <= begin
 
     for m in TITLED.finditer(t) if any(w in t for w in TITLE_WORDS) else ():
         if not _institution(m["family"].split()[-1]):
@@ -228,9 +234,8 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
             at = m.start() + len(m["given"])
             continue
         add(m.start(), m.end(), m["given"], m["family"], "middle" if m["middle"] else "plain")
-        if _institution(f"{m['given']} {m['family']}"):  # 'Governor Prepared By': the next pair may begin inside
+        if _institution(f"{m['given']} {m['family']}"):
             at = m.start() + len(m["given"])
-            ends.pop()
     return list(found.values())
 
 

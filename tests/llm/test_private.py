@@ -83,3 +83,13 @@ def test_reliabilities():
     q = private.estimate([("++", 300), ("+-", 250), ("-+", 260), ("--", 310), ("+0", 400), ("-0", 400)])
     assert q["++"] > 0.5 > q["--"] and q["+0"] > q["-0"]
     assert private.estimate([]) == {}
+
+
+def test_titled_names_behind_many_pairs():
+    """A titled name is not taken again as a plain pair, however many spans were accepted before it."""
+    pairs = " and ".join(f"{a}{b} {c}" for a in ("Alor", "Belt", "Corv", "Dast", "Elm") for b in ("in", "er", "on", "is", "ut") for c in ("Varova", "Oskula", "Wexma", "Pellha", "Tolba"))
+    text = pairs + ". Mr. Adam Smith agreed. President Ana Varova spoke. Secretary Oskulu left, and Orlio Tolba spoke."
+    got = {text[c.begin : c.end]: c.votes for c in spans.candidates(text, GIVEN) if c.begin > len(pairs)}
+    assert list(got) == ["Adam Smith", "Ana Varova", "Oskulu", "Orlio Tolba"]
+    assert all(got[n][1] == "+" for n in ("Adam Smith", "Ana Varova", "Oskulu")) and got["Orlio Tolba"][1] == "0"
+    assert len(spans.candidates(text, GIVEN)) == 125 + 4
