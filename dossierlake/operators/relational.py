@@ -102,10 +102,12 @@ def first_and_second(df: DataFrame, key: str, order: list[Column], value: str) -
     return numbered.groupBy(key).agg(F.max(F.when(F.col("_n") == 1, F.col(value))).alias("first"), F.max(F.when(F.col("_n") == 2, F.col(value))).alias("second"))
 
 
-def carry_forward(df: DataFrame, at: str, source_year: int, until: int) -> DataFrame:
-    """df, and the rows of one year repeated for the years after it."""
-    later = df.where(F.col(at) == source_year).withColumn(at, F.explode(F.sequence(F.lit(source_year + 1), F.lit(until))))
-    return df.unionByName(later.withColumn(at, F.col(at).cast(df.schema[at].dataType)))
+def carry_forward(df: DataFrame, key: str, at: str, source_year: int, until: int) -> DataFrame:
+    """df, a row for each key and year, and the rows of one year repeated for those of the years after it in which their key has no row."""
+    later = df.where(F.col(at) == source_year).withColumn(at, F.explode(F.sequence(*(F.lit(y).cast(df.schema[at].dataType) for y in (source_year + 1, until)))))
+    taken = df.where(F.col(at).between(source_year + 1, until)).select(F.col(key).alias("_key"), F.col(at).alias("_at")).distinct()
+    missing = later.join(taken, F.col(key).eqNullSafe(F.col("_key")) & (F.col(at) == F.col("_at")), "left_anti")
+    return df.unionByName(missing)
 
 
 def number_rows(df: DataFrame, order: list[Column], name: str = "id", cells: int = 64) -> DataFrame:

@@ -334,7 +334,7 @@ def both_annotated(spark, d):
 
 
 def carried_forward(spark, d):
-    return rel.carry_forward(panel(spark, d, "df", "mon_agreement", "n").where("year <= 2021"), "year", 2021, 2024)
+    return rel.carry_forward(panel(spark, d, "df", "mon_agreement", "n"), "country", "year", 2021, 2024)
 
 
 def latest_per_source(spark, d):

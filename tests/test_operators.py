@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dossierlake.operators import aggregate as agg, chat, evaluation as ev, lines, models, relational as rel, reports, tables
+from dossierlake.plans import reference
 from dossierlake.sources import files
 from dossierlake.streaming.merge import merge_stream
 
@@ -150,3 +151,22 @@ def test_stream_merges_each_file_once(spark, tmp_path):
     run()
     run()
     assert rows(spark.read.parquet(target).select("k", "v")) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_carry_forward_fills_gaps_only(spark):
+    rows = [("a", 2020, 1), ("a", 2021, 2), ("a", 2023, 3), ("b", 2021, 4), ("c", 2022, 5), ("d", 2020, 6), ("b", 2026, 7)]
+    got = rel.carry_forward(spark.createDataFrame(rows, "country string, year int, n bigint"), "country", "year", 2021, 2024)
+    assert sorted(map(tuple, got.collect())) == sorted([*rows, ("a", 2022, 2), ("a", 2024, 2), ("b", 2022, 4), ("b", 2023, 4), ("b", 2024, 4)])
+    assert dict(got.dtypes)["year"] == "int"
+
+
+def test_carried_forward_keeps_later_years(spark, small):
+    """As the reference does it: copies are appended to the whole panel, and of each year and country the first row stays."""
+    panel = {(r["country"], r["year"]): r["n"] for r in reference.panel(spark, small, "df", "mon_agreement", "n").collect()}
+    want = dict(panel)
+    for (country, year), n in panel.items():
+        for later in (2022, 2023, 2024) if year == 2021 else ():
+            want.setdefault((country, later), n)
+    assert any(year > 2021 for _, year in panel)
+    got = [tuple(r) for r in reference.carried_forward(spark, small).select("country", "year", "n").collect()]
+    assert sorted(got) == sorted((*k, n) for k, n in want.items())
