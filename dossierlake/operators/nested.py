@@ -28,7 +28,7 @@ from dossierlake.session import cut_lineage
 XML_ENTITIES = ("amp", "lt", "gt", "quot", "apos")
 ENTITY = re.compile(r"&([A-Za-z][A-Za-z0-9]*);")
 KINDS = ("sec", "title", "p")
-#: Sections nested deeper than this are carried as text and opened in a further round.
+#: Sections nested deeper than this go into a record of their own, at any depth.
 LEVELS_A_ROUND = 12
 
 
@@ -44,8 +44,8 @@ def resolve_entities(text: str) -> str:
     return ENTITY.sub(one, text)
 
 
-def xml_record(content: str | None, with_text: bool = True) -> tuple[str | None, str | None]:
-    """(record as JSON, None), or (None, reason) for a file that is empty or not well-formed."""
+def xml_record(content: str | None, with_text: bool = True) -> tuple[list[tuple[int, str]] | None, str | None]:
+    """([(number of the section above, or 0; record as JSON)], None), or (None, reason) for a file that is empty or not well-formed."""
     if content is None or not content.strip("\ufeff \t\r\n"):
         return None, "empty"
     parser = expat.ParserCreate("utf-8", "}")
@@ -67,8 +67,6 @@ def xml_record(content: str | None, with_text: bool = True) -> tuple[str | None,
         opened.append(item)
         if kind == "sec":
             sections.append(item)
-        if len(sections) > 900:
-            raise RecursionError
 
     def end(name: str) -> None:
         item = opened.pop()
@@ -89,41 +87,36 @@ def xml_record(content: str | None, with_text: bool = True) -> tuple[str | None,
         parser.Parse(resolve_entities(content.removeprefix("\ufeff")).encode("utf-8", "surrogatepass"), True)
     except expat.ExpatError as e:
         return None, f"{expat.errors.messages.get(e.code, 'not well-formed')} at line {e.lineno}"
-    except RecursionError:
-        return None, "sections nested deeper than 900 levels"
-    return json.dumps(_joined(root, with_text), ensure_ascii=False), None
+    return _records(root, with_text), None
 
 
-def _joined(root: dict, with_text: bool) -> dict:
-    """Texts as single strings; sections below LEVELS_A_ROUND levels as a JSON string named `deeper`."""
-
-    def close(item: dict) -> None:
+def _records(root: dict, with_text: bool) -> list[tuple[int, str]]:
+    """The root's record, and one for the sections below each section at LEVELS_A_ROUND levels, twice as many, and so on; texts as single strings."""
+    found, stack = [(0, root)], [(root, 0)]
+    while stack:
+        item, depth = stack.pop()
         for kind in ("title", "p"):
             for x in item.get(kind, ()) if with_text else ():
                 x["text"] = " ".join("".join(x["text"]).split())
-
-    order, stack = [], [(root, 0)]
-    while stack:
-        item, depth = stack.pop()
-        close(item)
-        order.append((item, depth))
         stack += [(s, depth + 1) for s in item.get("sec", ())]
-    for item, depth in sorted(order, key=lambda x: -x[1]):
         if depth and depth % LEVELS_A_ROUND == 0 and "sec" in item:
-            item["deeper"] = json.dumps({"sec": item.pop("sec")}, ensure_ascii=False)
-    return root
+            found.append((item["no"], {"sec": item.pop("sec")}))
+    return [(parent, json.dumps(record, ensure_ascii=False)) for parent, record in found]
 
 
 def xml_records(df: DataFrame, id_col: str, content: str, with_text: bool = True) -> DataFrame:
-    """(id, record, error): each file parsed once, in Arrow batches; record is null where error is not."""
-    schema = T.StructType([T.StructField("record", T.StringType()), T.StructField("error", T.StringType())])
+    """(id, parent, record, error): each file parsed once, in Arrow batches; a row for each of its records, or one with the error."""
+    entry = T.StructType([T.StructField("parent", T.IntegerType()), T.StructField("record", T.StringType())])
+    schema = T.StructType([T.StructField("records", T.ArrayType(entry)), T.StructField("error", T.StringType())])
 
     @F.pandas_udf(schema)
     def parse(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([xml_record(x, with_text) for x in batch], columns=["record", "error"])
+            parsed = [xml_record(x, with_text) for x in batch]
+            yield pd.DataFrame({"records": [r and [{"parent": n, "record": x} for n, x in r] for r, _ in parsed], "error": [e for _, e in parsed]}, dtype=object)
 
-    return df.select(F.col(id_col).alias("id"), parse(F.col(content)).alias("x")).select("id", "x.record", "x.error")
+    files = df.select(F.col(id_col).alias("id"), parse(F.col(content)).alias("x"))
+    return files.select("id", F.explode_outer("x.records").alias("r"), "x.error").select("id", "r.parent", "r.record", "error")
 
 
 def merged_schema(df: DataFrame, record: str) -> T.StructType:
@@ -204,27 +197,21 @@ def section_tables(df: DataFrame, id_col: str, content: str, with_text: bool = T
     """
     records = cut_lineage(xml_records(df, id_col, content, with_text))
     rejects = records.where("error is not null").select("id", "error")
-    good = records.where("record is not null").select("id", "record", F.lit(0).alias("parent"))
+    good = records.where("record is not null").select("id", "record", "parent")
     parts: list[DataFrame] = []
-    while True:
-        schema = merged_schema(good, "record")
-        level, t, deeper = good.select("id", F.col("parent").cast("int").alias("parent"), F.from_json("record", schema).alias("v")) if schema.fields else None, schema, []
-        while level is not None:
-            arrays = {kind: (array, element) for kind, array, element in _level_arrays(t, F.col("v"))}
-            row = lambda kind: lambda e, at: F.struct(F.lit(kind).alias("kind"), e["no"].cast("int").alias("node_no"), (at + 1).cast("int").alias("pos"), (e["text"] if with_text and kind != "sec" else F.lit(None).cast("string")).alias("text"))
-            if arrays:
-                rows = F.flatten(F.array(*(F.coalesce(F.transform(array, row(kind)), F.array()) for kind, (array, _) in arrays.items())))
-                parts.append(level.select("id", "parent", F.explode(rows).alias("e")).select("id", "e.kind", "e.node_no", F.col("parent").alias("parent_sec_no"), "e.pos", "e.text"))
-            if "sec" not in arrays:
-                break
-            array, element = arrays["sec"]
-            below = level.select("id", F.explode(array).alias("v")).select("id", F.col("v.no").cast("int").alias("parent"), "v")
-            if "deeper" in element.fieldNames():
-                deeper.append(below.where("v.deeper is not null").select("id", F.col("v.deeper").alias("record"), "parent"))
-            level, t = (below, element) if any(n in KINDS for n in element.fieldNames()) else (None, t)
-        if not deeper:
+    schema = merged_schema(good, "record")
+    level, t = good.select("id", "parent", F.from_json("record", schema).alias("v")) if schema.fields else None, schema
+    while level is not None:
+        arrays = {kind: (array, element) for kind, array, element in _level_arrays(t, F.col("v"))}
+        row = lambda kind: lambda e, at: F.struct(F.lit(kind).alias("kind"), e["no"].cast("int").alias("node_no"), (at + 1).cast("int").alias("pos"), (e["text"] if with_text and kind != "sec" else F.lit(None).cast("string")).alias("text"))
+        if arrays:
+            rows = F.flatten(F.array(*(F.coalesce(F.transform(array, row(kind)), F.array()) for kind, (array, _) in arrays.items())))
+            parts.append(level.select("id", "parent", F.explode(rows).alias("e")).select("id", "e.kind", "e.node_no", F.col("parent").alias("parent_sec_no"), "e.pos", "e.text"))
+        if "sec" not in arrays:
             break
-        good = cut_lineage(reduce(DataFrame.unionByName, deeper))
+        array, element = arrays["sec"]
+        below = level.select("id", F.explode(array).alias("v")).select("id", F.col("v.no").cast("int").alias("parent"), "v")
+        level, t = (below, element) if any(n in KINDS for n in element.fieldNames()) else (None, t)
     if not parts:
         empty = df.sparkSession.createDataFrame([], "kind string, node_no int, parent_sec_no int, pos int, text string")
         return records.select("id").limit(0).crossJoin(empty), rejects

@@ -90,3 +90,16 @@ def test_any_json_records(spark):
     items = {r["key"]: (r["parent_key"], r["pos"], r["v_n"]) for r in tables["items"].collect()}
     assert items == {"1/items[0]": ("1", 1, 1), "1/items[1]": ("1", 2, 2)}
     assert {(r["parent_key"], r["pos"], r["v_k"]) for r in tables["items.sub"].collect()} == {("1/items[0]", 1, "a"), ("1/items[0]", 2, "b")}
+
+
+def test_sections_at_any_depth(spark):
+    """A chain of 1,500 sections, a paragraph in each; records grow with the file, and no depth is refused."""
+    n = 1500
+    deep = "<a>" + "".join(f"<sec><p>t{i}</p>" for i in range(1, n + 1)) + "</sec>" * n + "</a>"
+    records, error = xml_record(deep)
+    assert error is None and sum(len(r) for _, r in records) < 100 * n
+    found, rejects = elements(spark, [(1, deep, None, None), (2, GOOD, None, None), (3, "<a>", None, None)])
+    assert list(rejects) == [3]
+    got = {(r["kind"], r["node_no"], r["parent_sec_no"], r["pos"], r["text"]) for r in found if r["id"] == 1}
+    assert got == {("sec", i, i - 1, 1, None) for i in range(1, n + 1)} | {("p", i, i, 1, f"t{i}") for i in range(1, n + 1)}
+    assert len(found) == 2 * n + len(expected(GOOD))
