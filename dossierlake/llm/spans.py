@@ -26,7 +26,7 @@ ROADS = ("rue", "avenue", "boulevard", "place", "chemin", "quai", "allée", "imp
 ID_WORDS = r"passport|passeport|pasaporte|national\s+id\w*|nationality\s+id|identity|identité|identidad|\bid\b|tax\s+file|taxpayer|\btax\s+(?:id|no|number)|\btin\b|\bnif\b|\bnit\b|\bdni\b|\bssn\b|\bsin\b|\bnino\b|social\s+(?:security|insurance)|national\s+insurance|insurance\s+n|c[ée]dula|fiscal\s+n|num[ée]ro\s+fiscal|licen[cs]e\s+n"
 PHONE_WORDS = r"\b(?:tel|phone|telephone|mobile|cell|fax|call|tél|téléphone|teléfono|tfno|móvil|hotline|dial|ring)\b\.?"
 NOT_PHONE = r"(?:table|loan|decision|sdr|us\$|\$|€|no\.|project|report|cuadro|tableau|arrears|against)\W{0,3}$"
-BEFORE_NAME = ("by", "contact", "contact :", "contact:", "contacts:", "contacto:", "to", "with", "according", "name:", "name :", "sincerely,", "regards,", "from", "de", "del", "par", "ante", "attn", "attn:", "and", "et", "y")
+BEFORE_NAME = ("by", "contact", "contact :", "contact:", "contacts:", "contacts :", "contacto:", "to", "with", "according", "name:", "name :", "sincerely,", "regards,", "from", "de", "del", "par", "ante", "attn", "attn:", "and", "et", "y")
 BEFORE_STRONG = ("prepared by", "statement by", "filed by", "signed by", "approved by", "according to", "contact", "contact:", "contact :", "contacto", "contacto:", "contacto :", "name:", "name :", "sincerely,", "regards,", "met with", "déclaration de", "declaración de", "declaración del")
 AFTER_NAME = r"^(?:\s*,?\s*(?:joined|concluded|agreed|noted|underscored|said|stated|considered|emphasi[sz]ed|acknowledged|observed|argued|pointed|stressed|recalled|cautioned|reiterated|maintained|recogni[sz]ed|welcomed|tel\b|tél\b|at\s+\S+\s?[@\[(]|passport|national\s+id|tin\b|ssn\b|tax\s+file|social|identity)|\s*,\s*(?:[0-9]{2}|[A-Z][\w’]+\s+(?:director|advisor|administrator)|executive|alternate|senior|administrateur|director|\S+\s+\S+,\s+and)|\s+\(all\s+staff|\s*[\r\n]+\s*(?:governor|minister|gobernador|gouverneur)|\s+and\s+[A-Z][\w’-]+\s+[A-Z])"
 INSTITUTIONS = frozenset("executive director senior advisor central bank ministry finance treasury board fund republic kingdom federation union commonwealth principality staff report press release article consultation annex framework agreement element auctions medium term monetary fiscal policy road street avenue lane bay mission government council statement prepared contact name the authorities decision table loan project some under deposits arrears statistics act islands upper lower north south saint governor minister deputy".split())
@@ -76,7 +76,6 @@ FULL = re.compile(rf"(?<![\w’'.@-])(?P<given>[{U}][{L}]+(?:-[{U}][{L}]+)?|[{U}
 INITIAL = re.compile(rf"(?<![\w’'.@-])(?P<given>{INITIALS}){GAP}*(?P<family>{FAMILY})(?![\w@])")
 TITLED = re.compile(rf"(?<![\w])(?P<title>(?:{'|'.join(TITLES)}|{'|'.join(t.upper() for t in TITLES)})\b\.?[ \r\n]{{1,2}}|(?:{'|'.join(OFFICES)}){GAP}+)(?P<name>(?:(?:[{U}][{L}]+|{INITIALS}){GAP}+(?:{INITIALS}{GAP}+)?)?(?P<family>{FAMILY}))(?![\w@])")
 REVERSED = re.compile(rf"(?<![\w’'.@-])(?P<family>{FAMILY}),{GAP}+(?P<given>[{U}][{L}]+|[{U}]{{2,}}\b)(?:{GAP}+{INITIALS})?")
-STRONG, WEAK = (tuple(" " + x for x in words) for words in (BEFORE_STRONG, BEFORE_NAME))
 BEHIND = re.compile(AFTER_NAME, re.I)
 TITLE_WORDS = (*TITLES, *(w.upper() for w in TITLES), *OFFICES)
 NAMED = re.compile(r"\b(?:[Nn](?:ame|om|ombre)|N(?:AME|OM|OMBRE))\s?:\s*")
@@ -108,6 +107,11 @@ def _institution(word: str) -> bool:
     return any(w in INSTITUTIONS for w in word.casefold().split())
 
 
+def _led(before: str, leads: tuple[str, ...]) -> bool:
+    """Whether before, which begins with a blank, ends in one of the leads, and the lead begins a word."""
+    return before.endswith(leads) and any(before.endswith(x) and not ((c := before[-len(x) - 1]).isalnum() or c == "_") for x in leads)
+
+
 def emails(t: str) -> list[Candidate]:
     out = []
     if "@" in t:
@@ -195,8 +199,8 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
         found[begin] = Candidate("name", begin, end, _vote(
             1 if g in given_names or any(x in given_names for x in g.split("-")) else 0,
             1 if form == "titled" else 0,
-            1 if before.endswith(STRONG) else 0,
-            1 if before.endswith(WEAK) or before.endswith(",") else 0,
+            1 if _led(before, BEFORE_STRONG) else 0,
+            1 if _led(before, BEFORE_NAME) or before.endswith(",") else 0,
             1 if BEHIND.match(after) else 0,
             1 if form in ("initial", "middle", "titled") else 0,
             -1 if _institution(words) else 0,

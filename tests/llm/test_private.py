@@ -93,3 +93,12 @@ def test_titled_names_behind_many_pairs():
     assert list(got) == ["Adam Smith", "Ana Varova", "Oskulu", "Orlio Tolba"]
     assert all(got[n][1] == "+" for n in ("Adam Smith", "Ana Varova", "Oskulu")) and got["Orlio Tolba"][1] == "0"
     assert len(spans.candidates(text, GIVEN)) == 125 + 4
+
+
+@pytest.mark.parametrize("lead, strong, weak", [
+    ("x (statement by ", "+", "+"), ('x "prepared by ', "+", "+"), ("x (contact: ", "+", "+"), ("x /by ", "0", "+"), ("x contacts : ", "0", "+"), ("prepared by ", "+", "+"),
+    ("x standby ", "0", "0"), ("x restatement by ", "0", "+"), ("x prepared-by ", "0", "+"), ("x _by ", "0", "0"), ("x ", "0", "0"),
+])
+def test_leads_begin_a_word(lead, strong, weak):
+    c = next(c for c in spans.candidates(lead + "Noneth Varova", GIVEN) if c.begin == len(lead))
+    assert c.votes[2:4] == strong + weak
