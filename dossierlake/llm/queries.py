@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions.text import isbn_digits, present, read_year
 from dossierlake.llm import bpe, canonical, mixing, overlap, pieces, private, quota, splits
-from dossierlake.session import cut_lineage, table, write_shared
+from dossierlake.session import cut_lineage, shared_dir, table, write_shared
 
 
 def country_trie(spark: SparkSession, d: str) -> canonical.Trie:
@@ -45,8 +47,10 @@ def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
     keyed = cut_lineage(consultation_keys(spark, training, d).join(training.select("row_id", "loaded_at"), "row_id"))
     middle = training.select(F.percentile_approx("loaded_at", 0.5).alias("m")).first()["m"]
     keys = {"report": F.col("report"), "consultation": F.col("consultation")}
-    known, rows, _ = splits.update_components(keyed.where(F.col("loaded_at") <= F.lit(middle)), "row_id", keys)
-    before = splits.assign_splits(rows)
+    first, rows, _ = splits.update_components(keyed.where(F.col("loaded_at") <= F.lit(middle)), "row_id", keys)
+    stored = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    splits.store(first, splits.assign_splits(rows), stored)
+    known, before = splits.load(spark, stored)
     _, later, merges = splits.update_components(keyed.where(F.col("loaded_at") > F.lit(middle)), "row_id", keys, known)
     return splits.split_report(splits.assign_splits(later, known=before, merges=merges))
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from dossierlake.session import cut_lineage
 
@@ -90,6 +90,17 @@ def update_components(df: DataFrame, id_col: str, keys: dict[str, Column], known
     return components, _with_component(rows, names, components), merges
 
 
+def store(components: DataFrame, assigned: DataFrame, path: str) -> None:
+    """Keep what a later session needs: components (kind, key, component) and what assign_splits returned. A folder for each delivery; one that is there is never replaced."""
+    components.select("kind", "key", "component").write.parquet(f"{path}/components")
+    assigned.select("component", "split", "n_rows", "n_new").write.parquet(f"{path}/splits")
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(components, splits) as stored, to be the known ones of the next delivery."""
+    return spark.read.parquet(f"{path}/components"), spark.read.parquet(f"{path}/splits")
+
+
 def assign_splits(rows: DataFrame, shares: dict[str, float] = SHARES, known: DataFrame | None = None, merges: DataFrame | None = None, seed: int = 7) -> DataFrame:
     """(component, split, n_rows, n_new): the split of every component.
 

@@ -86,3 +86,24 @@ def test_a_third_in_one_component(spark):
     rows = spark.createDataFrame([(i, 0 if i < 3000 else i) for i in range(9000)], "id bigint, component bigint")
     report = {r["split"]: r["share"] for r in splits.split_report(splits.assign_splits(rows)).collect()}
     assert report == pytest.approx({"train": 0.8, "validation": 0.1, "test": 0.1}, abs=0.01)
+
+
+def test_known_tables_in_a_later_session(spark, tmp_path):
+    """A delivery in another session that has only the stored tables gives what one with the frames at hand gives."""
+    path = str(tmp_path / "first")
+    one = [(1, "x", None), (2, "x", "p"), (3, "y", None), (4, None, "q")]
+    two = [(5, "x", None), (6, "y", "q"), (7, "z", None)]
+    schema = "id bigint, a string, b string"
+    components, rows, _ = splits.update_components(spark.createDataFrame(one, schema), "id", keys())
+    assigned = splits.assign_splits(rows)
+    splits.store(components, assigned, path)
+    known, before = splits.load(spark.newSession(), path)
+    assert sorted(map(tuple, known.collect())) == sorted(map(tuple, components.collect())) and sorted(map(tuple, before.collect())) == sorted(map(tuple, assigned.collect()))
+
+    def deliver(known, before):
+        _, rows, merges = splits.update_components(known.sparkSession.createDataFrame(two, schema), "id", keys(), known)
+        return sorted(map(tuple, rows.collect())), sorted(map(tuple, splits.assign_splits(rows, known=before, merges=merges).collect()))
+
+    assert deliver(known, before) == deliver(components, assigned)
+    with pytest.raises(Exception, match="(?i)already exists"):
+        splits.store(components, assigned, path)
