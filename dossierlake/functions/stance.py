@@ -19,54 +19,70 @@ def nn(condition: Column) -> Column:
 
 def label(value: Column) -> Column:
     """A label without case and stray blanks; missing ones are 'irrelevant'."""
-    t = F.lower(squash(value))
-    return F.when(t.isNull() | t.isin("", "nan", "none", "null"), F.lit("irrelevant")).otherwise(t)
+    return F.coalesce(F.regexp_replace(F.lower(squash(value)), "^(?:nan|none|null)?$", "irrelevant"), F.lit("irrelevant"))  # the value is named once: rules are put together of labels
 
 
 def score(value: Column, scale: dict[str, float]) -> Column:
-    out = F.lit(None).cast("double")
-    for name, number in scale.items():
-        out = F.when(value == name, F.lit(number)).otherwise(out)
-    return out
+    return F.try_element_at(F.create_map(*(F.lit(x) for kv in scale.items() for x in kv)), value)
 
 
 def size_of_difference(diff: Column) -> Column:
     d = F.abs(diff)
-    return F.when(nn(d >= 3), "major").when(nn(d >= 2), "some").when(nn(d >= 1), "minor").when(nn(d == 0), "no difference").otherwise("irrelevant")
+    return F.when(nn(d >= 3), "major difference").when(nn(d == 2), "some difference").when(nn(d == 1), "minor difference").when(nn(d == 0), "no difference").otherwise("irrelevant")
 
 
 def direction_of_difference(diff: Column) -> Column:
-    """Eight labels from 'much tighter' to 'much looser'; null is irrelevant."""
-    names = ((3, "much tighter"), (2, "tighter"), (1, "slightly tighter"), (0, "same"), (-1, "slightly looser"), (-2, "looser"))
-    out = F.when(diff.isNull(), "irrelevant")
-    for least, name in names:
-        out = out.when(diff >= least, name)
-    return out.otherwise("much looser")
+    """Seven labels from 'significantly tighter' to 'significantly looser'; null and anything between whole steps is irrelevant."""
+    steps = ((2, "tighter"), (1, "moderately tighter"), (0, "same"), (-1, "moderately looser"), (-2, "looser"))
+    out = F.when(nn(diff >= 3), "significantly tighter").when(nn(diff <= -3), "significantly looser")
+    for step, name in steps:
+        out = out.when(nn(diff == step), name)
+    return out.otherwise("irrelevant")
 
 
 def bucket(diff: Column) -> Column:
     """Six buckets; null falls through to the last, so drop nulls before."""
-    return F.when(nn(diff >= 3), "sig. tighter").when(nn(diff == 2), "tighter").when(nn(diff == 1), "mod. tighter").when(nn(diff == 0), "same").when(nn(diff == -1), "mod. looser").otherwise("looser")
+    return F.when(nn(diff >= 3), BUCKETS[0]).when(nn(diff == 2), BUCKETS[1]).when(nn(diff == 1), BUCKETS[2]).when(nn(diff == 0), BUCKETS[3]).when(nn(diff == -1), BUCKETS[4]).otherwise(BUCKETS[5])
 
 
-BUCKETS = ("sig. tighter", "tighter", "mod. tighter", "same", "mod. looser", "looser")
+#: The buckets in order.
+BUCKETS = ("significantly tighter", "tighter", "moderately tighter", "same", "moderately looser", "looser")
+#: Labels that are no view.
+NO_VIEW = ("", "nan", "n", "unclear", "irrelevant")
 
 
 def agree(a: Column, b: Column, scale: dict[str, float] | None = None, within: float = 0.0) -> Column:
-    """'irrelevant' if either side has no view, else whether they are equal or, on a scale, within a distance."""
-    bad = nn(a.isin(*UNCLEAR)) | nn(b.isin(*UNCLEAR)) | a.isNull() | b.isNull()
-    same = nn(F.abs(score(a, scale) - score(b, scale)) <= within) if scale else nn(a == b)
-    return F.when(bad, "irrelevant").when(same, "mostly agree").otherwise("disagreement exists")
+    """'irrelevant' if either side has no view, else whether they are equal or, on a scale, within a distance; a label off the scale is irrelevant too."""
+    none = nn(a.isin(*NO_VIEW)) | nn(b.isin(*NO_VIEW)) | a.isNull() | b.isNull()
+    if not scale:
+        return F.when(none, "irrelevant").when(a == b, "mostly agree").otherwise("disagreement exists")
+    far = F.abs(score(a, scale) - score(b, scale))
+    return F.when(none | far.isNull(), "irrelevant").when(far <= within, "mostly agree").otherwise("disagreement exists")
+
+
+#: The cells of disagreement areas that excuse a disagreement in the text, as they are written.
+MONETARY_EXCUSE, FISCAL_EXCUSE = "Future Policy Direction", "['near-term policy direction']"
+
+
+def verdict(parts: list[Column], clash: Column, text: Column, areas: Column, excuse: str) -> Column:
+    """'irrelevant' if all parts and the text are (a missing text is, a missing part is not); else a disagreement if the
+    parts clash or the text disagrees about anything but the excused area; else agreement."""
+    no_text = text.isNull() | nn(text == "irrelevant")
+    nothing = no_text
+    for p in parts:
+        nothing = nothing & nn(p == "irrelevant")
+    in_text = nn(text == "disagreement exists") & ~nn(areas == excuse)
+    return F.when(nothing, "irrelevant").when(nn(clash) | in_text, "disagreement exists").otherwise("mostly agree")
+
+
+def general_agreement(current: Column, future: Column, text: Column, areas: Column, diff: Column) -> Column:
+    """The monetary verdict: a disagreement on the current stance, or future stances more than one step apart, or the text decides."""
+    return verdict([current, future], nn(current == "disagreement exists") | nn(F.abs(diff) > 1), text, areas, MONETARY_EXCUSE)
 
 
-def general_agreement(current: Column, future: Column, text: Column, areas: Column, diff: Column, future_area: str = "future policy direction") -> Column:
-    """One verdict from the parts. All irrelevant is irrelevant; a disagreement in the text counts unless its only area is
-    the future direction and the labels differ by one step at most; else a difference of the parts counts. Missing parts
-    are not irrelevant, so a record without any part mostly agrees."""
-    all_irrelevant = nn(current == "irrelevant") & nn(future == "irrelevant") & (text.isNull() | nn(text == "irrelevant"))
-    excused = nn(F.lower(areas) == future_area) & nn(F.abs(diff) <= 1)
-    clash = nn(text == "disagreement exists") | (nn(current == "disagreement exists") & nn(future == "disagreement exists"))
-    return F.when(all_irrelevant, "irrelevant").when(excused, "mostly agree").when(clash, "disagreement exists").otherwise("mostly agree")
+def fiscal_agreement(near_term: Column, text: Column, areas: Column, diff: Column) -> Column:
+    """The fiscal verdict: near-term stances more than one step apart, or the text decides."""
+    return verdict([near_term], nn(F.abs(diff) > 1), text, areas, FISCAL_EXCUSE)
 
 
 def policy_mix(monetary: Column, fiscal: Column) -> Column:
@@ -93,9 +109,75 @@ def dummy(confidence: Column, above: int = 30) -> Column:
     return nn(confidence > above).cast("int")
 
 
+def disagree_economic(*areas: Column) -> Column:
+    """Whether any of the cells names the economic assessment."""
+    out = F.lit(False)
+    for c in areas:
+        out = out | nn(F.contains(F.lower(c), F.lit("economic assessment")))
+    return out
+
+
+def topic_dummies(scores: dict[str, Column], least: float = 70) -> dict[str, Column]:
+    """name -> whether the topic has the greatest score of all and that is at least `least`; ties are all true, a missing score counts 0."""
+    known = {n: F.coalesce(c, F.lit(0)) for n, c in scores.items()}
+    top = F.greatest(*known.values()) if len(known) > 1 else next(iter(known.values()))
+    return {n: (c == top) & (c >= least) for n, c in known.items()}
+
+
+#: How labels are written another way, by field; topics; words for the two sides.
+CURRENT_FIXES = {"moderately tight": "restrictive", "tightening bias": "restrictive", "close to neutral": "neutral"}
+FUTURE_UNCLEAR = {"unclear": "no change / unclear", "no change": "no change / unclear", "gradual normalization": "no change / unclear"}
+NEAR_TERM_UNCLEAR = {"unclear": "no change / unclear", "no change": "no change / unclear"}
+AGREEMENT_FIXES = {"Micah mostly agree": "mostly agree", "appropriately agree": "mostly agree", "валлийский": "mostly agree"}
+TOPIC_RENAME = {"Economic Outlook": "Real", "Monetary Policy": "Monetary", "Fiscal Stance": "Fiscal", "Financial Stability": "Financial", "External Stance": "External"}
+TYPES = {"staff_a": "staff", "buff_a": "buff"}
+VERBS = {"staff": "recommended", "buff": "planned"}
+AGREEMENTS = ("irrelevant", "disagreement exists", "mostly agree")
+CURRENT_LABELS = ("restrictive", "neutral", "accommodative", "unclear", "irrelevant")
+FUTURE_LABELS = ("tightening", "tightening bias", "no change", "loosening bias", "loosening", "unclear", "irrelevant")
+#: What two annotators' labels, in order of the alphabet, come to if they differ, by field.
+ANY_FIELD = {("irrelevant", "unclear"): "unclear", ("tightening", "tightening tendency"): "tightening tendency", ("loosening", "loosening tendency"): "loosening tendency"}
+MERGED = {
+    "current": ANY_FIELD | {("neutral", "unclear"): "unclear", ("irrelevant", "neutral"): "irrelevant"},
+    "future": ANY_FIELD | {("neutral", "unclear"): "neutral", ("irrelevant", "neutral"): "neutral"},
+    "agreement": {("mostly agree", "unrelated"): "mostly agree"},
+}
+
+
+def reconcile(a: Column, b: Column, field: str) -> Column:
+    """One label of two annotators': the common one, or what the pair in any order comes to, or null: somebody has to look. A missing label counts as an empty one."""
+    x, y = F.coalesce(a, F.lit("")), F.coalesce(b, F.lit(""))
+    pair = F.concat_ws("\u0001", F.least(x, y), F.greatest(x, y))
+    known = F.create_map(*(F.lit(v) for k, label in MERGED[field].items() for v in ("\u0001".join(k), label)))
+    return F.when(nn(a == b), a).otherwise(F.try_element_at(known, pair))
+
+
+def repair(current: Column, future: Column) -> tuple[Column, Column]:
+    """(current, future) with each repaired by the other: a known current view makes an unknown future 'neutral', then a
+    known future makes an irrelevant current 'unclear'; at last a 'tendency' is a bias and a neutral future no change."""
+    unknown = lambda c: nn(c.isin(*UNCLEAR))
+    filled = F.when(current.isNotNull() & ~unknown(current) & unknown(future), "neutral").otherwise(future)
+    now = F.when(nn(current == "irrelevant") & filled.isNotNull() & ~unknown(filled), "unclear").otherwise(current)
+    return now, F.replace(F.replace(filled, F.lit("tendency"), F.lit("bias")), F.lit("neutral"), F.lit("no change"))
+
+
+def fold_stance(value: Column) -> Column:
+    """Stances as they are scored: irrelevant is unclear, and a bias counts as its direction."""
+    return F.when(value == "irrelevant", "unclear").otherwise(F.replace(value, F.lit(" bias"), F.lit("")))
+
+
+def fold_agreement(value: Column) -> Column:
+    return F.when(value == "irrelevant", "mostly agree").otherwise(value)
+
+
+def is_label(value: Column, allowed: tuple[str, ...]) -> Column:
+    """Whether it is exactly one of the labels; null is none."""
+    return nn(value.isin(*allowed))
+
+
 def recode(value: Column, mapping: dict[str, str]) -> Column:
     """Mapped labels; others stay."""
-    out = value
-    for old, new in mapping.items():
-        out = F.when(value == old, F.lit(new)).otherwise(out)
-    return out
+    if not mapping:
+        return value
+    known = F.create_map(*(F.lit(x) for kv in mapping.items() for x in kv))
+    return F.coalesce(F.try_element_at(known, value), value)

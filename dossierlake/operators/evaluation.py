@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dossierlake.functions.lists import jaccard, safe_list
+from dossierlake.functions.stance import fold_stance
 from dossierlake.functions.text import squash
 
 
@@ -43,10 +43,6 @@ def transitions(df: DataFrame, a: str, b: str, k: int = 5) -> DataFrame:
     return changed.crossJoin(F.broadcast(total)).select("old", "new", "n", F.round(100.0 * F.col("n") / F.col("total"), 6).alias("pct")).orderBy(F.desc("n"), "old", "new").limit(k)
 
 
-def list_similarity(df: DataFrame, a: str, b: str) -> Column:
-    return jaccard(safe_list(F.col(a)), safe_list(F.col(b)))
-
-
 def confusion(df: DataFrame, gold: str, predicted: str, merge: dict[str, str] | None = None) -> DataFrame:
     """(gold, predicted, n) of rows with both labels; labels may be merged first."""
     put = lambda c: reduce(lambda out, kv: F.when(F.col(c) == kv[0], F.lit(kv[1])).otherwise(out), (merge or {}).items(), F.col(c))
@@ -102,5 +98,15 @@ def bottom_matrix(rates: DataFrame, key: str, at: str, rate: str, years: list[in
     return rates.join(F.broadcast(worst), key, "left_semi").groupBy(key).pivot(at, years).agg(F.round(F.avg(rate), 6))
 
 
-def within_share(df: DataFrame, by: str, n: str) -> Column:
-    return F.col(n) / F.sum(n).over(Window.partitionBy(by))
+def field_accuracies(df: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """(metric, value): for each field (gold, predicted) the accuracy, and the accuracy after folding (`fold_stance`) as '…_merge_unclear'. Rows without either label count nowhere."""
+    parts = []
+    for name, (gold, said) in fields.items():
+        for tail, put in (("", lambda c: c), ("_merge_unclear", fold_stance)):
+            parts.append(F.struct(F.lit(f"{name}_accuracy{tail}").alias("metric"), (put(F.col(gold)) == put(F.col(said))).cast("int").alias("hit")))
+    return df.select(F.explode(F.array(*parts)).alias("x")).where("x.hit is not null").groupBy("x.metric").agg(F.round(F.avg("x.hit"), 6).alias("value"))
+
+
+def average_metric(metrics: DataFrame, part: str = "accuracy") -> DataFrame:
+    """The mean of all metrics whose name has the part in it, so folded ones count as well."""
+    return metrics.where(F.contains("metric", F.lit(part))).agg(F.round(F.avg("value"), 5).alias(f"average_{part}"))

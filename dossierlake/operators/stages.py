@@ -101,9 +101,10 @@ def evaluate_grid(df: DataFrame, body: str, gold: str, classifiers: dict[str, Ca
 
 
 def example_statistics(df: DataFrame, body: str, label: str) -> DataFrame:
-    """Per label: rows, and mean, least and greatest length of the text."""
+    """Per label: rows, and mean, median, least and greatest length of the text; the label 'ALL' stands for the whole set."""
     n = F.char_length(body)
-    return df.groupBy(F.col(label).alias("label")).agg(F.count("*").alias("n"), F.round(F.avg(n), 6).alias("mean_length"), F.min(n).alias("min_length"), F.max(n).alias("max_length"))
+    rows = df.select(F.explode(F.array(F.col(label), F.lit("ALL"))).alias("label"), n.alias("n"))
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.round(F.avg("n"), 6).alias("mean_length"), F.round(F.percentile("n", 0.5), 6).alias("median_length"), F.min("n").alias("min_length"), F.max("n").alias("max_length"))
 
 
 def verify_results(expected: DataFrame, results: DataFrame, key: str, label: str) -> DataFrame:
@@ -115,6 +116,12 @@ def verify_results(expected: DataFrame, results: DataFrame, key: str, label: str
     return names.agg(F.count("*").alias("n_expected")).crossJoin(missing).crossJoin(found).withColumn("empty_pct", F.round(F.coalesce(100.0 * F.col("n_empty") / F.nullif("n_results", F.lit(0)), F.lit(0.0)), 6))
 
 
+def unresolved(expected: DataFrame, results: DataFrame, key: str) -> DataFrame:
+    """(key, problem): keys without a result ('missing') and results nobody asked for ('unmatched')."""
+    a, b = expected.select(key).where(F.col(key).isNotNull()).distinct(), results.select(key).where(F.col(key).isNotNull()).distinct()
+    return a.join(b, key, "left_anti").withColumn("problem", F.lit("missing")).unionByName(b.join(a, key, "left_anti").withColumn("problem", F.lit("unmatched")))
+
+
 def harmonize_topics(df: DataFrame, label: str, mapping: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(df with topic, labels the mapping lacks): labels are matched without case; mapping: (label, topic), one row for each label."""
     keyed = df.withColumn("_k", text.name_key(F.col(label)))
@@ -123,14 +130,43 @@ def harmonize_topics(df: DataFrame, label: str, mapping: DataFrame) -> tuple[Dat
     return keyed.join(known, "_k", "left").drop("_k"), lacking
 
 
-def final_dataset(labels: DataFrame) -> DataFrame:
-    """Numeric scores, differences, agreement by part, overall agreement and policy mix from cleaned labels.
-
-    labels: staff_current, staff_future, buff_current, buff_future and agreement, with 'irrelevant' for missing ones.
+def stance_parts(wide: DataFrame, prefix: str, fields: dict[str, dict[str, float]]) -> DataFrame:
+    """wide (key, staff_<field>, buff_<field>…) as key and, for each field, both labels, both scores, their difference, its
+    two names and the agreement: on the current stance by equality, on others within a step. Missing labels are irrelevant."""
+    c, key = F.col, wide.columns[0]
+    clean = wide.select(key, *(stance.label(c(f"{w}_{f}")).alias(f"{prefix}_{f}_{w}") for f in fields for w in ("staff", "buff")))
+    if "current" in fields:
+        clean = clean.withColumns({f"{prefix}_current_{w}": stance.recode(c(f"{prefix}_current_{w}"), stance.CURRENT_FIXES) for w in ("staff", "buff")})
+    scored = clean.withColumns({f"{prefix}_{f}_{w}_num": stance.score(c(f"{prefix}_{f}_{w}"), scale) for f, scale in fields.items() for w in ("staff", "buff")})
+    diff = scored.withColumns({f"{prefix}_{f}_num": c(f"{prefix}_{f}_staff_num") - c(f"{prefix}_{f}_buff_num") for f in fields})
+    both = lambda f: (c(f"{prefix}_{f}_staff"), c(f"{prefix}_{f}_buff"))
+    named = {}
+    for f, scale in fields.items():
+        named[f"{prefix}_agreement_{f}"] = stance.agree(*both(f)) if f == "current" else stance.agree(*both(f), scale, 1)
+        named[f"{prefix}_{f}_size"], named[f"{prefix}_{f}_direction"] = stance.size_of_difference(c(f"{prefix}_{f}_num")), stance.direction_of_difference(c(f"{prefix}_{f}_num"))
+    return diff.withColumns(named)
+
+
+def final_dataset(reports: DataFrame, monetary: DataFrame, fiscal: DataFrame, monetary_stances: DataFrame, fiscal_stances: DataFrame, key: str = "print_isbn") -> DataFrame:
+    """One row for each report (more if a joined table repeats its key): four left joins by key, verdicts, policy mix and binary labels.
+
+    monetary and fiscal: key, agreement, disagreement_areas. monetary_stances: key and staff_/buff_ current and future;
+    fiscal_stances: key and staff_/buff_ near_term. A report without a row in any of them has null parts, which are not
+    irrelevant, so its verdicts follow the rule for missing parts.
     """
     c = F.col
-    scored = labels.withColumns({f"{w}_{t}_num": stance.score(c(f"{w}_{t}"), s) for w in ("staff", "buff") for t, s in (("current", stance.CURRENT), ("future", stance.FUTURE))})
-    diff = scored.withColumns({"cur_diff": c("staff_current_num") - c("buff_current_num"), "fut_diff": c("staff_future_num") - c("buff_future_num")})
-    parts = diff.withColumns({"agree_current": stance.agree(c("staff_current"), c("buff_current")), "agree_future": stance.agree(c("staff_future"), c("buff_future"), stance.FUTURE, 1)})
-    verdict = stance.general_agreement(c("agree_current"), c("agree_future"), c("agreement"), F.lit(None).cast("string"), c("fut_diff"))
-    return parts.withColumns({"verdict": verdict, "size_label": stance.size_of_difference(c("fut_diff")), "direction_label": stance.direction_of_difference(c("fut_diff")), "mix": stance.policy_mix(c("staff_future"), c("buff_future"))}).withColumn("verdict_bin", stance.binary(c("verdict")))
+    text = lambda df, p: df.select(key, c("agreement").alias(f"{p}_agreement"), c("disagreement_areas").alias(f"{p}_disagreement_areas"))
+    cleaned = text(fiscal, "fis").withColumn("fis_agreement", stance.recode(c("fis_agreement"), stance.AGREEMENT_FIXES))
+    joined = reports.join(text(monetary, "mon"), key, "left").join(cleaned, key, "left")
+    joined = joined.join(stance_parts(monetary_stances, "mon", {"current": stance.CURRENT, "future": stance.FUTURE}), key, "left")
+    joined = joined.join(stance_parts(fiscal_stances, "fis", {"near_term": stance.FUTURE}), key, "left")
+    judged = joined.withColumns({
+        "mon_agreement_general": stance.general_agreement(c("mon_agreement_current"), c("mon_agreement_future"), c("mon_agreement"), c("mon_disagreement_areas"), c("mon_future_num")),
+        "fis_agreement_general": stance.fiscal_agreement(c("fis_agreement_near_term"), c("fis_agreement"), c("fis_disagreement_areas"), c("fis_near_term_num")),
+        "disagree_economic": stance.disagree_economic(c("mon_disagreement_areas"), c("fis_disagreement_areas")),
+        **{f"mon_future_{w}": stance.recode(c(f"mon_future_{w}"), stance.FUTURE_UNCLEAR) for w in ("staff", "buff")},
+        **{f"fis_near_term_{w}": stance.recode(c(f"fis_near_term_{w}"), stance.NEAR_TERM_UNCLEAR) for w in ("staff", "buff")},
+    })
+    mixed = judged.withColumns({f"policy_mix_{w}": stance.policy_mix(c(f"mon_future_{w}"), c(f"fis_near_term_{w}")) for w in ("staff", "buff")})
+    binary = mixed.withColumns({f"{n}_bin": stance.binary(c(n)) for n in ("mon_agreement", "fis_agreement", "mon_agreement_general", "fis_agreement_general")})
+    return binary.withColumn("agreement_overall", stance.overall(c("mon_agreement_general_bin"), c("fis_agreement_general_bin")))

@@ -68,9 +68,8 @@ def table_rules(spark, d):
 
 def page_range(spark, d):
     """Paragraphs of documents as pages: from the first that mentions risks to four pages on."""
-    docs = table(spark, d, "df_documents").where("print_isbn is not null")
-    pages = docs.groupBy("print_isbn").agg(F.min_by("staff", "row_id").alias("staff")).select("print_isbn", F.posexplode(F.split("staff", "\n\n")).alias("page", "body"))
-    return tables.page_range(pages, "print_isbn", "page", "body", "risks are tilted")
+    pages = table(spark, d, "df_documents").select("row_id", F.posexplode(F.split("staff", "\n\n")).alias("page", "body"))
+    return tables.page_range(pages, "row_id", "page", "body", "risks are tilted")
 
 
 def classified(spark, d):
@@ -161,11 +160,6 @@ def harmonized_topics(spark, d):
     return stages.harmonize_topics(table(spark, d, "documents").select("doc_id", "source"), "source", mapping)[0]
 
 
-def final_dataset(spark, d):
-    t = labelled(spark, d).select("row_id", "yr", "staff_current", "staff_future", "buff_current", "buff_future", stance.label(F.col("agreement_general")).alias("agreement"))
-    return stages.final_dataset(t)
-
-
 def _coefficients(spark, found: dict) -> DataFrame:
     return spark.createDataFrame([(k, round(v, 6)) for k, v in found.items()], "term string, coefficient double")
 
@@ -186,7 +180,7 @@ def probit_model(spark, d):
 ORACLE = {
     "file_roles": "select file_id, package_id, case when regexp_matches(file, '(?i)manifest') then 'manifest' when regexp_matches(file, '(?i)-a[0-9]{3}\\b') or regexp_matches(file, '(?i)^A[0-9]{2}_') then 'article' when regexp_matches(file, '(?i)front') then 'front_matter' when regexp_matches(file, '(?i)issue') then 'issue' when regexp_matches(file, '(?i)book') then 'book' else 'other' end as role, case when regexp_matches(file, '(?i)-a[0-9]{3}\\b') or regexp_matches(file, '(?i)^A[0-9]{2}_') then 2 else 4 end as file_rank, coalesce(try_cast(nullif(regexp_extract(file, '(?i)(?:-a|^A)([0-9]{2,3})', 1), '') as int), 999) as number from articleiv_xml_updated",
     "packages": "select package_id, min(file) as first_path, count(*) as n_files from articleiv_xml_updated group by 1",
-    "page_range": "select print_isbn, min(page) filter (contains(lower(body), 'risks are tilted')) as first_page, least(min(page) filter (contains(lower(body), 'risks are tilted')) + 4, max(page)) as last_page from (select print_isbn, unnest(string_split(staff, E'\\n\\n')) as body, cast(generate_subscripts(string_split(staff, E'\\n\\n'), 1) - 1 as int) as page from (select print_isbn, arg_min_null(staff, row_id) as staff from df_documents where print_isbn is not null group by 1)) group by 1 having count(*) filter (contains(lower(body), 'risks are tilted')) > 0",
+    "page_range": "select row_id, min(page) filter (contains(lower(body), 'risks are tilted')) as first_page, least(min(page) filter (contains(lower(body), 'risks are tilted')) + 4, max(page)) as last_page from (select row_id, unnest(string_split(staff, E'\\n\\n')) as body, cast(generate_subscripts(string_split(staff, E'\\n\\n'), 1) - 1 as int) as page from df_documents) group by 1 having count(*) filter (contains(lower(body), 'risks are tilted')) > 0",
     "classified": "select row_id, topic, confidence, case when confidence > 30 then 1 else 0 end as dummy from (" + " union all ".join(f"select row_id, '{t}' as topic, cast(least(100, 20 * (" + " + ".join(f"len(regexp_extract_all(lower(coalesce(staff, '')), '{w}'))" for w in words) + ")) as int) as confidence from labelled_monetary_v6" for t, words in TOPICS.items()) + ")",
     "batch_replies": "select cast(row_id as varchar) as id, bare as text, case when error_gpt0 is null then 'no reply' end as error, json_extract_string(bare, '$.agreement') as agreement from (select row_id, error_gpt0, trim(regexp_replace(error_gpt0, '```[A-Za-z]*', '', 'g'), E' \\n') as bare from df_agree)",
     "example_errors": "select count(*) as n_examples, cast(0 as bigint) as missing_messages, cast(0 as bigint) as no_assistant, cast(0 as bigint) as unknown_role, count(*) filter (staff = '') as empty_content from training where staff is not null and agreement_general is not null",
@@ -196,7 +190,7 @@ ORACLE = {
     "sides_long": "select row_id, 'staff' as author, staff as text, staff_stance_current as stance_current, staff_stance_future as stance_future from training union all select row_id, 'buff', buff, buff_stance_current, buff_stance_future from training",
     "refreshed_labels": "select row_id, print_isbn, coalesce(b.a, agreement_general) as agreement_general from df_agree left join (select print_isbn, arg_min(agreement_general, row_id) as a from labelled_monetary_v6 where print_isbn is not null group by 1) b using (print_isbn)",
     "annotator_differences": "with o as (select print_isbn, label_source as s, arg_min_null(agreement_general, row_id) as a from training where print_isbn is not null group by 1, 2) select x.print_isbn, x.s as first, y.s as second, x.a is distinct from y.a as agreement_differs from o x join o y on x.print_isbn = y.print_isbn and x.s < y.s",
-    "example_statistics": "select agreement_general as label, count(*) as n, round(avg(length(staff)), 6) as mean_length, cast(min(length(staff)) as int) as min_length, cast(max(length(staff)) as int) as max_length from training where staff is not null group by 1",
+    "example_statistics": "select label, count(*) as n, round(avg(length(staff)), 6) as mean_length, round(quantile_cont(length(staff), 0.5), 6) as median_length, cast(min(length(staff)) as int) as min_length, cast(max(length(staff)) as int) as max_length from (select agreement_general as label, staff from training union all select 'ALL', staff from training) where staff is not null group by 1",
     "verified_results": f"select n_expected, n_missing, n_results, n_empty, round(100.0 * n_empty / n_results, 6) as empty_pct from (select count(distinct print_isbn) as n_expected, count(distinct print_isbn) filter (print_isbn not in (select print_isbn from df_agree where print_isbn is not null)) as n_missing from df_meta), (select count(*) as n_results, count(*) filter ({CLEAN('disagreement_areas_gpt0')} in ('', '[]')) as n_empty from df_agree)",
     "harmonized_topics": "select doc_id, source, case source when 'staff_report' then 'report' when 'press_release' then 'news' when 'mission_memo' then 'memo' end as topic from documents",
     "daily_counts": "select date_trunc('day', ts) as window_start, event_type, count(*) as n from events group by 1, 2",

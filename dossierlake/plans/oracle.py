@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dossierlake.plans.reference import AREAS, TOPICS, YEARS
+from dossierlake.plans.reference import FISCAL_AREAS, MONETARY_AREAS, TOPICS, YEARS
 
 WS = r"[\s\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 YEAR = "try_cast(nullif(regexp_extract(cast(year as varchar), '((?:19|20)[0-9]{2})', 1), '') as int)"
@@ -18,13 +18,13 @@ LABELLED = f"""(select *, {CUR('staff_current')} as staff_current_num, {CUR('buf
  {LABEL('staff_stance_current')} as staff_current, {LABEL('staff_stance_future')} as staff_future, {LABEL('buff_stance_current')} as buff_current, {LABEL('buff_stance_future')} as buff_future from training))"""
 GROUPS = ("AEs", "EMDEs", "LICs")
 HAS = lambda t, words: "(" + " or ".join(f"contains(lower(coalesce({t}, '')), '{w}')" for w in words) + ")"
-LIST = lambda t: "list_filter([" + ", ".join(f"case when {HAS(t, w)} then '{n}' end" for n, w in AREAS.items()) + "], lambda x: x is not null)"
+LIST = lambda t, areas: "list_filter([" + ", ".join(f"case when {HAS(t, w)} then '{n}' end" for n, w in areas.items()) + "], lambda x: x is not null)"
 SHARE = lambda rows, by, cat, order: f"""select {by}, {cat}, count(*) as n, round(count(*) / sum(count(*)) over (partition by {by}), 6) as share from {rows}
  where {by} is not null and {cat} in ({', '.join("'" + o + "'" for o in order)}) group by {by}, {cat}"""
 PANEL = lambda t, v: f"(select country, {YEAR} as year, count({v}) as n from {t} where country is not null and {YEAR} is not null group by 1, 2)"
-BUCKET = "case when fut_diff >= 3 then 'sig. tighter' when fut_diff = 2 then 'tighter' when fut_diff = 1 then 'mod. tighter' when fut_diff = 0 then 'same' when fut_diff = -1 then 'mod. looser' else 'looser' end"
+BUCKET = "case when fut_diff >= 3 then 'significantly tighter' when fut_diff = 2 then 'tighter' when fut_diff = 1 then 'moderately tighter' when fut_diff = 0 then 'same' when fut_diff = -1 then 'moderately looser' else 'looser' end"
 AGREE_CUR = "case when staff_current in ('unclear','irrelevant') or buff_current in ('unclear','irrelevant') then 'irrelevant' when staff_current = buff_current then 'mostly agree' else 'disagreement exists' end"
-AGREE_FUT = "case when staff_future in ('unclear','irrelevant') or buff_future in ('unclear','irrelevant') then 'irrelevant' when coalesce(abs(fut_diff) <= 1, false) then 'mostly agree' else 'disagreement exists' end"
+AGREE_FUT = "case when staff_future in ('unclear','irrelevant') or buff_future in ('unclear','irrelevant') or fut_diff is null then 'irrelevant' when abs(fut_diff) <= 1 then 'mostly agree' else 'disagreement exists' end"
 WAY = lambda c: f"case when contains({c}, 'tightening') then 't' when contains({c}, 'loosening') then 'l' when contains({c}, 'no change') then 'n' end"
 CONFUSION = "(select agreement_general as gold, agreement_gpt0 as predicted, count(*) as n from df_agree where agreement_general is not null and agreement_gpt0 is not null group by 1, 2)"
 METRICS = f"""(select label, support, case when said > 0 then hit / said else 0 end as p, case when support > 0 then hit / support else 0 end as r from (
@@ -53,13 +53,12 @@ def oracle_sql() -> dict[str, str]:
         "year_group_counts": f"select yr, {', '.join(f'''count(*) filter (grp = '{g}') as \"{g}\"''' for g in GROUPS)} from {DATASET} where yr is not null group by yr",
         "no_disagreement_by_year": f"select yr, {pct('true')} as \"ALL\", {', '.join(f'''{pct(f'grp = {chr(39)}{g}{chr(39)}')} as \"{g}\"''' for g in GROUPS)} from (select *, case when mon_agreement is not distinct from 'disagreement exists' then 0 else 1 end as flag from {DATASET}) where yr is not null group by yr",
         "no_disagreement_rollup": f"select yr as year, coalesce(grp, 'ALL') as grp, count(*) as n, round(100.0 * avg(flag), 6) as pct from (select *, case when fis_agreement is not distinct from 'disagreement exists' then 0 else 1 end as flag from {DATASET}) where yr is not null and grp is not null group by grouping sets ((yr), (yr, grp))",
-        "category_percentage_by_year": f"select year, {', '.join(f'''round_even(100.0 * sum(case when {HAS('disagreement_areas_gpt0', w)} then 1 else 0 end)::double / count(*), 2) as {n}''' for n, w in AREAS.items())} from df_agree where year is not null group by year",
-        "area_frequency": SHARE(f"(select year, unnest({LIST('disagreement_areas_gpt0')}) as area from df_agree)", "year", "area", AREAS),
-        "areas_per_row": f"select area, count(*) as n from (select unnest(l) as area from (select {LIST('disagreement_areas_gpt0')} as l from df_agree) where len(l) >= 2) group by area",
+        "category_percentage_by_year": f"select year, {', '.join(f'''round_even(100.0 * sum(case when {HAS('disagreement_areas_gpt0', w)} then 1 else 0 end)::double / count(*), 2) as "{n}"''' for n, w in FISCAL_AREAS.items())} from df_agree where year is not null group by year",
+        "area_frequency": SHARE(f"(select year, unnest({LIST('disagreement_areas_gpt0', FISCAL_AREAS)}) as area from df_agree)", "year", "area", FISCAL_AREAS),
+        "areas_per_row": f"select area, count(*) as n from (select unnest(l) as area from (select {LIST('disagreement_areas_gpt0', FISCAL_AREAS)} as l from df_agree) where len(l) >= 2) group by area",
         "stance_share_by_year": SHARE(LABELLED, "yr", "staff_current", ("restrictive", "neutral", "accommodative", "unclear")),
-        "stance_compare_share": SHARE(f"(select yr, {BUCKET} as bucket from {LABELLED} where fut_diff is not null)", "yr", "bucket", ("sig. tighter", "tighter", "mod. tighter", "same", "mod. looser", "looser")),
-        "stance_agreement": f"select row_id, case when abs(fut_diff) >= 3 then 'major' when abs(fut_diff) >= 2 then 'some' when abs(fut_diff) >= 1 then 'minor' when fut_diff = 0 then 'no difference' else 'irrelevant' end as size_label, case when fut_diff is null then 'irrelevant' when fut_diff >= 3 then 'much tighter' when fut_diff >= 2 then 'tighter' when fut_diff >= 1 then 'slightly tighter' when fut_diff >= 0 then 'same' when fut_diff >= -1 then 'slightly looser' when fut_diff >= -2 then 'looser' else 'much looser' end as direction_label, {AGREE_CUR} as agree_current, {AGREE_FUT} as agree_future from {LABELLED}",
-        "general_agreement": f"select row_id, case when ac = 'irrelevant' and af = 'irrelevant' and coalesce(agreement_general, 'irrelevant') = 'irrelevant' then 'irrelevant' when coalesce(agreement_general = 'disagreement exists', false) or (ac = 'disagreement exists' and af = 'disagreement exists') then 'disagreement exists' else 'mostly agree' end as verdict from (select *, {AGREE_CUR} as ac, {AGREE_FUT} as af from {LABELLED})",
+        "stance_compare_share": SHARE(f"(select yr, {BUCKET} as bucket from {LABELLED} where fut_diff is not null)", "yr", "bucket", ("significantly tighter", "tighter", "moderately tighter", "same", "moderately looser", "looser")),
+        "stance_agreement": f"select row_id, case abs(fut_diff) when 4 then 'major difference' when 3 then 'major difference' when 2 then 'some difference' when 1 then 'minor difference' when 0 then 'no difference' else 'irrelevant' end as size_label, case fut_diff when 4 then 'significantly tighter' when 3 then 'significantly tighter' when 2 then 'tighter' when 1 then 'moderately tighter' when 0 then 'same' when -1 then 'moderately looser' when -2 then 'looser' when -3 then 'significantly looser' when -4 then 'significantly looser' else 'irrelevant' end as direction_label, {AGREE_CUR} as agree_current, {AGREE_FUT} as agree_future from {LABELLED}",
         "policy_mix": f"select yr, 'M' || {WAY('staff_future')} || 'F' || {WAY('buff_future')} as mix, count(*) as n from {LABELLED} group by 1, 2",
         "agreement_overall": "select row_id, mon, fis, coalesce((mon = 1 and fis = 1) or (mon is null and fis = 1) or (fis is null and mon = 1), false) as agreement_overall from (select row_id, cast(case mon_agreement when 'mostly agree' then 1 when 'disagreement exists' then 0 end as double) as mon, cast(case fis_agreement when 'mostly agree' then 1 when 'disagreement exists' then 0 end as double) as fis from df)",
         "stance_wide": f"select c, yr, {', '.join(f'arg_min({x}, row_id) as {x}' for x in ('staff_current', 'staff_future', 'buff_current', 'buff_future'))} from (select *, {PRESENT('country')} as c from {LABELLED}) where c is not null and yr is not null group by c, yr",
@@ -97,11 +96,11 @@ def oracle_sql() -> dict[str, str]:
         "country_errors": f"select country, round(avg(abs(fut_diff)), 6) as mae from {LABELLED} where country is not null and fut_diff is not null group by 1",
         "transitions_top": f"select staff_future as old, buff_future as new, n, round(100.0 * n / sum(n) over (), 6) as pct from (select staff_future, buff_future, count(*) as n from {LABELLED} where staff_future <> buff_future group by 1, 2) order by n desc, old, new limit 5",
         "match_matrix": f"with t as (select country, yr, case when staff_current = buff_current then 1.0::double else 0.0::double end as m from {LABELLED} where country is not null and yr is not null), w as (select country from t group by 1 order by avg(m), country limit 30) select country, {', '.join(f'round(avg(m) filter (yr = {y}), 6) as y{y}' for y in YEARS)} from t join w using (country) group by country",
-        "areas_jaccard": f"select print_isbn, round(case when len(x) + len(y) = 0 then 1.0::double else len(list_intersect(x, y))::double / len(list_distinct(list_concat(x, y))) end, 6) as similarity from (select print_isbn, {LIST('a')} as x, {LIST('b')} as y from (select print_isbn, arg_min_null(disagreement_areas, row_id) as a from labelled_monetary_v6 where print_isbn is not null group by 1) join (select print_isbn, arg_min_null(disagreement_areas_gpt0, row_id) as b from df_agree where print_isbn is not null group by 1) using (print_isbn))",
+        "areas_jaccard": "with a as (select distinct print_isbn, unnest(l) as area from (select print_isbn, case when len(l) = 0 then [null] else l end as l from (select print_isbn, " + LIST("disagreement_areas", MONETARY_AREAS) + " as l from labelled_monetary_v6 where print_isbn is not null))), b as (select distinct print_isbn, unnest(l) as area from (select print_isbn, case when len(l) = 0 then [null] else l end as l from (select print_isbn, " + LIST("disagreement_areas_gpt0", MONETARY_AREAS) + " as l from df_agree where print_isbn is not null))), u as (select print_isbn, area, 1 as x, 0 as y from a union all select print_isbn, area, 0, 1 from b), g as (select print_isbn, area, max(x) as x, max(y) as y from u group by 1, 2) select print_isbn, round(case when count(area) = 0 then 1.0::double else sum(case when area is not null then x * y else 0 end)::double / count(area) end, 6) as similarity from g group by 1 having max(x) = 1 and max(y) = 1",
         "confusion_table": f"select * from {CONFUSION}",
         "label_metrics": f"select * from {PRF}",
         "overall_metrics": f"select (select round(sum(case when gold = predicted then n else 0 end) / sum(n), 6) from {CONFUSION}) as accuracy, (select cast(sum(n) as bigint) from {CONFUSION}) as n, " + ", ".join(f"round(avg({c}), 5) as macro_{c}, round(sum({c} * support) / sum(support), 5) as weighted_{c}" for c in ("precision", "recall", "f1")) + f" from {PRF}",
-        "membership_accuracy": f"select count(*) as n, round(avg(case when {HAS('disagreement_areas_gpt0', AREAS['fiscal'])} then 1.0 else 0.0 end), 6) as accuracy from df_agree where agreement_general = 'disagreement exists'",
+        "membership_accuracy": f"select count(*) as n, round(avg(case when {HAS('disagreement_areas_gpt0', FISCAL_AREAS['fiscal expenditure'])} then 1.0 else 0.0 end), 6) as accuracy from df_agree where agreement_general = 'disagreement exists'",
         "isbn_numbers": f"select row_id, case when length(digits) >= 8 then digits end as isbn from (select row_id, regexp_replace(regexp_replace(regexp_replace(upper(coalesce({PRESENT('print_isbn')}, '')), '\\.0+$', ''), '^ISBN(-1[03])?', ''), '[^0-9X]', '', 'g') as digits from training)",
         "publication_dates": f"select row_id, case when regexp_matches(t, '^(19|20)[0-9]{{2}}(-[0-9]{{1,2}}){{0,2}}$') then t when regexp_matches(t, '^[0-9]{{1,2}}[/.][0-9]{{1,2}}[/.][0-9]{{4}}$') then regexp_replace(t, '^([0-9]{{1,2}})[/.]([0-9]{{1,2}})[/.]([0-9]{{4}})$', '\\3-\\2-\\1') when y <> '' then y || case when m > 0 then '-' || lpad(cast(m as varchar), 2, '0') || case when dd <> '' then '-' || lpad(dd, 2, '0') else '' end else '' end end as published from (select *, regexp_extract(t, '\\b((?:19|20)[0-9]{{2}})\\b', 1) as y, coalesce(list_position(['jan','feb','mar','apr','may','jun','jul','aug','sep','oct','nov','dec'], regexp_extract(t, '\\b(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*', 1)), 0) as m, regexp_extract(t, '(?:^|[^0-9])([0-9]{{1,2}})(?:st|nd|rd|th)?(?:[^0-9]|$)', 1) as dd from (select row_id, lower({CLEAN('publication_date')}) as t from df_meta))",
         "regions_joined": f"select series_name, coalesce(array_to_string(list_sort(list_distinct(list(nullif({CLEAN('regions')}, '')))), ' | '), '') as regions, count(*) as n from df_meta where print_isbn is not null group by 1",
@@ -110,7 +109,7 @@ def oracle_sql() -> dict[str, str]:
         "label_order": f"select a as left_order, b as right_order, a = b as same from (select string_agg(l, ',' order by n desc, l) as a from (select {LABEL('agreement_general')} as l, count(*) as n from training group by 1)), (select string_agg(l, ',' order by n desc, l) as b from (select {LABEL('agreement_general')} as l, count(*) as n from testing group by 1))",
         "metadata_counts": f"select count(*) as n_rows, count(*) filter (aiv) as n_aiv, count(*) filter (primary_country_code is null) as n_no_code, count(*) filter (year_from_title is null) as n_no_year, count(*) filter ({CLEAN('subtitle')} = '') as n_blank_subtitle from df_meta",
         "both_annotated": "select print_isbn, max(agreement_general) filter (rn = 1) as first, max(agreement_general) filter (rn = 2) as second from (select *, row_number() over (partition by print_isbn order by row_id) as rn, count(*) over (partition by print_isbn) as c from training where print_isbn is not null) where c = 2 group by 1",
-        "carried_forward": f"with p as (select * from {PANEL('df', 'mon_agreement')} where year <= 2021) select country, year, n from p union all select country, y as year, n from p, (values (2022), (2023), (2024)) v(y) where year = 2021",
+        "carried_forward": f"with p as (select country, year, n from {PANEL('df', 'mon_agreement')}) select country, year, n from p union all select a.country, y, a.n from p a, (values (2022), (2023), (2024)) v(y) where a.year = 2021 and not exists (select 1 from p b where b.year = y and b.country = a.country)",
         "latest_per_source": "select source, doc_id, cast(rn as int) as rank from (select source, doc_id, loaded_at, row_number() over (partition by source order by loaded_at desc, doc_id) as rn from documents where source is not null) where rn <= 3",
         "numbered_rows": "select row_id, print_isbn, row_number() over (order by print_isbn nulls first, row_id) - 1 as id from df",
         "range_filter": f"select row_id, yr, grp from {DATASET} where yr between 2015 and 2023 and staff_verified",

@@ -10,13 +10,28 @@ from dossierlake.session import table
 
 GROUPS = ["AEs", "EMDEs", "LICs"]
 YEARS = list(range(2010, 2025))
-#: Keywords of disagreement areas.
-AREAS = {
-    "fiscal": ["fiscal", "budget", "tax", "spending", "wage", "pension", "subsid", "revenue", "debt", "vat"],
-    "monetary": ["monetary", "policy rate", "tightening", "inflation", "rates", "liquidity", "central bank"],
-    "external": ["exchange rate", "fx", "capital", "reserve", "cambiaria"],
-    "financial": ["macroprudential", "risk weights", "buffers"],
-    "outlook": ["outlook", "assessment", "output gap"],
+#: Keywords of the areas of disagreement, monetary and fiscal.
+MONETARY_AREAS = {
+    "future policy direction": ["future policy direction", "forward guidance", "policy path"],
+    "monetary policy operations": ["monetary policy operations", "policy operations"],
+    "monetary policy framework": ["monetary policy framework", "policy framework"],
+    "current policy stance": ["current policy stance", "policy stance"],
+    "central bank communication": ["monetary policy communication", "central bank communication", "communication"],
+    "institutions": ["institutions", "independence", "governance"],
+    "economic assessment": ["economic assessment"],
+    "exchange rate policy": ["exchange rate policy", "exchange rate regime", "exchange rate flexibility"],
+    "reserve requirements": ["reserve requirements"],
+    "inflation target": ["inflation target"],
+}
+FISCAL_AREAS = {
+    "near-term policy direction": ["near-term", "short term", "frontload", "front-loaded", "immediate", "next year", "this year", "fiscal tightening", "fiscal easing", "pace of"],
+    "medium-term fiscal stance": ["medium-term", "medium term", "over the medium term", "fiscal stance", "fiscal adjustment path", "gradual", "consolidation path", "trajectory"],
+    "fiscal revenue": ["revenue", "tax", "vat", "gst", "income tax", "corporate tax", "tax base", "tax administration", "collection", "customs"],
+    "fiscal expenditure": ["expenditure", "spending", "current spending", "wage bill", "public wage", "subsid", "transfer", "social spending", "pension", "capital spending", "public investment", "infrastructure"],
+    "government debt & financing": ["debt", "borrowing", "financing", "rollover", "refinancing", "debt sustainability", "debt dynamics", "gross financing needs", "bond", "issuance"],
+    "economic assessment": ["economic outlook", "growth", "inflation", "output gap", "macroeconomic", "baseline", "downside risk", "risk", "shock", "forecast"],
+    "fiscal framework": ["fiscal rule", "framework", "mtbf", "medium-term budget framework", "fiscal responsibility", "escape clause", "budget process", "transparency"],
+    "political commitment": ["political", "commitment", "ownership", "parliament", "election", "public support", "social consensus", "implementation"],
 }
 TOPICS = {"fiscal": ["fiscal", "budget", "tax"], "monetary": ["inflation", "policy rate", "central bank"], "external": ["exchange rate", "reserves"]}
 
@@ -49,18 +64,18 @@ def no_disagreement_rollup(spark, d):
 
 
 def category_percentage_by_year(spark, d):
-    cells = table(spark, d, "df_agree").select("year", lists.categories_in(F.col("disagreement_areas_gpt0"), AREAS).alias("areas"))
-    return agg.category_percentage_by_year(cells, "year", "areas", list(AREAS))
+    cells = table(spark, d, "df_agree").select("year", lists.categories_in(F.col("disagreement_areas_gpt0"), FISCAL_AREAS).alias("areas"))
+    return agg.category_percentage_by_year(cells, "year", "areas", list(FISCAL_AREAS))
 
 
 def area_frequency(spark, d):
-    cells = table(spark, d, "df_agree").select("row_id", "year", F.explode(lists.categories_in(F.col("disagreement_areas_gpt0"), AREAS)).alias("area"))
-    return agg.share_by(cells, "year", "area", list(AREAS))
+    cells = table(spark, d, "df_agree").select("row_id", "year", F.explode(lists.categories_in(F.col("disagreement_areas_gpt0"), FISCAL_AREAS)).alias("area"))
+    return agg.share_by(cells, "year", "area", list(FISCAL_AREAS))
 
 
 def areas_per_row(spark, d):
     """Category counts of cells with two areas or more."""
-    cells = table(spark, d, "df_agree").select("row_id", lists.categories_in(F.col("disagreement_areas_gpt0"), AREAS).alias("areas"))
+    cells = table(spark, d, "df_agree").select("row_id", lists.categories_in(F.col("disagreement_areas_gpt0"), FISCAL_AREAS).alias("areas"))
     return cells.where(F.size("areas") >= 2).select("row_id", F.explode("areas").alias("area")).groupBy("area").agg(F.count("*").alias("n"))
 
 
@@ -81,12 +96,6 @@ def stance_agreement(spark, d):
     )
 
 
-def general_agreement(spark, d):
-    t = labelled(spark, d).withColumns({"ac": stance.agree(F.col("staff_current"), F.col("buff_current")), "af": stance.agree(F.col("staff_future"), F.col("buff_future"), stance.FUTURE, 1)})
-    verdict = stance.general_agreement(F.col("ac"), F.col("af"), F.col("agreement_general"), F.lit(None).cast("string"), F.col("fut_diff"))
-    return t.select("row_id", verdict.alias("verdict"))
-
-
 def policy_mix(spark, d):
     t = labelled(spark, d).select("yr", stance.policy_mix(F.col("staff_future"), F.col("buff_future")).alias("mix"))
     return t.groupBy("yr", "mix").agg(F.count("*").alias("n"))
@@ -294,10 +303,10 @@ def match_matrix(spark, d):
 
 
 def areas_jaccard(spark, d):
-    a = table(spark, d, "labelled_monetary_v6").where("print_isbn is not null").groupBy("print_isbn").agg(F.min_by("disagreement_areas", "row_id").alias("a"))
-    b = table(spark, d, "df_agree").where("print_isbn is not null").groupBy("print_isbn").agg(F.min_by("disagreement_areas_gpt0", "row_id").alias("b"))
-    joined = a.join(b, "print_isbn").select("print_isbn", lists.categories_in(F.col("a"), AREAS).alias("x"), lists.categories_in(F.col("b"), AREAS).alias("y"))
-    return joined.select("print_isbn", F.round(lists.jaccard(F.col("x"), F.col("y")), 6).alias("similarity"))
+    """How alike the areas of a report are in the two tables, over all its rows."""
+    found = lambda name, cell: table(spark, d, name).where("print_isbn is not null").select("print_isbn", F.explode_outer(lists.categories_in(F.col(cell), MONETARY_AREAS)).alias("area")).groupBy("print_isbn").agg(F.collect_set("area").alias(cell))
+    joined = found("labelled_monetary_v6", "disagreement_areas").join(found("df_agree", "disagreement_areas_gpt0"), "print_isbn")
+    return joined.select("print_isbn", F.round(lists.jaccard(F.col("disagreement_areas"), F.col("disagreement_areas_gpt0")), 6).alias("similarity"))
 
 
 def confusion_table(spark, d):
@@ -313,7 +322,7 @@ def overall_metrics(spark, d):
 
 
 def membership_accuracy(spark, d):
-    t = table(spark, d, "df_agree").select(F.when(F.col("agreement_general") == "disagreement exists", "fiscal").alias("gold"), lists.categories_in(F.col("disagreement_areas_gpt0"), AREAS).alias("said"))
+    t = table(spark, d, "df_agree").select(F.when(F.col("agreement_general") == "disagreement exists", "fiscal expenditure").alias("gold"), lists.categories_in(F.col("disagreement_areas_gpt0"), FISCAL_AREAS).alias("said"))
     return ev.membership_accuracy(t, "gold", "said")
 
 

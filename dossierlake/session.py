@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,7 +38,7 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. Only a session without spark.checkpoint.dir (tests) gets a local one."""
+    """The folder all executors share. Only a local session without spark.checkpoint.dir (tests) gets one of its own; on a cluster a missing one is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext._jsc.sc()
     if configured:
@@ -44,7 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if context.getCheckpointDir().isDefined():
         return context.getCheckpointDir().get()
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="dossierlake-checkpoint-")
+    atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(made)
     return made
 
@@ -55,13 +61,41 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of a folder on whatever store its address names."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    fs, p = hadoop_path(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
+def _tables(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/tables/{spark.sparkContext.applicationId}"
+
+
+def shared_path(spark: SparkSession) -> str:
+    """A new path for a table in the shared folder, below the application's own folder."""
+    return f"{_tables(spark)}/{uuid.uuid4().hex}"
+
+
 def write_shared(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder, read back: columnar and compressed, unlike a checkpoint."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    """df as a table in the shared folder, read back: columnar and compressed, unlike a checkpoint. It stays until drop_shared."""
+    path = shared_path(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
+def drop_shared(spark: SparkSession) -> None:
+    """Remove the tables this application has written, once the results that read them are computed and stored."""
+    fs, p = hadoop_path(spark, _tables(spark))
+    fs.delete(p, True)
+
+
 def task_slots(spark: SparkSession) -> int:
     """Partitions to use for work that is heavy in CPU but small in bytes, where AQE would coalesce too far."""
     return max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))

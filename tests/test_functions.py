@@ -70,7 +70,7 @@ def test_no_disagreement(spark, value, want):
     assert one(spark, stance.no_disagreement, value) == want
 
 
-@pytest.mark.parametrize("diff, bucket, size", [(4.0, "sig. tighter", "major"), (2.0, "tighter", "some"), (1.0, "mod. tighter", "minor"), (0.0, "same", "no difference"), (-1.0, "mod. looser", "minor"), (-3.0, "looser", "major"), (None, "looser", "irrelevant")])
+@pytest.mark.parametrize("diff, bucket, size", [(4.0, "significantly tighter", "major difference"), (2.0, "tighter", "some difference"), (1.0, "moderately tighter", "minor difference"), (0.0, "same", "no difference"), (-1.0, "moderately looser", "minor difference"), (-3.0, "looser", "major difference"), (None, "looser", "irrelevant")])
 def test_differences(spark, diff, bucket, size):
     assert one(spark, stance.bucket, diff, schema="c0 double") == bucket and one(spark, stance.size_of_difference, diff, schema="c0 double") == size
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from dossierlake.operators import aggregate as agg, chat, evaluation as ev, lines, models, relational as rel, reports, tables
 from dossierlake.plans import reference
 from dossierlake.sources import files
-from dossierlake.streaming.merge import merge_stream
+from dossierlake.streaming.merge import merge_stream, windowed_counts
 
 
 def rows(df):
@@ -141,16 +141,38 @@ def test_files(spark, tmp_path):
     assert "| a |" in files.markdown_report(spark.createDataFrame([(1.5,)], "a double"), "T")
 
 
-def test_stream_merges_each_file_once(spark, tmp_path):
-    source, target, state = (str(tmp_path / x) for x in ("in", "out", "state"))
-    one = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+@pytest.mark.parametrize("scheme", ["", "file://"])
+def test_stream_merges_each_key_once(spark, tmp_path, scheme):
+    source, target, state = (scheme + str(tmp_path / x) for x in ("in", "out", "state"))
+    one = spark.createDataFrame([(1, "a"), (2, "b"), (2, "bb"), (None, "n"), (None, "n")], "k int, v string")
     one.coalesce(1).write.mode("append").parquet(source)
     run = lambda: merge_stream(spark, source, one.schema, target, state, ["k"])
     run()
     spark.createDataFrame([(2, "z"), (3, "c")], "k int, v string").coalesce(1).write.mode("append").parquet(source)
     run()
     run()
-    assert rows(spark.read.parquet(target).select("k", "v")) == [(1, "a"), (2, "b"), (3, "c")]
+    assert sorted((r["k"] or 0, r["v"]) for r in spark.read.parquet(target).collect()) == [(0, "n"), (0, "n"), (1, "a"), (2, "b"), (3, "c")]
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    import datetime as dt
+
+    rows = [(dt.datetime(2020, 1, 1, h), "a") for h in (1, 2)] + [(dt.datetime(2020, 1, 2, 1), "a"), (dt.datetime(2020, 1, 9), "b")]
+    spark.createDataFrame(rows, "ts timestamp, k string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("ts timestamp, k string").parquet(str(tmp_path / "in"))
+    query = windowed_counts(stream, "ts", "k").writeStream.outputMode("append").format("memory").queryName("windows").option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = {(r["window_start"].day, r["k"], r["n"]) for r in spark.table("windows").collect()}
+    assert got == {(1, "a", 2), (2, "a", 1)}  # the last day stays open until the watermark has passed it
+
+
+def test_shared_tables_are_dropped(spark):
+    from dossierlake.session import drop_shared, subfolders, write_shared, _tables
+
+    write_shared(spark.range(3))
+    assert subfolders(spark, _tables(spark))
+    drop_shared(spark)
+    assert not subfolders(spark, _tables(spark))
 
 
 def test_carry_forward_fills_gaps_only(spark):
