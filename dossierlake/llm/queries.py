@@ -60,11 +60,18 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.select(F.col("train_id").alias("train_row_id"), F.col("test_id").alias("test_row_id"))
 
 
+def p3_coverage(spark: SparkSession, d: str) -> DataFrame:
+    """How much of each row of testing training has: pairs, the share of words its best match leaves unchanged, and the share in shared passages."""
+    testing = table(spark, d, "testing")
+    found = overlap.cross_split_coverage(table(spark, d, "training"), testing, "row_id", "staff", isbn_digits(F.col("print_isbn")))
+    return found.withColumnRenamed("test_id", "test_row_id").join(testing.select(F.col("row_id").alias("test_row_id"), "split", "label_source"), "test_row_id")
+
+
 def p3_report(spark: SparkSession, d: str) -> DataFrame:
-    """Pairs, and rows of testing that overlap with training, by split and label source."""
-    rows = table(spark, d, "testing").select(F.col("row_id").alias("test_row_id"), "split", "label_source")
-    per_row = p3_found(spark, d).groupBy("test_row_id").agg(F.count("*").alias("n_pairs"))
-    return rows.join(per_row, "test_row_id", "left").groupBy("split", "label_source").agg(F.count("*").alias("n_rows"), F.count("n_pairs").alias("n_overlapping"), F.coalesce(F.sum("n_pairs"), F.lit(0)).alias("n_pairs"))
+    """Pairs, rows of testing that overlap with training, and how much of the words of all rows training has, by split and label source."""
+    words = F.coalesce("n_words", F.lit(0))
+    share = lambda c: F.coalesce(F.sum(words * F.col(c)) / F.nullif(F.sum(words), F.lit(0)), F.lit(0.0)).alias(c)
+    return p3_coverage(spark, d).groupBy("split", "label_source").agg(F.count("*").alias("n_rows"), F.count_if(F.col("n_pairs") > 0).alias("n_overlapping"), F.sum("n_pairs").alias("n_pairs"), share("aligned_share"), share("passage_share"))
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
