@@ -1,10 +1,11 @@
 """Personal data in free text, found by weak supervision and replaced by typed placeholders.
 
-Labelers vote on candidate spans (`spans`); one more labeler knows, over all texts, whether a pair of capitalized words
-is a fixed expression (its second word follows only that first one) or a name (its second word follows many). Per kind,
+Labelers vote on candidate spans (`spans`); two more know all texts: whether a pair of capitalized words is a fixed
+expression (its second word follows only that first one) or a name (its second word follows many), and whether the second
+word stands elsewhere where only names stand, so that a name is known in phrases no list has. Per kind,
 expectation-maximisation over the vote patterns, whose counts cover every candidate, estimates how reliable each labeler
-is and how likely each pattern is a mention. A logistic model over form, affixes and neighbouring words is then trained
-on those likelihoods, on a bounded sample of candidates (TRAIN_ROWS), and decides every span.
+is and how likely each pattern is a mention. A logistic model over votes, form, affixes and neighbouring words is then
+trained on those likelihoods, on a bounded sample of candidates (TRAIN_ROWS), and decides every span.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ MAX_NAMES = 100_000
 BROADCAST_BYTES = 4 << 20
 #: A second word is a fixed expression if it occurs FIXED_LEAST times and follows one word in FIXED_SHARE of them, and a family name if it occurs NAME_LEAST times and no first word has more than NAME_SHARE.
 FIXED_LEAST, FIXED_SHARE, NAME_LEAST, NAME_SHARE = 8, 0.9, 4, 0.6
+#: A second word is backed if so large a share of its places has a title, a strong lead or an initial, and is not if so small a share has.
+BACKED_SHARE, BACKED_LEAST = 0.4, 0.02
 
 CANDIDATE = T.ArrayType(T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("begin_at", T.IntegerType()), T.StructField("end_at", T.IntegerType()), T.StructField("votes", T.StringType()),
@@ -52,27 +55,35 @@ def find_candidates(df: DataFrame, id_col: str, text: str, names: frozenset[str]
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         gazetteer = shared.value
         for batch in batches:
-            yield pd.Series([[{"kind": c.kind, "begin_at": c.begin + 1, "end_at": c.end, "votes": c.votes, "first": c.given.casefold(), "second": c.family.casefold(), "cells": [_cell(f) for f in spans.features(t, c)]} for c in spans.candidates(t, gazetteer)] for t in batch])
+            yield pd.Series([[{"kind": c.kind, "begin_at": c.begin + 1, "end_at": c.stop or c.end, "votes": c.votes, "first": c.given.casefold(), "second": c.family.casefold(), "cells": [_cell(f) for f in spans.features(t, c)]} for c in spans.candidates(t, gazetteer)] for t in batch])
 
     picked = df.select(F.col(id_col).alias("id"), F.col(text).alias("text")).where("text is not null and text != ''")
     return picked.select("id", F.xxhash64("text").alias("text_hash"), F.explode(scan("text")).alias("c")).select("id", "text_hash", "c.*")
 
 
 def expression_votes(found: DataFrame) -> DataFrame:
-    """(second, vote): words that follow one first word only (-) or many (+), over all different texts."""
-    pairs = found.where("kind = 'name' and first != ''").select("second", "first", "text_hash").distinct()
-    words = pairs.groupBy("second", "first").agg(F.count("*").alias("n")).groupBy("second").agg(F.sum("n").alias("n"), F.max("n").alias("most"))
-    share = F.col("most") / F.col("n")
-    fixed, many = (F.col("n") >= FIXED_LEAST) & (share >= FIXED_SHARE), (F.col("n") >= NAME_LEAST) & (share <= NAME_SHARE)
-    return words.where(fixed | many).select("second", F.when(fixed, "-").otherwise("+").alias("vote"))
+    """(second, vote): two votes for each second word, over all different texts. The first: it follows one first word only
+    (-) or many (+). The second: its candidates mostly stand in surroundings that speak for a name (+) or hardly ever (-)."""
+    names = found.where("kind = 'name' and first != ''").select("second", "first", "text_hash", F.concat(F.substring("votes", 2, 2), F.substring("votes", 6, 1)).contains("+").alias("backed"))
+    pairs = names.groupBy("second", "first", "text_hash").agg(F.max("backed").alias("backed"))
+    words = pairs.groupBy("second", "first").agg(F.count("*").alias("n"), F.count_if("backed").alias("b")).groupBy("second").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("b").alias("b"))
+    share, backed = F.col("most") / F.col("n"), F.col("b") / F.col("n")
+    of_words = F.when((F.col("n") >= FIXED_LEAST) & (share >= FIXED_SHARE), "-").when((F.col("n") >= NAME_LEAST) & (share <= NAME_SHARE), "+").otherwise("0")
+    of_places = F.when((F.col("n") >= FIXED_LEAST) & (backed <= BACKED_LEAST), "-").when((F.col("n") >= NAME_LEAST) & (backed >= BACKED_SHARE), "+").otherwise("0")
+    return words.select("second", F.concat(of_words, of_places).alias("vote")).where("vote != '00'")
 
 
 def with_expressions(found: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The candidates, names with one vote more."""
+    """The candidates, names with two votes more, which the model sees as well."""
     votes = write_shared(expression_votes(found))
     size = votes.agg(F.sum(F.length("second") * 2 + 48)).first()[0] or 0
     names = found.where("kind = 'name'").join(F.broadcast(votes) if size <= broadcast_bytes else votes, "second", "left")
-    return found.where("kind != 'name'").unionByName(names.withColumn("votes", F.concat("votes", F.coalesce("vote", F.lit("0")))).drop("vote"))
+    at = spans.LABELERS["name"]
+    both = F.coalesce("vote", F.lit("00"))
+    marks = F.array(*(F.concat(F.lit(f"name|v{at + i}"), F.substring(both, i + 1, 1)) for i in range(2)))
+    cells = F.transform(F.filter(marks, lambda m: ~F.endswith(m, F.lit("0"))), lambda m: F.pmod(F.crc32(m.cast("binary")), F.lit(CELLS)).cast("int"))
+    voted = names.withColumns({"votes": F.concat("votes", both), "cells": F.concat("cells", cells)}).drop("vote")
+    return found.where("kind != 'name'").unionByName(voted)
 
 
 def estimate(patterns: list[tuple[str, int]], rounds: int = 200) -> dict[str, float]:
@@ -134,18 +145,14 @@ def find_private(df: DataFrame, id_col: str, text: str, names: frozenset[str], t
     likelihood = {(k, p): x for k, patterns in counts.items() for p, x in estimate(patterns).items()}
     sample = found.select("kind", "votes", "cells", F.xxhash64("id", "begin_at", F.lit(7)).alias("h")).orderBy("h").limit(train_rows).collect()
     weights = spark.sparkContext.broadcast(train(sample, likelihood))
-    patterns = spark.sparkContext.broadcast(likelihood)
 
     @F.pandas_udf(T.DoubleType())
-    def judge(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         w = weights.value
-        for kind, votes, cells in batches:
-            score = np.array([w[c].sum() for c in cells])
-            voted = np.array([patterns.value[k] for k in zip(kind, votes)])
-            z = score + np.log((voted + 1e-4) / (1 - voted + 1e-4)) / 2  # the model decides; the votes break its doubt
-            yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        for cells in batches:
+            yield pd.Series(1 / (1 + np.exp(-np.clip(np.array([w[c].sum() for c in cells]), -30, 30))))
 
-    return found.select("id", "kind", "begin_at", "end_at", judge("kind", "votes", "cells").alias("likelihood")).where(F.col("likelihood") >= least)
+    return found.select("id", "kind", "begin_at", "end_at", judge("cells").alias("likelihood")).where(F.col("likelihood") >= least)
 
 
 def redact(df: DataFrame, id_col: str, text: str, found: DataFrame) -> DataFrame:

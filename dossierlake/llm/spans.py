@@ -25,11 +25,20 @@ STREETS = ("Road", "Rd", "Street", "St", "Avenue", "Ave", "Lane", "Ln", "Bouleva
 ROADS = ("rue", "avenue", "boulevard", "place", "chemin", "quai", "allée", "impasse", "calle", "avenida", "av.", "plaza", "paseo", "carrera", "camino", "via", "viale", "rua")
 ID_WORDS = r"passport|passeport|pasaporte|national\s+id\w*|nationality\s+id|identity|identité|identidad|\bid\b|tax\s+file|taxpayer|\btax\s+(?:id|no|number)|\btin\b|\bnif\b|\bnit\b|\bdni\b|\bssn\b|\bsin\b|\bnino\b|social\s+(?:security|insurance)|national\s+insurance|insurance\s+n|c[ée]dula|fiscal\s+n|num[ée]ro\s+fiscal|licen[cs]e\s+n"
 PHONE_WORDS = r"\b(?:tel|phone|telephone|mobile|cell|fax|call|tél|téléphone|teléfono|tfno|móvil|hotline|dial|ring)\b\.?"
-NOT_PHONE = r"(?:table|loan|decision|sdr|us\$|\$|€|no\.|project|report|cuadro|tableau|arrears|against)\W{0,3}$"
+#: What numbers in documents and accounts stand behind, in the three languages.
+NUMBERED = r"tables?|figures?|box|loan|project|decision|report|series|annex|article|page|paragraph|tableau|graphique|annexe|rapport|cuadro|gráfico|anexo|informe|préstamo|prêt"
+NOT_PHONE = rf"(?:\b(?:{NUMBERED})|sdr|us\$|\$|€|\bno\.)\W{{0,3}}$"
 BEFORE_NAME = ("by", "contact", "contact :", "contact:", "contacts:", "contacts :", "contacto:", "to", "with", "according", "name:", "name :", "sincerely,", "regards,", "from", "de", "del", "par", "ante", "attn", "attn:", "and", "et", "y")
 BEFORE_STRONG = ("prepared by", "statement by", "filed by", "signed by", "approved by", "according to", "contact", "contact:", "contact :", "contacto", "contacto:", "contacto :", "name:", "name :", "sincerely,", "regards,", "met with", "déclaration de", "declaración de", "declaración del")
-AFTER_NAME = r"^(?:\s*,?\s*(?:joined|concluded|agreed|noted|underscored|said|stated|considered|emphasi[sz]ed|acknowledged|observed|argued|pointed|stressed|recalled|cautioned|reiterated|maintained|recogni[sz]ed|welcomed|tel\b|tél\b|at\s+\S+\s?[@\[(]|passport|national\s+id|tin\b|ssn\b|tax\s+file|social|identity)|\s*,\s*(?:[0-9]{2}|[A-Z][\w’]+\s+(?:director|advisor|administrator)|executive|alternate|senior|administrateur|director|\S+\s+\S+,\s+and)|\s+\(all\s+staff|\s*[\r\n]+\s*(?:governor|minister|gobernador|gouverneur)|\s+and\s+[A-Z][\w’-]+\s+[A-Z])"
-INSTITUTIONS = frozenset("executive director senior advisor central bank ministry finance treasury board fund republic kingdom federation union commonwealth principality staff report press release article consultation annex framework agreement element auctions medium term monetary fiscal policy road street avenue lane bay mission government council statement prepared contact name the authorities decision table loan project some under deposits arrears statistics act islands upper lower north south saint governor minister deputy".split())
+AFTER_NAME = r"^(?:\s*,?\s*(?:joined|concluded|agreed|noted|underscored|said|stated|considered|emphasi[sz]ed|acknowledged|observed|argued|pointed|stressed|recalled|cautioned|reiterated|maintained|recogni[sz]ed|welcomed|tel\b|tél\b|at\s+\S+\s?[@\[(]|passport|national\s+id|tin\b|ssn\b|tax\s+file|social|identity)|\s*,\s*(?:[0-9]{2}|[A-Z][\w’]+\s+(?:director|advisor|administrator)|executive|alternate|senior|administrateur|director|\S+\s+\S+,\s+and)|\s+\(all\s+[\w-]+\)|\s*[\r\n]+\s*(?:governor|minister|gobernador|gouverneur)|\s+and\s+[A-Z][\w’-]+\s+[A-Z])"
+#: Nouns of offices, bodies, documents and places, which stand in capitals without being persons.
+INSTITUTIONS = frozenset(
+    "executive director senior advisor deputy governor minister president secretary chairman mission authorities delegation"
+    " central bank ministry finance treasury board fund council committee commission department government parliament agency authority office bureau institute university corporation company group"
+    " republic kingdom federation union commonwealth principality islands upper lower north south east west saint"
+    " staff report press release article consultation annex framework agreement statement appendix act law code policy program programme monetary fiscal statistics"
+    " road street avenue boulevard square lane drive terrace quay crescent highway the".split()
+)
 
 EMAIL = re.compile(r"[\w.+%'’-]*\w ?@ ?\w[\w-]*(?:\s?\.\s?\w[\w-]*)*\.[^\W\d_]{2,}", re.U)
 EMAIL_SPELLED = re.compile(r"(?i)\w[\w.+%-]*\s*[\[({<]\s*(?:at|arobase|arroba|@)\s*[\])}>]\s*\w[\w-]*(?:(?:\s*[\[({<]\s*(?:dot|point|punto|\.)\s*[\])}>]\s*|\.)\w[\w-]*)+")
@@ -54,7 +63,7 @@ IDENTITY = re.compile(rf"(?<![\w/+.-])(?=[A-Z]{{0,3}}[- ]?[0-9])(?:{IDENTITY_FOR
 IDENTITY_FORM = re.compile(r"[A-Z][0-9]{7}|[0-9]{6}-[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{2}-[0-9]{7}|[A-Z]{2} [0-9]{2} [0-9]{2} [0-9]{2} [A-Z]|[A-Z]{2}-[0-9]{4}-[0-9]{3}|[0-9]{8}-[0-9]")
 NOT_IDENTITY_FORM = re.compile(r"[A-Z][0-9]{1,3}-[0-9]{2,4}|[0-9]{3}-[0-9]{3}/[A-Z]|[0-9]{1,7}")
 IDENTITY_BEFORE = re.compile(rf"(?i)(?:{ID_WORDS})[^\n;]{{0,14}}$")
-NOT_IDENTITY = re.compile(r"(?i)(?:loan|project|table|decision|report|series|no\. [0-9]+/|[0-9;.] )\W{0,2}$")
+NOT_IDENTITY = re.compile(rf"(?i)(?:\b(?:{NUMBERED})|no\. [0-9]+/|[0-9;.] )\W{{0,2}}$")
 CAP = rf"[{U}][\w’'-]*"
 KW = rf"(?:{'|'.join(STREETS)}|{'|'.join(w.upper() for w in STREETS)})\b\.?"
 ROAD = "(?:" + "|".join(sorted({re.escape(v) for w in ROADS for v in (w, w.capitalize(), w.upper())}, key=len, reverse=True)) + ")"
@@ -66,7 +75,10 @@ CAP_BEFORE = re.compile(rf"{CAP}\.?,?{GAP}+(?:(?:No|Nr|N[º°]|n[.º°o]+)\.?{GA
 NO_BEFORE = re.compile(rf"\b(?:No|Nr|N[º°])\.?{GAP}*$")
 ADDRESS_BEFORE = re.compile(r"(?i)(?:\bof|\bto|\bat|\bau|\ben|\bqueda en|\btrouve au|\bsent to|[\r\n])\s*$")
 ADDRESS_AFTER = re.compile(rf"(?:,?\s+[0-9]{{4,6}}\b|,\s*Flat|[,\r\n]\s*[{U}][{L}]+|\.)")
-NOT_ADDRESS = re.compile(r"\s+(?:corridor|project|vendors)")
+#: A street that goes on in a noun without an article names something else: function words and forms of verbs may follow an address.
+NOT_ADDRESS = re.compile(rf"{GAP}+(?!(?:and|or|in|at|on|by|to|of|for|from|near|with|is|was|were|are|which|where|et|ou|à|au|en|dans|près|est|y|o|de|del|du|a|cerca|es|que|qui)\b)[{L}]+(?<!ed)(?<!ing)\b")
+TOWN = rf"{CAP}(?:{GAP}+(?:(?:de|del|la|le|les|of|the|sur|on){GAP}+)*{CAP}){{0,3}}"
+ADDRESS_REST = re.compile(rf"(?:,?{GAP}+(?:Flat|Apt|Apartment|Suite|Floor|Unit|Room|Apto|Piso|Bureau|bte|BP|P\.?O\.?{GAP}+Box)\.?{GAP}+[\w-]+|,{GAP}*[0-9]{{4,6}}(?:{GAP}+{TOWN})?(?![\w@])|,{GAP}*{TOWN}(?:{GAP}+[0-9]{{4,6}})?(?![\w@’'])|{GAP}+[0-9]{{5}}(?:{GAP}+{TOWN})?(?![\w@]))")
 
 WORD = rf"(?:[{U}](?:[{L}]+|[{U}]+)(?:[’'-][{U}{L}]+)*|[{U}][’'][{U}][{U}{L}]+)"
 PART = rf"(?:(?:(?i:{'|'.join(PARTICLES)}){GAP}+|(?i:al|el|ben)-|[OD][’'](?=[{U}]))*)"
@@ -74,14 +86,21 @@ FAMILY = rf"{PART}[{U}][{U}{L}’']+(?:-{PART}[{U}][{U}{L}’']+)?"
 INITIALS = rf"(?:[{U}]\.(?:{GAP}?-?[{U}]\.)*)"
 FULL = re.compile(rf"(?<![\w’'.@-])(?P<given>[{U}][{L}]+(?:-[{U}][{L}]+)?|[{U}]{{2,}}(?:-[{U}]{{2,}})?)(?:{GAP}+(?P<middle>{INITIALS}))?{GAP}+(?P<family>{FAMILY})(?![\w@])")
 INITIAL = re.compile(rf"(?<![\w’'.@-])(?P<given>{INITIALS}){GAP}*(?P<family>{FAMILY})(?![\w@])")
-TITLED = re.compile(rf"(?<![\w])(?P<title>(?:{'|'.join(TITLES)}|{'|'.join(t.upper() for t in TITLES)})\b\.?[ \r\n]{{1,2}}|(?:{'|'.join(OFFICES)}){GAP}+)(?P<name>(?:(?:[{U}][{L}]+|{INITIALS}){GAP}+(?:{INITIALS}{GAP}+)?)?(?P<family>{FAMILY}))(?![\w@])")
+#: Words between capitals that go on behind a name in a heading.
+FUNCTION_WORDS = "ON|OF|AND|THE|TO|FOR|IN|AT|BY|FROM|WITH|AU|AUX|EN|DE|DU|DES|SUR|POUR|PAR|ET|Y|EXECUTIVE|ALTERNATE|DIRECTOR|GOVERNOR|MINISTER"
+TITLED = re.compile(rf"(?<![\w])(?P<title>(?:{'|'.join(TITLES)}|{'|'.join(t.upper() for t in TITLES)})\b\.?[ \r\n]{{1,2}}|(?:{'|'.join(OFFICES)}){GAP}+)(?P<name>(?:(?:[{U}][{L}]+|[{U}]{{2,}}(?={GAP}+(?:{INITIALS}{GAP}+)?[{U}]{{2,}}\b)(?!{GAP}+(?:{FUNCTION_WORDS})\b)|{INITIALS}){GAP}+(?:{INITIALS}{GAP}+)?)?(?P<family>{FAMILY}))(?![\w@])")
 REVERSED = re.compile(rf"(?<![\w’'.@-])(?P<family>{FAMILY}),{GAP}+(?P<given>[{U}][{L}]+|[{U}]{{2,}}\b)(?:{GAP}+{INITIALS})?")
 BEHIND = re.compile(AFTER_NAME, re.I)
 TITLE_WORDS = (*TITLES, *(w.upper() for w in TITLES), *OFFICES)
+NAME_LABELS = ("ame:", "ame :", "om:", "om :", "ombre:", "ombre :", "AME:", "AME :", "OM:", "OM :", "OMBRE:", "OMBRE :", "ame\u00a0:", "om\u00a0:", "ombre\u00a0:")
 NAMED = re.compile(r"\b(?:[Nn](?:ame|om|ombre)|N(?:AME|OM|OMBRE))\s?:\s*")
 GIVEN_BEFORE = re.compile(rf"([{U}][{U}{L}’'-]+){GAP}+$")
 #: Words that are no part of a name, also where they are capitalized.
-NOT_NAMES = frozenset("by mr mrs ms dr prof messrs of on behalf the and to in at for from with under statement prepared approved contact name tel fax phone mobile cc some loan table decision deposits arrears governor minister senior executive advisor director yours sincerely".split())
+NOT_NAMES = frozenset("by mr mrs ms dr prof messrs of on behalf the and to in at for from with under some yours sincerely statement prepared approved contact name tel fax phone mobile cc governor minister senior executive advisor director table figure box loan decision".split())
+MONTH_NAMES = frozenset("january february march april may june july august september october november december monday tuesday wednesday thursday friday saturday sunday".split())
+MORE_NAME = re.compile(rf"{GAP}+(?P<word>{PART}[{U}][{U}{L}’']+(?:-[{U}][{U}{L}’']+)?)(?![\w@’'])")
+#: Honorifics behind a name in Chinese and Japanese.
+HAN = re.compile(r"[\u4e00-\u9fff]{2,4}(?=\u5148\u751f|\u5973\u58eb|\u5c0f\u59d0|\u535a\u58eb|\u6559\u6388|\u90e8\u957f|\u884c\u957f|\u3055\u3093|\u6c0f(?!\w))")
 FRENCH_M = re.compile(r"(?i)(?:\b(?:de|par|à|et|avec|que|selon|pour|chez|le)|\bd[’'])\s+$")
 FRENCH_M_AHEAD = re.compile(r"(?i),?\s+(?:administrateur|ministre|gouverneur|a\s+(?:noté|souligné|indiqué|déclaré|estimé|rappelé))")
 
@@ -93,6 +112,7 @@ class Candidate(NamedTuple):
     votes: str
     given: str
     family: str
+    stop: int = 0  # where the mention ends for a reader: further names, flat and town belong to it; end if 0
 
 
 LABELERS = {"email": 4, "phone": 5, "identity": 4, "address": 4, "name": 8}
@@ -176,16 +196,30 @@ def addresses(t: str) -> list[Candidate]:
             begin, end, order = m.start() - len(head) + y.start(), m.end(), 0
         else:
             continue
-        last = end
+        last, stop = end, end
+        while more := ADDRESS_REST.match(t, stop):
+            stop = more.end()
         out.append(Candidate("address", begin, end, _vote(
             order,
             1 if ADDRESS_BEFORE.search(t[max(0, begin - 14) : begin]) else 0,
             1 if ADDRESS_AFTER.match(t[end : end + 24]) else 0,
-            -1 if NOT_ADDRESS.match(t[end : end + 14]) else 0,
-        ), "", ""))
+            -1 if NOT_ADDRESS.match(t, end) else 0,
+        ), "", "", stop))
     return out
 
 
+def _name_stop(t: str, c: Candidate, limit: int) -> int:
+    """The end of a name with the further words that belong to it: capitalized as it is, and neither institutions nor months, up to the next mention."""
+    core, stop = t[c.begin : c.end], c.end
+    while m := MORE_NAME.match(t, stop, limit):
+        word = m["word"].split()[-1]
+        low = word.casefold().rstrip("’'")
+        if word.isupper() != core.isupper() or low in NOT_NAMES or low in MONTH_NAMES or _institution(low):
+            break
+        stop = m.end()
+    return stop
+
+
 def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
     found: dict[int, Candidate] = {}
     begins: list[int] = []  # of the accepted spans, in order; no two of them overlap
@@ -219,9 +253,12 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
         return not i or ends[i - 1] <= begin
 
     for m in TITLED.finditer(t) if any(w in t for w in TITLE_WORDS) else ():
-        if not _institution(m["family"].split()[-1]):
-            add(m.start("name"), m.end("name"), t[m.start("name") : m.start("family")].strip(), m["family"], "titled", m.start())
-    for lead in NAMED.finditer(t):
+        given = t[m.start("name") : m.start("family")].strip()
+        if given and m["family"].casefold() in MONTH_NAMES:  # 'Governor Varova March 2019'
+            add(m.start("name"), m.start("name") + len(given), "", given, "titled", m.start())
+        elif not word(m["family"].split()[-1]):
+            add(m.start("name"), m.end("name"), given, m["family"], "titled", m.start())
+    for lead in NAMED.finditer(t) if any(w in t for w in NAME_LABELS) else ():
         if (m := REVERSED.match(t, lead.end())) and free(m.start(), m.end()):
             add(m.start(), m.end(), m["given"], m["family"], "reversed")
     for m in INITIAL.finditer(t):
@@ -240,7 +277,10 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
         add(m.start(), m.end(), m["given"], m["family"], "middle" if m["middle"] else "plain")
         if _institution(f"{m['given']} {m['family']}"):
             at = m.start() + len(m["given"])
-    return list(found.values())
+    for m in HAN.finditer(t):
+        add(m.start(), m.end(), m[0][1:], m[0][:1], "titled")
+    order = sorted(found.values(), key=lambda c: c.begin)
+    return [c._replace(stop=_name_stop(t, c, d.begin if d else len(t))) for c, d in zip(order, [*order[1:], None])]
 
 
 def candidates(t: str | None, given_names: frozenset[str]) -> list[Candidate]:

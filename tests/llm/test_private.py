@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -46,6 +47,16 @@ def corpus(seed=1, n=400):
     return rows, truth
 
 
+def expected(rows):
+    """The texts of corpus() with placeholders, made from how they were put together, not from what was found."""
+    out = {}
+    for i, t in rows:
+        t = re.sub(r"(Prepared by|According to|Contact:) [A-Z]\w+ [A-Z]\w+", r"\1 [NAME]", t)
+        t = re.sub(r"[a-z]+@mof\.test", "[EMAIL]", t)
+        out[i] = t.replace("+999 123 4567", "[PHONE]")
+    return out
+
+
 def test_mentions_and_placeholders(spark):
     rows, truth = corpus()
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id bigint, text string, kind string, begin_at int")
@@ -54,14 +65,8 @@ def test_mentions_and_placeholders(spark):
     assert len(got & truth) >= 0.98 * len(truth) and len(got - truth) <= 0.02 * len(truth)
     texts = dict(rows)
     clean = {r["id"]: r["text"] for r in private.redact(df, "doc_id", "text", hits).collect()}
-    for i, t in texts.items():
-        parts = sorted((b, e, k) for j, k, b, e in ((r["id"], r["kind"], r["begin_at"], r["end_at"]) for r in hits.collect()) if j == i) if i < 5 else None
-        if parts is not None:
-            want, at = "", 1
-            for b, e, k in parts:
-                want, at = want + t[at - 1 : b - 1] + f"[{k.upper()}]", e + 1
-            assert clean[i] == want + t[at - 1 :]
-    assert len(clean) == len(rows)
+    wanted = expected(rows)
+    assert len(clean) == len(rows) and sum(clean[i] == wanted[i] for i in texts) >= 0.98 * len(rows)
 
 
 def test_nulls_empty_long_and_repeated(spark):
@@ -102,3 +107,46 @@ def test_titled_names_behind_many_pairs():
 def test_leads_begin_a_word(lead, strong, weak):
     c = next(c for c in spans.candidates(lead + "Noneth Varova", GIVEN) if c.begin == len(lead))
     assert c.votes[2:4] == strong + weak
+
+
+@pytest.mark.parametrize("text, kind, want", [
+    ("Prepared by Orlio Varova Oskulu and Jobel Wexova.", "name", ["Orlio Varova Oskulu", "Jobel Wexova"]), ("According to Jobel Pellmere de la Tolhald, it rose", "name", ["Jobel Pellmere de la Tolhald"]),
+    ("Mr. Orlio B. Varova Oskulu noted", "name", ["Orlio B. Varova Oskulu"]), ("STATEMENT BY MR. ORLIO VAROVA OSKULU ON BEHALF OF X", "name", ["ORLIO VAROVA OSKULU"]), ("Prepared by Orlio Varova Executive Director", "name", ["Orlio Varova"]),
+    ("Governor Varova March 2019", "name", ["Varova"]), ("met 张伟先生 today", "name", ["张伟"]),
+    ("sent to 217, rue des Moulins, Portmere. Then", "address", ["217, rue des Moulins, Portmere"]), ("at 404a Saltmarsh Road, Flat 3, 53138 Lower Tarn.", "address", ["404a Saltmarsh Road, Flat 3, 53138 Lower Tarn"]), ("to Old Mill Road 100, Kell, as agreed", "address", ["Old Mill Road 100, Kell"]),
+])
+def test_ends_of_mentions(text, kind, want):
+    """A mention ends where a reader would end it: with all names, the flat and the town."""
+    got = [text[c.begin : c.stop or c.end] for c in spans.candidates(text, GIVEN) if c.kind == kind]
+    for w in want:
+        assert w in got, got
+
+
+#: Phrases that no list of the labelers has.
+HELD_OUT = ["Questions were put to our colleague {} in spring. ", "Minutes were kept; {} chaired the panel. ", "An earlier note, drafted jointly, thanks {} for comments. ", "It was {} who signed the memorandum. ", "The desk, headed since May by economist {}, revised it. ", "Slides: {}, for the seminar. "]
+
+
+def test_held_out_phrases(spark):
+    """Recall of names in phrases that none of the lists knows, among texts as they are."""
+    rows, truth = corpus(seed=4)
+    rng, held = random.Random(12), set()
+    known = [(m[1], m[2]) for _, t in rows for m in re.finditer(r"(?:Prepared by|According to|Contact:) ([A-Z]\w+) ([A-Z]\w+)", t)]
+    for k in range(120):
+        given, family = rng.choice(known)[0], rng.choice(known)[1]
+        lead, tail = rng.choice(HELD_OUT).split("{}")
+        text = "Growth was strong. " + lead + f"{given} {family}" + tail + "The Monetary Board met."
+        held.add((10_000 + k, "name", len("Growth was strong. " + lead) + 1))
+        rows.append((10_000 + k, text))
+    hits = private.find_private(spark.createDataFrame(rows, "doc_id bigint, text string"), "doc_id", "text", GIVEN).collect()
+    got = {(r["id"], r["kind"], r["begin_at"]) for r in hits}
+    recall, wrong = len(got & held) / len(held), len([g for g in got if g[0] >= 10_000 and g not in held])
+    print("recall in held-out phrases", recall, "wrong", wrong)
+    assert recall >= 0.9 and wrong <= 0.1 * len(held)
+
+
+def test_no_part_of_a_mention_stays(spark):
+    rows = [(i, f"Growth was strong. Prepared by Orlio Varova Oskulu{i % 7}x and kept. ".replace(f"{i % 7}x", "abcdefg"[i % 7]) + f"Letters may be sent to {i + 100} Saltmarsh Road, Flat {i % 9 + 1}, 53138 Lower Tarn. cc: varova{i}@mof.test") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    clean = [r["text"] for r in private.redact(df, "doc_id", "text", private.find_private(df, "doc_id", "text", GIVEN)).collect()]
+    assert sum(any(w in t for w in ("Orlio", "Varova", "Oskulu", "Saltmarsh", "Tarn", "53138", "Flat", "@")) for t in clean) <= 1
+    assert all(t.startswith("Growth was strong. Prepared by [NAME] and kept. Letters may be sent to [ADDRESS]. cc: [EMAIL]") for t in clean[:1])
