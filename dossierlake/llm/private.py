@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,6 +36,7 @@ CANDIDATE = T.ArrayType(T.StructType([
 ]))
 
 
+@lru_cache(500_000)
 def _cell(feature: str) -> int:
     return zlib.crc32(feature.encode()) % CELLS
 

@@ -42,15 +42,18 @@ INSTITUTIONS = frozenset(
 
 EMAIL = re.compile(r"[\w.+%'’-]*\w ?@ ?\w[\w-]*(?:\s?\.\s?\w[\w-]*)*\.[^\W\d_]{2,}", re.U)
 EMAIL_SPELLED = re.compile(r"(?i)\w[\w.+%-]*\s*[\[({<]\s*(?:at|arobase|arroba|@)\s*[\])}>]\s*\w[\w-]*(?:(?:\s*[\[({<]\s*(?:dot|point|punto|\.)\s*[\])}>]\s*|\.)\w[\w-]*)+")
+EMAIL_AT = re.compile(r"[\[({<]\s*(?:at|arobase|arroba|@)")
 EMAIL_WORDS = re.compile(r"\b\w[\w.+%-]* (?:AT|at) \w[\w-]*(?: (?:DOT|dot) \w[\w-]*)+")
+#: Patterns begin with one class of characters and look back behind it, so that a search passes over the rest of a text quickly.
+GAP_IN_PHONE = "[-. \u00a0\u202f]"
 PHONE = re.compile(
-    r"(?<![\w.,/+-])(?:"
-    r"\+ ?[0-9]{1,3}[-. \u00a0\u202f]?(?:\([0-9]{1,4}\)[-. \u00a0\u202f]?)?[0-9]{1,4}(?:[-. \u00a0\u202f]?[0-9]{2,4}){1,4}"
-    r"|00[0-9]{2,3}(?:[-. \u00a0\u202f]?[0-9]{2,4}){2,5}"
-    r"|\([0-9]{2,4}\)[-. \u00a0\u202f]?[0-9]{3,4}[-. \u00a0\u202f][0-9]{3,4}"
-    r"|[0-9]{3}[-. \u00a0\u202f][0-9]{3}[-. \u00a0\u202f][0-9]{4}"
-    r"|0[0-9]{2,4}(?:[-. \u00a0\u202f][0-9]{2,4}){2,4}"
-    r"|[0-9]{3}(?: [0-9]{3}){2,3}"
+    rf"[+(0-9](?<![\w.,/+-].)(?:"
+    rf"(?<=\+) ?[0-9]{{1,3}}{GAP_IN_PHONE}?(?:\([0-9]{{1,4}}\){GAP_IN_PHONE}?)?[0-9]{{1,4}}(?:{GAP_IN_PHONE}?[0-9]{{2,4}}){{1,4}}"
+    rf"|(?<=0)0[0-9]{{2,3}}(?:{GAP_IN_PHONE}?[0-9]{{2,4}}){{2,5}}"
+    rf"|(?<=\()[0-9]{{2,4}}\){GAP_IN_PHONE}?[0-9]{{3,4}}{GAP_IN_PHONE}[0-9]{{3,4}}"
+    rf"|(?<=[0-9])[0-9]{{2}}{GAP_IN_PHONE}[0-9]{{3}}{GAP_IN_PHONE}[0-9]{{4}}"
+    rf"|(?<=0)[0-9]{{2,4}}(?:{GAP_IN_PHONE}[0-9]{{2,4}}){{2,4}}"
+    rf"|(?<=[0-9])[0-9]{{2}}(?: [0-9]{{3}}){{2,3}}"
     r")(?![0-9]|[-.,/][0-9])"
 )
 PHONE_BEFORE, NO_PHONE = re.compile(PHONE_WORDS + r"[^\n;]{0,30}$", re.I), re.compile(NOT_PHONE, re.I)
@@ -59,7 +62,8 @@ IDENTITY_FORMS = (
     r"|[A-Z]{2} ?[0-9]{2} ?[0-9]{2} ?[0-9]{2} ?[A-Z]|[A-Z]{2,3}-[0-9]{3,6}-[0-9]{2,6}|[A-Z][0-9]{1,3}-[0-9]{2,4}|[0-9]{7,9}-[0-9A-Z]|[0-9]{3}-[0-9]{3}/[A-Z]"
 )
 IDENTITY_ANY = r"[A-Z]{0,3}-?[0-9][0-9A-Z]{4,13}(?:[ -][0-9A-Z]{1,6}){0,3}"
-IDENTITY = re.compile(rf"(?<![\w/+.-])(?=[A-Z]{{0,3}}[- ]?[0-9])(?:{IDENTITY_FORMS}|{IDENTITY_ANY})(?![\w/]|-[0-9])")
+IDENTITY_START = re.compile(r"[A-Z0-9](?<![\w/+.-].)(?:(?<=[0-9])|(?<=[A-Z])(?=[A-Z]{0,2}[- ]?[0-9]))")
+IDENTITY = re.compile(rf"(?:{IDENTITY_FORMS}|{IDENTITY_ANY})(?![\w/]|-[0-9])")
 IDENTITY_FORM = re.compile(r"[A-Z][0-9]{7}|[0-9]{6}-[0-9]{4}|[0-9]{3}-[0-9]{2}-[0-9]{4}|[0-9]{2}-[0-9]{7}|[A-Z]{2} [0-9]{2} [0-9]{2} [0-9]{2} [A-Z]|[A-Z]{2}-[0-9]{4}-[0-9]{3}|[0-9]{8}-[0-9]")
 NOT_IDENTITY_FORM = re.compile(r"[A-Z][0-9]{1,3}-[0-9]{2,4}|[0-9]{3}-[0-9]{3}/[A-Z]|[0-9]{1,7}")
 IDENTITY_BEFORE = re.compile(rf"(?i)(?:{ID_WORDS})[^\n;]{{0,14}}$")
@@ -68,7 +72,7 @@ CAP = rf"[{U}][\w’'-]*"
 KW = rf"(?:{'|'.join(STREETS)}|{'|'.join(w.upper() for w in STREETS)})\b\.?"
 ROAD = "(?:" + "|".join(sorted({re.escape(v) for w in ROADS for v in (w, w.capitalize(), w.upper())}, key=len, reverse=True)) + ")"
 ROAD_NAME = rf"{GAP}+(?:(?i:des|de{GAP}la|de{GAP}los|de{GAP}las|du|del|de|d[’']|l[’']){GAP}*)*{CAP}(?:{GAP}+{CAP}){{0,2}}"
-HOUSE = re.compile(r"(?<![\w.,/+-])[0-9]{1,5}(?:[a-zA-Z]\b|/[0-9]{1,3}\b|-[0-9]{1,4}\b)?(?![\w%]|[.,][0-9])")
+HOUSE = re.compile(r"[0-9](?<![\w.,/+-].)[0-9]{0,4}(?:[a-zA-Z]\b|/[0-9]{1,3}\b|-[0-9]{1,4}\b)?(?![\w%]|[.,][0-9])")
 STREET_AFTER = re.compile(rf",?{GAP}+(?:(?:{CAP}{GAP}+){{1,4}}?{KW}|(?:(?:bis|ter),?{GAP}+)?{ROAD}{ROAD_NAME})")
 STREET_BEFORE = re.compile(rf"(?:(?:{CAP}{GAP}+){{1,4}}?{KW}|{ROAD}{ROAD_NAME}),?{GAP}+(?:(?:No|Nr|N[º°]|n[.º°o]+)\.?{GAP}*)?$")
 CAP_BEFORE = re.compile(rf"{CAP}\.?,?{GAP}+(?:(?:No|Nr|N[º°]|n[.º°o]+)\.?{GAP}*)?$")
@@ -84,16 +88,15 @@ WORD = rf"(?:[{U}](?:[{L}]+|[{U}]+)(?:[’'-][{U}{L}]+)*|[{U}][’'][{U}][{U}{L}
 PART = rf"(?:(?:(?i:{'|'.join(PARTICLES)}){GAP}+|(?i:al|el|ben)-|[OD][’'](?=[{U}]))*)"
 FAMILY = rf"{PART}[{U}][{U}{L}’']+(?:-{PART}[{U}][{U}{L}’']+)?"
 INITIALS = rf"(?:[{U}]\.(?:{GAP}?-?[{U}]\.)*)"
-FULL = re.compile(rf"(?<![\w’'.@-])(?P<given>[{U}][{L}]+(?:-[{U}][{L}]+)?|[{U}]{{2,}}(?:-[{U}]{{2,}})?)(?:{GAP}+(?P<middle>{INITIALS}))?{GAP}+(?P<family>{FAMILY})(?![\w@])")
-INITIAL = re.compile(rf"(?<![\w’'.@-])(?P<given>{INITIALS}){GAP}*(?P<family>{FAMILY})(?![\w@])")
+FULL = re.compile(rf"(?P<given>[{U}](?<![\w’'.@-].)(?:[{L}]+(?:-[{U}][{L}]+)?|[{U}]+(?:-[{U}]{{2,}})?))(?:{GAP}+(?P<middle>{INITIALS}))?{GAP}+(?P<family>{FAMILY})(?![\w@])")
+INITIAL = re.compile(rf"(?P<given>[{U}](?<![\w’'.@-].)\.(?:{GAP}?-?[{U}]\.)*){GAP}*(?P<family>{FAMILY})(?![\w@])")
 #: Words between capitals that go on behind a name in a heading.
 FUNCTION_WORDS = "ON|OF|AND|THE|TO|FOR|IN|AT|BY|FROM|WITH|AU|AUX|EN|DE|DU|DES|SUR|POUR|PAR|ET|Y|EXECUTIVE|ALTERNATE|DIRECTOR|GOVERNOR|MINISTER"
-TITLED = re.compile(rf"(?<![\w])(?P<title>(?:{'|'.join(TITLES)}|{'|'.join(t.upper() for t in TITLES)})\b\.?[ \r\n]{{1,2}}|(?:{'|'.join(OFFICES)}){GAP}+)(?P<name>(?:(?:[{U}][{L}]+|[{U}]{{2,}}(?={GAP}+(?:{INITIALS}{GAP}+)?[{U}]{{2,}}\b)(?!{GAP}+(?:{FUNCTION_WORDS})\b)|{INITIALS}){GAP}+(?:{INITIALS}{GAP}+)?)?(?P<family>{FAMILY}))(?![\w@])")
+TITLE_STARTS = "".join(sorted({t[0] for t in (*TITLES, *OFFICES)}))
+TITLED = re.compile(rf"[{TITLE_STARTS}](?<!\w.)(?P<title>(?:{'|'.join(rf'(?<={t[0]}){t[1:]}' for t in (*TITLES, *dict.fromkeys(t.upper() for t in TITLES)))})\b\.?[ \r\n]{{1,2}}|(?:{'|'.join(rf'(?<={t[0]}){t[1:]}' for t in OFFICES)}){GAP}+)(?P<name>(?:(?:[{U}][{L}]+|[{U}]{{2,}}(?={GAP}+(?:{INITIALS}{GAP}+)?[{U}]{{2,}}\b)(?!{GAP}+(?:{FUNCTION_WORDS})\b)|{INITIALS}){GAP}+(?:{INITIALS}{GAP}+)?)?(?P<family>{FAMILY}))(?![\w@])")
 REVERSED = re.compile(rf"(?<![\w’'.@-])(?P<family>{FAMILY}),{GAP}+(?P<given>[{U}][{L}]+|[{U}]{{2,}}\b)(?:{GAP}+{INITIALS})?")
 BEHIND = re.compile(AFTER_NAME, re.I)
-TITLE_WORDS = (*TITLES, *(w.upper() for w in TITLES), *OFFICES)
-NAME_LABELS = ("ame:", "ame :", "om:", "om :", "ombre:", "ombre :", "AME:", "AME :", "OM:", "OM :", "OMBRE:", "OMBRE :", "ame\u00a0:", "om\u00a0:", "ombre\u00a0:")
-NAMED = re.compile(r"\b(?:[Nn](?:ame|om|ombre)|N(?:AME|OM|OMBRE))\s?:\s*")
+NAMED = re.compile(r"[Nn](?<!\w.)(?:ame|om|ombre|(?<=N)(?:AME|OM|OMBRE))\s?:\s*")
 GIVEN_BEFORE = re.compile(rf"([{U}][{U}{L}’'-]+){GAP}+$")
 #: Words that are no part of a name, also where they are capitalized.
 NOT_NAMES = frozenset("by mr mrs ms dr prof messrs of on behalf the and to in at for from with under some yours sincerely statement prepared approved contact name tel fax phone mobile cc governor minister senior executive advisor director table figure box loan decision".split())
@@ -140,7 +143,7 @@ def emails(t: str) -> list[Candidate]:
             tld = s.rpartition(".")[2]
             out.append(Candidate("email", begin, m.end(), _vote(1 if " " not in s else 0, 1 if tld.isalpha() else -1, 1 if re.search(r"(?i)(?:mail\w*|correo|courriel|cc|reached|at|<|;)\W*$", t[max(0, begin - 14) : begin]) else 0, -1 if s[0].isdigit() and " " in s else 0), "", ""))
     low = t.casefold()
-    if "at" in low and re.search(r"[\[({<]\s*(?:at|arobase|arroba|@)", low):
+    if EMAIL_AT.search(low):
         out += [Candidate("email", m.start(), m.end(), _vote(1, 1 if re.search(r"(?i)[\[({<]\s*(?:dot|point|punto|\.)", m[0]) else 0, 1 if re.search(r"(?i)(?:mail\w*|correo|courriel|cc|reached|at|<|;)\W*$", t[max(0, m.start() - 14) : m.start()]) else 0, 0), "", "") for m in EMAIL_SPELLED.finditer(t)]
     if " dot " in low:
         out += [Candidate("email", m.start(), m.end(), _vote(0, 1, 0, 0), "", "") for m in EMAIL_WORDS.finditer(t)]
@@ -166,8 +169,11 @@ def phones(t: str) -> list[Candidate]:
 
 
 def identities(t: str) -> list[Candidate]:
-    out = []
-    for m in IDENTITY.finditer(t):
+    out: list[Candidate] = []
+    for start in IDENTITY_START.finditer(t):
+        m = IDENTITY.match(t, start.start())
+        if not m or (out and m.start() < out[-1].end):
+            continue
         begin, end, s, before = m.start(), m.end(), m[0], t[max(0, m.start() - 34) : m.start()]
         known, form = IDENTITY_BEFORE.search(before) is not None, IDENTITY_FORM.fullmatch(s) is not None
         if known or form or re.fullmatch(IDENTITY_FORMS, s):
@@ -252,13 +258,13 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
         i = bisect_left(begins, end)
         return not i or ends[i - 1] <= begin
 
-    for m in TITLED.finditer(t) if any(w in t for w in TITLE_WORDS) else ():
+    for m in TITLED.finditer(t):
         given = t[m.start("name") : m.start("family")].strip()
         if given and m["family"].casefold() in MONTH_NAMES:  # 'Governor Varova March 2019'
             add(m.start("name"), m.start("name") + len(given), "", given, "titled", m.start())
         elif not word(m["family"].split()[-1]):
             add(m.start("name"), m.end("name"), given, m["family"], "titled", m.start())
-    for lead in NAMED.finditer(t) if any(w in t for w in NAME_LABELS) else ():
+    for lead in NAMED.finditer(t):
         if (m := REVERSED.match(t, lead.end())) and free(m.start(), m.end()):
             add(m.start(), m.end(), m["given"], m["family"], "reversed")
     for m in INITIAL.finditer(t):
@@ -299,16 +305,25 @@ def candidates(t: str | None, given_names: frozenset[str]) -> list[Candidate]:
     return out
 
 
+@lru_cache(100_000)
 def shape(s: str) -> str:
-    return re.sub(r"(.)\1+", r"\1", "".join("A" if c in UPPER else "a" if c.isalpha() else "9" if c.isdigit() else " " if c.isspace() else c for c in s))[:16]
+    return RUNS.sub(r"\1", "".join("A" if c in UPPER_SET else "a" if c.isalpha() else "9" if c.isdigit() else " " if c.isspace() else c for c in s))[:16]
+
+
+RUNS, TOKENS, UPPER_SET = re.compile(r"(.)\1+"), re.compile(r"\w+|[^\w\s]"), frozenset(UPPER)
+
+
+@lru_cache(100_000)
+def _neighbour(word: str) -> str:
+    return shape(word) if word.isdigit() else word.casefold()
 
 
 def features(t: str, c: Candidate) -> list[str]:
     """What the final classifier sees: form, affixes and neighbouring words, next to the votes."""
-    before = re.findall(r"\w+|[^\w\s]", t[max(0, c.begin - 24) : c.begin])[-3:]
-    after = re.findall(r"\w+|[^\w\s]", t[c.end : c.end + 24])[:3]
-    f = [f"{c.kind}|b", f"s:{shape(t[c.begin : c.end])}", *(f"v{i}{x}" for i, x in enumerate(c.votes) if x != "0"), *(f"l{i}:{shape(w) if w.isdigit() else w.casefold()}" for i, w in enumerate(reversed(before))), *(f"r{i}:{shape(w) if w.isdigit() else w.casefold()}" for i, w in enumerate(after))]
+    before = TOKENS.findall(t[max(0, c.begin - 24) : c.begin])[-3:]
+    after = TOKENS.findall(t[c.end : c.end + 24])[:3]
+    f = ["b", "s:" + shape(t[c.begin : c.end]), *(f"v{i}{x}" for i, x in enumerate(c.votes) if x != "0"), *(f"l{i}:{_neighbour(w)}" for i, w in enumerate(reversed(before))), *(f"r{i}:{_neighbour(w)}" for i, w in enumerate(after))]
     if c.kind == "name":
-        fam = c.family.casefold()
-        f += [f"p:{fam[:3]}", f"q:{fam[-3:]}", f"Q:{fam[-4:]}", f"g:{c.given.casefold()[:3]}", f"G:{c.given.casefold()[-3:]}"]
+        given, fam = c.given.casefold(), c.family.casefold()
+        f += ["p:" + fam[:3], "q:" + fam[-3:], "Q:" + fam[-4:], "g:" + given[:3], "G:" + given[-3:]]
     return [f"{c.kind}|{x}" for x in f]
