@@ -3,9 +3,9 @@
 A text is cut into words by the tokenizer's pattern. A word's ids come from a fold over its bytes: `aggregate` merges
 the adjacent pair with the least rank until none is left, with the ranks in a literal map whose buckets make a lookup
 short. The most frequent distinct words of the corpus, a bounded number, are folded once and become a second literal map;
-a word that is not in it is folded where it stands, so the result does not depend on that bound. Words of more than
-LONG_WORD bytes, whose fold would be quadratic, are merged by a heap in an Arrow batch; only texts that may hold one
-go that way.
+a word that is not in it is folded where it stands, so the result does not depend on that bound. Single words of more than
+LONG_WORD bytes, whose fold would be quadratic, are merged by a heap in an Arrow batch; the other words of their texts
+are folded as everywhere.
 
 Pieces are kept as hexadecimal strings. Decoding joins the pieces of the ids and reads them as UTF-8.
 """
@@ -24,8 +24,8 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from dossierlake.session import task_slots
 
 TOKENIZERS = "/opt/tokenizers"
-#: Fixed value: the pattern that splits text before the merges, in Java's dialect.
-PATTERN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{IsL}+| ?\p{IsN}+| ?[^\s\p{IsL}\p{IsN}]+|\s+(?!\S)|\s+"
+#: Fixed value: the pattern that splits text before the merges, in Java's dialect; its alternatives begin with different characters, so their order is that of their frequency.
+PATTERN = r"(?U) ?+\p{IsL}++|'(?:s|t|re|ve|m|ll|d)| ?+\p{IsN}++| ?+[^\s\p{IsL}\p{IsN}]++|\s+(?!\S)|\s+"
 BUCKETS = 16_384
 DICTIONARY = 20_000
 DICTIONARY_WORD = 64
@@ -140,23 +140,28 @@ def encode(df: DataFrame, id_col: str, text: str, path: str | None = None, most:
     ranks = read_ranks(path)
     rank_map = _bucketed({k.hex().upper(): v for k, v in ranks.items()}, "int", BUCKETS)
     texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    # a word of LONG_WORD bytes has so many characters of one kind in a row; a text that is missed is only slower
-    long = F.coalesce(F.col("text").rlike(rf"(?:^|\s)\S{{{LONG_WORD // 4}}}|(?:^|\S)\s{{{LONG_WORD // 4}}}"), F.lit(False))
     fold = lambda w, maps: fold_word(F.hex(F.encode(w, "UTF-8")), maps)
     frequent = frequent_words(texts.select(words_of(F.col("text")).alias("words")), "words", most).repartition(task_slots(spark))
     folded = frequent.select("word", _let(rank_map, lambda m: fold(F.col("word"), m)).alias("ids"))
     word_map = _bucketed({r["word"]: r["ids"] for r in folded.collect()}, "array<int>", BUCKETS)  # at most `most` words of DICTIONARY_WORD bytes
     # each literal is named once, so that a plan holds it once; the ranks are bound only where a word has to be folded
     ids_of = lambda w: F.coalesce(_look_up(word_map, w, BUCKETS), _let(rank_map, lambda m: fold(w, m)))
-    near = texts.where(~long).select("id", words_of(F.col("text")).alias("words")).select("id", F.flatten(F.transform("words", ids_of)).alias("ids"))
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    is_long = lambda w: F.octet_length(w) > LONG_WORD
+    any_long = lambda words: F.exists(words, is_long)
+    # words are cut once for each text: what holds a long word has null ids here and goes the other way
+    here = _let(words_of(F.col("text")), lambda words: F.when(~any_long(words), F.flatten(F.transform(words, ids_of))))
+    near = texts.select("id", F.explode(F.array_compact(F.array(here))).alias("ids"))  # a filter would be pushed below and cut the words twice
+    shared = spark.sparkContext.broadcast(ranks)
+
+    @F.pandas_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
     def by_heap(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = read_ranks(path)
+        own = shared.value
         for batch in batches:
-            yield pd.Series([[x for w in words for x in heap_merge(w.encode(), own)] for words in batch])
+            yield pd.Series([[heap_merge(x, own) if len(x := w.encode()) > LONG_WORD else None for w in words] for words in batch])
 
-    return near.unionByName(texts.where(long).select("id", by_heap(words_of(F.col("text"))).alias("ids")))
+    cut = texts.where(F.octet_length("text") > LONG_WORD).select("id", words_of(F.col("text")).alias("words")).where(any_long(F.col("words")))
+    far = cut.select("id", F.flatten(F.zip_with("words", by_heap("words"), lambda w, h: F.coalesce(h, ids_of(w)))).alias("ids"))
+    return near.unionByName(far)
 
 
 def decode(ids: Column, path: str | None = None) -> Column:
