@@ -30,6 +30,8 @@ BUCKETS = 16_384
 DICTIONARY = 20_000
 DICTIONARY_WORD = 64
 LONG_WORD = 256
+#: Characters of a plan that are printed and kept, where the session has Spark's own bound.
+PLAN_TEXT, UNBOUND = 100_000, "2147483632"
 
 
 @lru_cache(4)
@@ -136,8 +138,9 @@ def frequent_words(words: DataFrame, column: str, most: int = DICTIONARY) -> Dat
 def encode(df: DataFrame, id_col: str, text: str, path: str | None = None, most: int = DICTIONARY) -> DataFrame:
     """(id, ids): the token ids of every text; an empty list for null and empty texts. Repeated ids and texts stay."""
     spark = df.sparkSession
-    path = path or vocabulary_path()
-    ranks = read_ranks(path)
+    if spark.conf.get("spark.sql.maxPlanStringLength", UNBOUND).rstrip("b") == UNBOUND:
+        spark.conf.set("spark.sql.maxPlanStringLength", PLAN_TEXT)  # a printed plan would hold the literal maps, and Spark keeps it for every execution
+    ranks = read_ranks(path or vocabulary_path())
     rank_map = _bucketed({k.hex().upper(): v for k, v in ranks.items()}, "int", BUCKETS)
     texts = df.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     fold = lambda w, maps: fold_word(F.hex(F.encode(w, "UTF-8")), maps)
