@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from dossierlake.llm.queries import GROUPS
-
-SPELLED = " ".join(f"when '{form}' then '{group}'" for group, forms in GROUPS.items() for form in forms)
-USABLE = f"""(select *, try_cast(nullif(regexp_extract(cast(year as varchar), '((?:19|20)[0-9]{{2}})', 1), '') as int) as y,
- case regexp_replace(lower(classification), '[^\\p{{L}}]+', '', 'g') {SPELLED} end as c from df)"""
+# rules of its own for the spellings: an income word or the letters of the abbreviation
+USABLE = """(select *, try_cast(nullif(regexp_extract(cast(year as varchar), '((?:19|20)[0-9]{2})', 1), '') as int) as y,
+ case when regexp_matches(k, '^low[- ]?income|^li?cs?$') then 'LICs' when regexp_matches(k, '^emerging|^ems?( and)? ?des?$') then 'EMDEs' when regexp_matches(k, '^advanced|^aes?$') then 'AEs' end as c
+ from (select *, trim(regexp_replace(lower(classification), '[^\\p{L}-]+', ' ', 'g')) as k from df))"""
 COUNTS = f"(select c, y, count(*) as n from {USABLE} where c is not null and y is not null group by 1, 2)"
 SIZE = f"(select cast(floor(sum(n) / 5) as bigint) from {COUNTS})"
 NEEDED = f"(select classification, year, coalesce(n, 0) as have, greatest(min_rows, cast(ceil({SIZE} * target_permille / 1000) as bigint)) as needed from sample_targets left join {COUNTS} on c = classification and y = year)"
@@ -15,5 +14,6 @@ NEEDED = f"(select classification, year, coalesce(n, 0) as have, greatest(min_ro
 def oracle_sql() -> dict[str, str]:
     return {
         "p6_found": "select row_id, side from (select row_id, 'staff' as side, staff as text from df_documents union all select row_id, 'buff', buff from df_documents) where length(text) > 4000",
+        "p7_drawn": f"select classification, year, have, true as as_planned, true as has_floor from {NEEDED}",
         "p7_found": f"select classification, year from {NEEDED} where have < needed",
     }

@@ -119,20 +119,32 @@ def usable_rows(spark: SparkSession, d: str) -> DataFrame:
     return df.where("classification is not null and year is not null")
 
 
+def quota_plan(spark: SparkSession, d: str, whole: bool = False) -> DataFrame:
+    return quota.plan(usable_rows(spark, d), ["classification", "year"], table(spark, d, "sample_targets"), "target_permille", "min_rows", whole=whole)
+
+
 def p7_plan(spark: SparkSession, d: str) -> DataFrame:
-    """Rows there are, are needed and are taken by group and year, and whether the target is met."""
-    return quota.plan(usable_rows(spark, d), ["classification", "year"], table(spark, d, "sample_targets"), "target_permille", "min_rows")
+    """Rows there are, are needed and are taken by group and year, and whether the data and the sample have as many as are needed."""
+    return quota_plan(spark, d)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return p7_plan(spark, d).where("met = false").select("classification", "year")
+    """The targets that swap repair cannot reach even where every need is a floor."""
+    return quota_plan(spark, d, whole=True).where("reached = false").select("classification", "year")
 
 
 def p7_sample(spark: SparkSession, d: str) -> DataFrame:
     """The sample itself."""
-    usable = usable_rows(spark, d)
-    planned = quota.plan(usable, ["classification", "year"], table(spark, d, "sample_targets"), "target_permille", "min_rows")
-    return quota.draw(usable, ["classification", "year"], planned, "row_id")
+    return quota.draw(usable_rows(spark, d), ["classification", "year"], quota_plan(spark, d), "row_id")
+
+
+def p7_drawn(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the sample has as many different rows of each target as planned, and the target's floor as far as there are rows."""
+    drawn = p7_sample(spark, d).groupBy("classification", "year").agg(F.count_distinct("row_id").alias("n_drawn"))
+    planned = quota_plan(spark, d).where("needed is not null")
+    floors = table(spark, d, "sample_targets").select("classification", "year", "min_rows")
+    joined = planned.join(drawn, ["classification", "year"], "left").join(floors, ["classification", "year"], "left").withColumn("n_drawn", F.coalesce("n_drawn", F.lit(0)))
+    return joined.select("classification", "year", "have", (F.col("n_drawn") == F.col("take")).alias("as_planned"), (F.col("n_drawn") >= F.least("have", F.coalesce("min_rows", F.lit(0)))).alias("has_floor"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:

@@ -8,10 +8,9 @@ category is found from sums over hash cells, so that only the one cell the cut f
 
 from __future__ import annotations
 
-import hashlib
 import heapq
-import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Hash cells of a category, from which its cut is found.
@@ -19,28 +18,35 @@ CELLS = 4096
 MAX_SIGNATURES = 100_000
 
 
+def random_counts(free: dict[tuple, int], n: int, rng: np.random.Generator) -> dict[tuple, int]:
+    """How many of n rows drawn at random, without putting back, fall to each signature that has so many free ones.
+
+    One signature after the other, each by its hypergeometric number; where the numbers are beyond what numpy draws
+    (10^9), by the binomial one, held to what is possible.
+    """
+    out, rest = {}, sum(free.values())
+    n = min(n, rest)
+    for k, have in free.items():
+        rest -= have
+        if have + rest < 1_000_000_000:
+            got = int(rng.hypergeometric(have, rest, n)) if n else 0
+        else:
+            got = min(have, max(n - rest, int(rng.binomial(n, have / (have + rest)))))
+        out[k], n = got, n - got
+    return out
+
+
 def swap_repair(have: dict[tuple, int], floor: dict[tuple, int], size: int, wanted: dict[tuple, float], seed: int = 7) -> dict[tuple, int]:
     """Counts by signature that sum to size, or to all there is, and deviate least from wanted.
 
-    Starts from the floors and a random proportional filling, then exchanges counts between the signature that is most
+    Starts from a random sample that satisfies the floors, then exchanges counts between the signature that is most
     over and the one that is most under its target, as many as lower the squared deviation most, until none does.
     Floors hold before size does: if they sum to more, so does the result.
     """
     low = {k: min(n, floor.get(k, 0)) for k, n in have.items()}
-    take, left = dict(low), min(size, sum(have.values())) - sum(low.values())
-    total = sum(have.values()) - sum(low.values())
-    order = sorted(have, key=lambda k: hashlib.sha1(f"{seed}{k}".encode()).digest())
-    if left > 0:
-        share, free = left / total, {k: have[k] - low[k] for k in order}
-        for k in order:
-            take[k] += math.floor(free[k] * share)
-        missing = min(size, sum(have.values())) - sum(take.values())
-        for k in order:
-            more = min(missing, have[k] - take[k], 1)
-            take[k], missing = take[k] + more, missing - more
-        for k in order:
-            more = min(missing, have[k] - take[k])
-            take[k], missing = take[k] + more, missing - more
+    free = {k: have[k] - low[k] for k in sorted(have, key=str)}
+    drawn = random_counts(free, max(0, size - sum(low.values())), np.random.default_rng(seed))
+    take = {k: low[k] + drawn[k] for k in have}
     off = {k: take[k] - wanted.get(k, 0.0) for k in have}
     over, under = [(-d, k) for k, d in off.items()], [(d, k) for k, d in off.items()]
     heapq.heapify(over)
@@ -62,17 +68,23 @@ def swap_repair(have: dict[tuple, int], floor: dict[tuple, int], size: int, want
     return take
 
 
-def plan(usable: DataFrame, by: list[str], targets: DataFrame, permille: str, min_rows: str, one_in: int = 5, max_signatures: int = MAX_SIGNATURES) -> DataFrame:
-    """(by…, have, needed, take, met): for every target, how many rows there are, are needed and are taken.
+def plan(usable: DataFrame, by: list[str], targets: DataFrame, permille: str, min_rows: str, one_in: int = 5, whole: bool = False, max_signatures: int = MAX_SIGNATURES) -> DataFrame:
+    """(by…, have, needed, take, met, reached): for every target, how many rows there are, are needed and are taken; met: whether
+    there are so many rows; reached: whether so many are taken.
 
     The sample has one row in `one_in` of the usable rows, rounded down; a target needs the larger of min_rows and its
-    share of that, rounded up, and is met if there are so many rows. Rows without a target are taken only where targets
-    fall short. The plan is a small table: one row per signature, whose number is checked.
+    share of that, rounded up. Its floor is min_rows: as shares are rounded up for every target, all needs together may be
+    a few rows more than the sample has, and a target with enough rows may miss its need by one. With `whole` every need is a
+    floor and the sample grows by those rows, so that a target is reached exactly if there are enough rows for it. Rows without a
+    target are taken only where targets fall short. The plan is a small table: one row per signature, whose number is
+    checked. Null or negative goals need nothing; an empty table takes nothing.
     """
     counts = usable.groupBy(*by).agg(F.count("*").alias("have")).limit(max_signatures + 1).collect()
     if len(counts) > max_signatures:
         raise ValueError(f"more than {max_signatures} signatures")
     goals = targets.select(*by, permille, min_rows).limit(max_signatures + 1).collect()
+    if len(goals) > max_signatures:
+        raise ValueError(f"more than {max_signatures} targets")
     key = lambda r: tuple(r[c] for c in by)
     have = {key(r): r["have"] for r in counts}
     for r in goals:
@@ -80,12 +92,13 @@ def plan(usable: DataFrame, by: list[str], targets: DataFrame, permille: str, mi
     size = sum(have.values()) // one_in
     needed = {key(r): max(r[min_rows] or 0, -(-size * (r[permille] or 0) // 1000)) for r in goals}
     wanted = {key(r): size * (r[permille] or 0) / 1000 for r in goals}
-    floor = {key(r): r[min_rows] or 0 for r in goals}
+    floor = needed if whole else {key(r): r[min_rows] or 0 for r in goals}
     take = swap_repair(have, floor, size, wanted)
     spark = usable.sparkSession
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in usable.select(*by).schema)
-    rows = [(*k, have[k], needed.get(k), take[k], None if k not in needed else have[k] >= needed[k]) for k in have]
-    return spark.createDataFrame(rows, f"{kinds}, have bigint, needed bigint, take bigint, met boolean")
+    at_least = lambda n, k: None if k not in needed else n >= needed[k]
+    rows = [(*k, have[k], needed.get(k), take[k], at_least(have[k], k), at_least(take[k], k)) for k in have]
+    return spark.createDataFrame(rows, f"{kinds}, have bigint, needed bigint, take bigint, met boolean, reached boolean")
 
 
 def draw(usable: DataFrame, by: list[str], quotas: DataFrame, id_col: str, seed: int = 7) -> DataFrame:

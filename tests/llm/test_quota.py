@@ -1,10 +1,11 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dossierlake.llm.quota import draw, plan, swap_repair
+from dossierlake.llm.quota import draw, plan, random_counts, swap_repair
 
 
 @pytest.mark.parametrize("seed", range(12))
@@ -44,3 +45,21 @@ def test_empty_and_repeated_ids(spark):
     assert draw(df, ["grp"], plan(df, ["grp"], targets, "target_permille", "min_rows"), "row_id").count() == 10
     empty = plan(df.limit(0), ["grp"], targets, "target_permille", "min_rows")
     assert [(r["have"], r["needed"], r["met"]) for r in empty.collect()] == [(0, 1, False)] and draw(df.limit(0), ["grp"], empty, "row_id").count() == 0
+
+
+def test_every_need_as_a_floor(spark):
+    """A target with just enough rows is reached, one with a row less is not, whatever the rounding of the others adds up to."""
+    df = spark.createDataFrame([(i, "A") for i in range(700)] + [(i, "B") for i in range(1000, 1067)] + [(i, "C") for i in range(2000, 2066)] + [(i, "D") for i in range(3000, 3167)], "row_id bigint, grp string")
+    targets = spark.createDataFrame([("A", 333, 1), ("B", 333, 1), ("C", 334, 1)], "grp string, target_permille int, min_rows int")
+    got = {r["grp"]: r for r in plan(df, ["grp"], targets, "target_permille", "min_rows", whole=True).collect()}
+    assert [got[g]["needed"] for g in "ABC"] == [67, 67, 67] and [got[g]["reached"] for g in "ABC"] == [got[g]["met"] for g in "ABC"] == [True, True, False] and got["D"]["reached"] is None
+
+
+def test_the_start_is_a_random_sample():
+    free = {("a",): 600, ("b",): 300, ("c",): 100}
+    drawn = [random_counts(free, 100, np.random.default_rng(s)) for s in range(300)]
+    assert all(sum(x.values()) == 100 and all(0 <= x[k] <= free[k] for k in free) for x in drawn) and len({tuple(x.values()) for x in drawn}) > 50
+    assert abs(sum(x[("a",)] for x in drawn) / 300 - 60) < 1.5
+    big = random_counts({("a",): 10**12, ("b",): 10**12}, 10**9, np.random.default_rng(1))
+    assert sum(big.values()) == 10**9 and abs(big[("a",)] - 5 * 10**8) < 10**6
+    assert random_counts({}, 5, np.random.default_rng(1)) == {} and random_counts({("a",): 3}, 9, np.random.default_rng(1)) == {("a",): 3}
