@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -61,7 +62,7 @@ def allowed(length: int) -> int:
 
 
 class Trie:
-    """Aliases with the ids of their entries; node: (children, ids, allowed edits of what ends here)."""
+    """Aliases with the ids of their entries. A node maps a character to its child; under '' it has the ids of the aliases that end there."""
 
     def __init__(self, aliases: list[tuple[str, int]]):
         self.root: dict = {}
@@ -70,39 +71,44 @@ class Trie:
             for c in alias:
                 node = node.setdefault(c, {})
             node.setdefault("", set()).add(ref)
-        self.exact: dict[str, set[int]] = {}
-        for alias, ref in aliases:
-            self.exact.setdefault(alias, set()).add(ref)
 
     def search(self, word: str, most: int = 2) -> dict[int, int]:
-        """Distance of every entry within the distance its alias' length allows."""
+        """Distance of every entry within the distance its alias' length allows.
+
+        A state of the automaton holds the edits for the 2 * most + 1 places of the word around the depth of the node, so
+        its size does not depend on the word: band[k] is the distance to word[: depth + k - most].
+        """
         found: dict[int, int] = {}
-        n, far = len(word), most + 1
-        first = [j if j <= most else far for j in range(n + 1)]
+        n, far, width = len(word), most + 1, 2 * most + 1
+        first = tuple(k - most if k >= most else far for k in range(width))
         stack = [(self.root, 0, first, None, "")]
         while stack:
-            node, depth, row, before, last = stack.pop()
-            if "" in node and row[n] <= allowed(depth):
+            node, depth, band, before, last = stack.pop()
+            at = n - depth + most
+            if "" in node and 0 <= at < width and band[at] <= allowed(depth):
                 for ref in node[""]:
-                    found[ref] = min(found.get(ref, far), row[n])
-            lo, hi = max(1, depth + 1 - most), min(n, depth + 1 + most)
+                    found[ref] = min(found.get(ref, far), band[at])
+            depth += 1
             for c, child in node.items():
                 if not c:
                     continue
-                new = [far] * (n + 1)
-                if depth + 1 <= most:
-                    new[0] = depth + 1
-                least = new[0]
-                for j in range(lo, hi + 1):
-                    w = word[j - 1]
-                    x = row[j - 1] if w == c else min(row[j - 1], row[j], new[j - 1]) + 1
-                    if before is not None and j > 1 and w == last and word[j - 2] == c and before[j - 2] + 1 < x:
-                        x = before[j - 2] + 1
-                    new[j] = x
-                    if x < least:
-                        least = x
-                if least <= most:
-                    stack.append((child, depth + 1, new, row, c))
+                new, left = [far] * width, far
+                for k in range(max(0, most - depth), min(width, n - depth + most + 1)):
+                    j = depth + k - most
+                    if not j:
+                        x = depth
+                    else:
+                        w = word[j - 1]
+                        x = band[k] + (w != c)
+                        if left < x:
+                            x = left + 1
+                        if k + 1 < width and band[k + 1] < x:
+                            x = band[k + 1] + 1
+                        if before is not None and j > 1 and w == last and word[j - 2] == c and before[k] < x:
+                            x = before[k] + 1
+                    new[k] = left = x if x < far else far
+                if min(new) <= most:
+                    stack.append((child, depth, tuple(new), band, c))
         return found
 
 
@@ -123,17 +129,21 @@ def map_names(names: DataFrame, name: str, trie: Trie) -> DataFrame:
 
     @F.pandas_udf(kind)
     def look_up(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        t = shared.value
+        search = lru_cache(100_000)(shared.value.search)  # many ways of writing are one normalized name
+
+        def candidates(name: str) -> list[dict]:
+            s = normalize(name)
+            hit = dict(search(s))
+            for ref, d in search(s.replace(" ", "")).items() if " " in s else ():
+                if not d:  # an alias written without its blanks, exactly
+                    hit[ref] = 0
+            return [{"ref_id": r, "distance": d} for r, d in sorted(hit.items(), key=lambda kv: (kv[1], kv[0]))]
+
         for batch in batches:
-            out = []
-            for x in batch:
-                s = normalize(x)
-                hit = dict.fromkeys(t.exact.get(s) or t.exact.get(s.replace(" ", ""), ()), 0) or t.search(s)
-                out.append([{"ref_id": r, "distance": d} for r, d in sorted(hit.items(), key=lambda kv: (kv[1], kv[0]))])
-            yield pd.Series(out)
+            yield pd.Series([candidates(x) for x in batch])
 
     distinct = names.select(F.col(name).alias("name")).where("name is not null").distinct()
-    return distinct.repartition(task_slots(spark), "name").select("name", look_up("name").alias("candidates"))
+    return distinct.repartition(task_slots(spark)).select("name", look_up("name").alias("candidates"))  # by number alone: by the same key it would be dropped, and few bytes would go to one task
 
 
 def map_to_reference(df: DataFrame, id_col: str, name: str, trie: Trie, hint: str | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from dossierlake.llm.canonical import Trie, alias_forms, allowed, build_trie, map_to_reference, normalize, title_subject
+from dossierlake.llm.canonical import Trie, alias_forms, allowed, build_trie, map_names, map_to_reference, normalize, title_subject
 
 ENTRIES = [(1, "Morsavia", "Morsavia Federation", "XMR"), (2, "Morvostan", "Commonwealth of Morvostan", "XMO"), (3, "South Navmark", "Democratic Republic of South Navmark", "XST"), (4, "The Kahamels", "Union of Kahamels", "XTM"), (5, "Ostch and Galmar", "Union of Ostch and Galmar", "XOD"), (6, "Saint Jorkul", "Federal Republic of Saint Jorkul", "XSO"), (7, "Tãtuleth", "Federal Republic of Tãtuleth", "XTT")]
 
@@ -65,3 +65,22 @@ def test_titles(spark, title, subject):
 
 def test_normalize():
     assert normalize("  The  Ostch & Galmar* ") == "ostch and galmar" and "union of kahamels" in alias_forms("The Kahamels", "Union of Kahamels", "XTM")
+
+
+def test_all_entries_within_the_distance(spark):
+    """An exact hit does not hide the others; the nearest still wins."""
+    ref = spark.createDataFrame([(1, "Nigera", None, None), (2, "Nigerai", None, None), (3, "Alg eria", None, None)], "ref_id bigint, country string, long string, code string")
+    trie = build_trie(ref, "ref_id", "country", "long", "code")
+    got = {r["name"]: [(c["ref_id"], c["distance"]) for c in r["candidates"]] for r in map_names(spark.createDataFrame([("nigera",), ("Nigera ",), ("algeria",), ("al geria",), ("zzz",)], "n string"), "n", trie).collect()}
+    assert got == {"nigera": [(1, 0), (2, 1)], "Nigera ": [(1, 0), (2, 1)], "algeria": [(3, 1)], "al geria": [(3, 1)], "zzz": []}
+    df = spark.createDataFrame([(1, "nigera")], "row_id bigint, name string")
+    assert [r["ref_id"] for r in map_to_reference(df, "row_id", "name", trie).collect()] == [1]
+
+
+def test_names_are_spread_over_tasks(spark):
+    """Few bytes, much work: the look-ups stay in as many tasks as there are slots."""
+    trie = Trie([("abc", 1)])
+    names = spark.range(300).select(F.concat(F.lit("n"), "id").alias("n"))
+    found = map_names(names, "n", trie)
+    assert found.select(F.spark_partition_id().alias("p")).distinct().count() >= 4
+    assert found._jdf.queryExecution().executedPlan().toString().count("REPARTITION_BY_NUM") == 1
