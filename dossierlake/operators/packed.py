@@ -62,12 +62,13 @@ def _quoted(s: str, i: int, stop: int) -> int | None:
 def _fields(s: str, start: int, stop: int, separators: str, slash: bool) -> list[tuple[int, int]]:
     """The spans between separators outside quotes and brackets."""
     out, i, begin, fresh, depth = [], start, start, True, 0
+    last = {"(": s.rfind(")", start, stop), "[": s.rfind("]", start, stop), "{": s.rfind("}", start, stop)}
     while i < stop:
         c = s[i]
         if fresh and c in QUOTES and (close := _quoted(s, i, stop)) is not None:
             i, fresh = close + 1, False
             continue
-        if c in "([{" and (depth or any(x in s[i:stop] for x in {"(": ")", "[": "]", "{": "}"}[c])):
+        if c in "([{" and (depth or last[c] > i):
             depth += 1
         elif c in ")]}" and depth:
             depth -= 1
@@ -174,7 +175,7 @@ def split_packed(df: DataFrame, id_col: str, cell: str, broadcast_bytes: int = B
     tokens = named.select("id", F.regexp_extract_all("cell", F.lit(TOKEN), F.lit(0)).alias("tokens"))
     masked = write_shared(tokens.select("id", "tokens", F.array_join(F.transform("tokens", mask), "").alias("skeleton")))
     spark = df.sparkSession
-    rules = cut_lineage(masked.select("skeleton").distinct().repartition(task_slots(spark), "skeleton").select("skeleton", resolve_skeletons("skeleton").alias("rule")))
+    rules = cut_lineage(masked.select("skeleton").distinct().repartition(task_slots(spark)).select("skeleton", resolve_skeletons("skeleton").alias("rule")))
     size = rules.agg(F.sum(F.length("skeleton") + F.size("rule") * 24 + 64)).first()[0] or 0
     joined = masked.join(F.broadcast(rules) if size <= broadcast_bytes else rules, "skeleton")
     parts = joined.select("id", "tokens", F.posexplode("rule").alias("at", "r"))
