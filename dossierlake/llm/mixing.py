@@ -19,11 +19,12 @@ CELLS = 4096
 MAX_SOURCES = 10_000
 
 
-def goals(tokens: DataFrame, targets: DataFrame, total: int | None = None, max_sources: int = MAX_SOURCES) -> dict[str, dict]:
+def goals(tokens: DataFrame, targets: DataFrame, total: int | None = None, keep_shares: bool = False, max_sources: int = MAX_SOURCES) -> dict[str, dict]:
     """Per source: share, cap, tokens there are, tokens wanted (its share of the total) and tokens aimed at (no more than cap times what there is).
 
-    total is the size of the mix; None takes all tokens of the sources in the targets. A null or repeated source, a
-    null share and a cap under 1 are errors of the target list.
+    total is the size of the mix; None takes all tokens of the sources in the targets. With keep_shares it is no more than
+    the total at which every source that is there fills its share within its cap ('whole', which every source has). A null or
+    repeated source, a null share and a cap under 1 are errors of the target list.
     """
     rows = targets.limit(max_sources + 1).collect()
     if len(rows) > max_sources:
@@ -34,8 +35,11 @@ def goals(tokens: DataFrame, targets: DataFrame, total: int | None = None, max_s
     sums = tokens.where(F.col("source").isin(*wanted)).groupBy("source").agg(F.sum("n").alias("n"), F.count("*").alias("c")).collect() if wanted else []
     have = {r["source"]: (r["n"] or 0, r["c"]) for r in sums}
     size = total if total is not None else sum(n for n, _ in have.values())
+    reach = [r["max_repeats"] * have[s][0] / r["target_share"] for s, r in wanted.items() if r["target_share"] > 0 and have.get(s, (0, 0))[0]]
+    whole = min(reach, default=0.0)
+    size = min(size, whole) if keep_shares else size
     return {
-        s: {"share": r["target_share"], "cap": r["max_repeats"], "have": have.get(s, (0, 0))[0], "records": have.get(s, (0, 0))[1], "wanted": r["target_share"] * size, "aim": min(r["target_share"] * size, r["max_repeats"] * have.get(s, (0, 0))[0])}
+        s: {"share": r["target_share"], "cap": r["max_repeats"], "have": have.get(s, (0, 0))[0], "records": have.get(s, (0, 0))[1], "wanted": r["target_share"] * size, "whole": r["target_share"] * whole, "aim": min(r["target_share"] * size, r["max_repeats"] * have.get(s, (0, 0))[0])}
         for s, r in wanted.items()
     }
 
@@ -81,17 +85,19 @@ def solve(lengths: DataFrame, plan: dict[str, dict], steps: int = STEPS) -> dict
     return done | {s: x / scale[s] for s, x in at.items()}
 
 
-def mix(tokens: DataFrame, targets: DataFrame, total: int | None = None, seed: int = 7) -> tuple[DataFrame, DataFrame]:
+def mix(tokens: DataFrame, targets: DataFrame, total: int | None = None, keep_shares: bool = False, seed: int = 7) -> tuple[DataFrame, DataFrame]:
     """(copies, report) for tokens (id, source, n) and targets (source, target_share, max_repeats).
 
     copies: id, source, n, copies, for every record of a source in the targets; copies may be 0 and never exceeds
     max_repeats. report: source, target_share, max_repeats, tokens_available, tokens_wanted, tokens_reached,
-    share_reached (of all tokens in the mix) and short (whether the source cannot fill its share), also for absent sources.
+    share_reached (of all tokens in the mix), short (whether the source cannot fill its share) and tokens_in_shares (what
+    it would have in the largest mix in which no source that is there falls short), also for absent sources. Where sources
+    fall short, the others keep their tokens and their shares rise; with keep_shares the mix is made smaller instead.
     Records of other or no sources are left out, as are those with null or no tokens. Ids may repeat; copies are by row.
     """
     spark = tokens.sparkSession
     usable = tokens.where("n > 0")
-    plan = goals(usable, targets, total)
+    plan = goals(usable, targets, total, keep_shares)
     known = usable.where(F.col("source").isin(*plan))
     lengths = cut_lineage(known.groupBy("source", "n").agg(F.count("*").alias("records")))
     found = solve(lengths, plan)
@@ -123,9 +129,9 @@ def mix(tokens: DataFrame, targets: DataFrame, total: int | None = None, seed: i
     outside = others.select("id", "source", "n", (F.col("whole") + F.coalesce((F.col("cell") < F.col("edge")).cast("int"), F.lit(0))).cast("int").alias("copies"))
     copies = outside.unionByName(in_edge)
     reached = copies.groupBy("source").agg(F.sum(F.col("n") * F.col("copies")).alias("tokens_reached"))
-    kinds = "source string, target_share double, max_repeats int, tokens_available bigint, tokens_wanted double, short boolean"
-    rows = [(s, float(g["share"]), int(g["cap"]), int(g["have"]), float(g["wanted"]), g["aim"] < g["wanted"] * (1 - 1e-12)) for s, g in plan.items()]
+    kinds = "source string, target_share double, max_repeats int, tokens_available bigint, tokens_wanted double, short boolean, tokens_in_shares double"
+    rows = [(s, float(g["share"]), int(g["cap"]), int(g["have"]), float(g["wanted"]), g["aim"] < g["wanted"] * (1 - 1e-12), float(g["whole"])) for s, g in plan.items()]
     report = spark.createDataFrame(rows, kinds).join(F.broadcast(reached), "source", "left").withColumn("tokens_reached", F.coalesce("tokens_reached", F.lit(0)))
     all_tokens = F.sum("tokens_reached").over(Window.partitionBy(F.lit(1)))  # over one row for each source
     report = report.withColumn("share_reached", F.when(all_tokens > 0, F.col("tokens_reached") / all_tokens).otherwise(0.0))
-    return copies, report.select("source", "target_share", "max_repeats", "tokens_available", "tokens_wanted", "tokens_reached", "share_reached", "short")
+    return copies, report.select("source", "target_share", "max_repeats", "tokens_available", "tokens_wanted", "tokens_reached", "share_reached", "short", "tokens_in_shares")

@@ -13,6 +13,12 @@ NEEDED = f"(select classification, year, coalesce(n, 0) as have, greatest(min_ro
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_kept": "select count(*) as n_rows, cast(0 as bigint) as n_moved, cast(0 as bigint) as n_torn from training",
+        "p4_spelled": "select row_id, ref_id from df join (select lower(trim(country)) as k, ref_id from country_reference union select lower(trim(country_1)), ref_id from country_reference) on lower(trim(country)) = k",
+        "p6_rebuilt": "select row_id, side, md5(text) as whole, true as within from (select row_id, 'staff' as side, staff as text from df_documents union all select row_id, 'buff', buff from df_documents) where length(text) > 4000",
+        "p8_decoded": "select doc_id, md5(coalesce(text, '')) as text from documents",
+        "p9_kept": "select t.source, max_repeats, count(doc_id) as n_documents, cast(0 as bigint) as n_over, true as kept from mix_targets t left join documents d on d.source = t.source and d.text <> '' group by 1, 2",
+        "p10_left": "select count(text) as n_texts, count(*) - count(text) as n_null, cast(0 as bigint) as n_email from documents",
         "p6_found": "select row_id, side from (select row_id, 'staff' as side, staff as text from df_documents union all select row_id, 'buff', buff from df_documents) where length(text) > 4000",
         "p7_drawn": f"select classification, year, have, true as as_planned, true as has_floor from {NEEDED}",
         "p7_found": f"select classification, year from {NEEDED} where have < needed",

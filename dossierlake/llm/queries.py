@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from dossierlake.functions.text import isbn_digits, present, read_year
+from dossierlake.functions.text import isbn_digits, present, read_year, strip
 from dossierlake.llm import bpe, canonical, mixing, overlap, pieces, private, quota, splits
-from dossierlake.session import cut_lineage, shared_dir, table, write_shared
+from dossierlake.session import cut_lineage, shared_path, table, write_shared
 
 
 def country_trie(spark: SparkSession, d: str) -> canonical.Trie:
@@ -41,18 +39,37 @@ def p1_shares(spark: SparkSession, d: str) -> DataFrame:
     return splits.split_report(splits.assign_splits(rows))
 
 
-def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
-    """training in two deliveries by time of arrival: the second keeps the splits of the first and quarantines conflicts."""
+def deliveries(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """training in two deliveries by time of arrival, the second with what the first has stored: keyed rows, rows with components, merges, and the splits before and after."""
     training = table(spark, d, "training")
     keyed = cut_lineage(consultation_keys(spark, training, d).join(training.select("row_id", "loaded_at"), "row_id"))
     middle = training.select(F.percentile_approx("loaded_at", 0.5).alias("m")).first()["m"]
     keys = {"report": F.col("report"), "consultation": F.col("consultation")}
     first, rows, _ = splits.update_components(keyed.where(F.col("loaded_at") <= F.lit(middle)), "row_id", keys)
-    stored = f"{shared_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+    stored = shared_path(spark)
     splits.store(first, splits.assign_splits(rows), stored)
     known, before = splits.load(spark, stored)
-    _, later, merges = splits.update_components(keyed.where(F.col("loaded_at") > F.lit(middle)), "row_id", keys, known)
-    return splits.split_report(splits.assign_splits(later, known=before, merges=merges))
+    _, later, merges = splits.update_components(keyed.where(F.coalesce(F.col("loaded_at") > F.lit(middle), F.lit(True))), "row_id", keys, known)
+    after = cut_lineage(splits.assign_splits(later, known=before, merges=merges))
+    return {"keyed": keyed, "first": rows, "later": later, "merges": cut_lineage(merges), "before": before, "after": after}
+
+
+def p1_incremental(spark: SparkSession, d: str) -> DataFrame:
+    """The splits of two deliveries: the second keeps those of the first and quarantines conflicts."""
+    return splits.split_report(deliveries(spark, d)["after"])
+
+
+def p1_kept(spark: SparkSession, d: str) -> DataFrame:
+    """One row: the rows of both deliveries, the known components that changed their split, and the keys whose rows are in two splits; the last two are to be 0."""
+    t = deliveries(spark, d)
+    moved_to = t["before"].select("component", F.col("split").alias("was")).join(t["merges"], "component", "left").withColumn("component", F.coalesce("merged_into", "component"))
+    moved = moved_to.join(t["after"], "component").where((F.col("split") != F.col("was")) & (F.col("split") != splits.QUARANTINE))
+    rows = t["first"].join(t["merges"], "component", "left").select("id", F.coalesce("merged_into", "component").alias("component")).unionByName(t["later"].select("id", "component"))
+    placed = rows.join(t["after"].select("component", "split"), "component").join(t["keyed"], F.col("id") == F.col("row_id"))
+    keyed = placed.select("split", F.explode(F.array(F.struct(F.lit("report").alias("kind"), F.col("report").alias("key")), F.struct(F.lit("consultation").alias("kind"), F.col("consultation").alias("key")))).alias("k")).where("k.key is not null")
+    torn = keyed.groupBy("k").agg(F.min("split").alias("a"), F.max("split").alias("b")).where("a != b")
+    one = lambda df, name: df.agg(F.count("*").alias(name))
+    return one(placed, "n_rows").crossJoin(one(moved, "n_moved")).crossJoin(one(torn, "n_torn"))  # three single rows
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -83,6 +100,14 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("id").alias("row_id"), "ref_id")
 
 
+def p4_spelled(spark: SparkSession, d: str) -> DataFrame:
+    """The entries of the rows of df whose country is spelled as the reference spells it, but for case and outer blanks."""
+    ref, name = table(spark, d, "country_reference"), lambda c: F.lower(strip(F.col(c)))
+    spelled = ref.select(name("country").alias("k")).unionByName(ref.select(name("country_1").alias("k"))).distinct()
+    rows = table(spark, d, "df").select("row_id", name("country").alias("k")).join(spelled, "k", "left_semi").select("row_id")
+    return p4_found(spark, d).join(rows, "row_id", "left_semi")
+
+
 def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
     """The values of df.country that fit no entry, and how often each occurs."""
     df = table(spark, d, "df").select("row_id", "country")
@@ -103,6 +128,15 @@ def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return document_pieces(spark, d)
 
 
+def p6_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """Every cut text put together again from its pieces without their overlaps, as a hash, and whether its pieces keep the limit and the overlap."""
+    p = document_pieces(spark, d).withColumn("end_at", F.col("begin_at") + F.col("n_chars") - 1)
+    whole = p.groupBy("row_id", "side").agg(F.array_sort(F.collect_list(F.struct("piece_no", "begin_at", "end_at", "n_chars", "piece"))).alias("a"))  # grows with one text
+    rest = F.transform("a", lambda x, i: F.when(i == 0, x["piece"]).otherwise(F.substr(x["piece"], F.lit(pieces.OVERLAP + 1))))
+    steps = F.forall(F.transform("a", lambda x, i: (i == 0) | (x["begin_at"] == F.get(F.col("a"), i - 1)["end_at"] + 1 - pieces.OVERLAP)), lambda ok: ok)
+    return whole.select("row_id", "side", F.md5(F.array_join(rest, "")).alias("whole"), (steps & F.forall("a", lambda x: x["n_chars"] <= pieces.LIMIT)).alias("within"))
+
+
 #: Spellings of the groups of countries, without case, blanks and punctuation.
 GROUPS = {
     "AEs": ("ae", "aes", "advanced", "advancedeconomy", "advancedeconomies"),
@@ -151,6 +185,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode(table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
 
 
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's ids decoded again, as a hash of the text."""
+    return p8_ids(spark, d).select("doc_id", F.md5(bpe.decode(F.col("ids"))).alias("text"))
+
+
 def source_tokens(spark: SparkSession, d: str) -> DataFrame:
     """(id, source, n): the tokens of each document. The counts are written first: a join's plan, which is kept in many versions, then holds no vocabulary."""
     counts = write_shared(bpe.encode(table(spark, d, "documents"), "doc_id", "text").select("id", F.size("ids").cast("long").alias("n")))
@@ -165,11 +204,28 @@ def p9_mix(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_report(spark: SparkSession, d: str) -> DataFrame:
-    """The shares reached, also of sources that fall short or are absent."""
+    """The shares reached, also of sources that fall short or are absent, and the tokens of a mix in which no source that is there falls short."""
     _, report = mixing.mix(source_tokens(spark, d), table(spark, d, "mix_targets"))
     return report
 
 
+def p9_true_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The same for the largest mix in which the sources that are there keep their shares to each other."""
+    _, report = mixing.mix(source_tokens(spark, d), table(spark, d, "mix_targets"), keep_shares=True)
+    return report
+
+
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """For each target source its documents with tokens, those used more than allowed (0), and whether it has its tokens but for one document."""
+    tokens = source_tokens(spark, d)
+    copies, report = mixing.mix(tokens, table(spark, d, "mix_targets"))
+    caps = table(spark, d, "mix_targets").select("source", "max_repeats")
+    per = copies.join(F.broadcast(caps), "source").groupBy("source").agg(F.count("*").alias("n_documents"), F.count_if(F.col("copies") > F.col("max_repeats")).alias("n_over"), F.max("n").alias("longest"), F.sum(F.col("n") * F.col("copies")).alias("sum"))
+    close = F.col("short") | (F.abs(F.col("tokens_reached") - F.col("tokens_wanted")) <= F.coalesce("longest", F.lit(0)))
+    same = F.coalesce(F.col("sum"), F.lit(0)) == F.col("tokens_reached")
+    return report.join(per, "source", "left").select("source", "max_repeats", F.coalesce("n_documents", F.lit(0)).alias("n_documents"), F.coalesce("n_over", F.lit(0)).alias("n_over"), (close & same).alias("kept"))
+
+
 def mentions(spark: SparkSession, d: str) -> DataFrame:
     names = private.given_names(table(spark, d, "given_names"), "given_name")
     return private.find_private(table(spark, d, "documents"), "doc_id", "text", names)
@@ -184,5 +240,11 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return private.redact(table(spark, d, "documents"), "doc_id", "text", mentions(spark, d)).select(F.col("id").alias("doc_id"), "text")
 
 
+def p10_left(spark: SparkSession, d: str) -> DataFrame:
+    """One row: the redacted texts, the null ones, and those in which an email address can still be read (0)."""
+    text = F.col("text")
+    return p10_redacted(spark, d).agg(F.count("text").alias("n_texts"), F.count_if(text.isNull()).alias("n_null"), F.count_if(text.rlike(r"[A-Za-z0-9]@[A-Za-z0-9-]+\.[A-Za-z]{2}")).alias("n_email"))
+
+
 def queries() -> dict:
     return {k: f for k, f in globals().items() if k[0] == "p" and k[1].isdigit() and k != "p1_components" and callable(f)}

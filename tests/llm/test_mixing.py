@@ -64,3 +64,16 @@ def test_empty_and_wrong_targets(spark):
 def test_same_in_every_run(spark):
     run = lambda: sorted(map(tuple, mix(frame(spark, tokens()), targets(spark, GOALS))[0].collect()))
     assert run() == run()
+
+
+def test_shares_are_kept_in_a_smaller_mix(spark):
+    rows = tokens(5, {"a": 900, "b": 300, "c": 20})
+    goals = [("a", 0.5, 1), ("b", 0.3, 2), ("c", 0.15, 3), ("none", 0.05, 2)]
+    full = {r["source"]: r for r in mix(frame(spark, rows), targets(spark, goals))[1].collect()}
+    kept = {r["source"]: r for r in mix(frame(spark, rows), targets(spark, goals), keep_shares=True)[1].collect()}
+    longest = max(n for *_, n in rows)
+    assert full["c"]["short"] and full["a"]["share_reached"] > 0.55  # the others take what c lacks
+    assert kept["none"]["short"] and not any(kept[s]["short"] for s in "abc")
+    for s, share, _ in goals[:3]:
+        assert kept[s]["tokens_reached"] == pytest.approx(kept[s]["tokens_in_shares"], abs=longest) and full[s]["tokens_in_shares"] == kept[s]["tokens_in_shares"]
+        assert kept[s]["share_reached"] == pytest.approx(share / 0.95, abs=0.03)
