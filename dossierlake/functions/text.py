@@ -195,17 +195,20 @@ def count_words(value: Column) -> Column:
 
 
 def complexity(value: Column) -> Column:
-    """Words, distinct words, sentences, their ratios and readability: JVM expressions only, syllables as runs of vowels."""
-    t = clean_text(value)
+    """Words, distinct words, sentences, their ratios and readability: JVM expressions only, syllables as runs of vowels. The text is cleaned once, and each count is one pass over it."""
     per = lambda a, b: F.when(b > 0, a / b)
     once = lambda v, body: F.get(F.transform(F.array(v), body), F.lit(0))
-
-    def counts(words: Column) -> Column:
-        return F.struct(
-            F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("distinct"), F.greatest(F.regexp_count(t, F.lit(r"[.!?]+(?:\s|$)")), F.lit(1)).alias("sentences"),
-            F.greatest(F.regexp_count(F.lower(t), F.lit(r"[aeiouyáéíóúàèùâêîôû]+")), F.lit(1)).alias("syllables"),
-            F.size(F.filter(words, lambda w: w.rlike(r"[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]+[aeiouy]"))).alias("hard"), F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]+", "")).alias("letters"),
+    count = lambda t, pattern: F.regexp_count(t, F.lit(pattern))
+
+    def counts(t: Column) -> Column:
+        words = F.filter(F.split(t, r"[^\p{L}\p{N}']++"), lambda w: w != "")
+        with_words = lambda w: F.struct(
+            F.size(w).alias("n"), F.size(F.array_distinct(w)).alias("distinct"), F.greatest(count(t, r"[.!?]++(?:\s|$)"), F.lit(1)).alias("sentences"),
+            F.greatest(count(t, r"[aeiouyáéíóúàèùâêîôû]++"), F.lit(1)).alias("syllables"),
+            count(t, r"(?<![\p{L}\p{N}'])[\p{L}\p{N}'&&[^aeiouy]]*+(?:[aeiouy]++[\p{L}\p{N}'&&[^aeiouy]]++){2}[aeiouy]").alias("hard"),
+            (F.length(t) - F.length(F.regexp_replace(t, r"[\p{L}\p{N}]++", ""))).alias("letters"),
         )
+        return once(words, with_words)
 
     def indices(c: Column) -> Column:
         n, s, hard, letters = c["n"], c["sentences"], c["hard"], c["letters"]
@@ -216,5 +219,4 @@ def complexity(value: Column) -> Column:
             (4.71 * per(letters, n) + 0.5 * per(n, s) - 21.43).alias("automated_index"), (5.88 * per(letters, n) - 29.6 * per(s, n) - 15.8).alias("coleman_liau"),
         )
 
-    words = F.filter(F.split(F.lower(t), r"[^\p{L}\p{N}']+"), lambda w: w != "")
-    return once(once(words, counts), indices)
+    return once(once(F.lower(clean_text(value)), counts), indices)

@@ -6,23 +6,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.operators.nested import section_tables
 from dossierlake.operators.packed import split_packed
-from dossierlake.session import table
+from dossierlake.session import table, text_table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    elements, _ = section_tables(table(spark, d, "articleiv_xml_updated"), "file_id", "content", with_text=False)
+    elements, _ = section_tables(text_table(spark, d, "articleiv_xml_updated"), "file_id", "content", with_text=False)
     return elements.select(F.col("id").alias("file_id"), "kind", "node_no", "parent_sec_no")
 
 
 def p2_texts(spark: SparkSession, d: str) -> DataFrame:
     """Titles and paragraphs with their texts."""
-    elements, _ = section_tables(table(spark, d, "articleiv_xml_updated"), "file_id", "content")
+    elements, _ = section_tables(text_table(spark, d, "articleiv_xml_updated"), "file_id", "content")
     return elements.where("kind != 'sec'").select(F.col("id").alias("file_id"), "kind", "node_no", "parent_sec_no", "pos", "text")
 
 
 def p2_rejects(spark: SparkSession, d: str) -> DataFrame:
     """Unreadable files and why."""
-    _, rejects = section_tables(table(spark, d, "articleiv_xml_updated"), "file_id", "content", with_text=False)
+    _, rejects = section_tables(text_table(spark, d, "articleiv_xml_updated"), "file_id", "content", with_text=False)
     return rejects.select(F.col("id").alias("file_id"), "error")
 
 

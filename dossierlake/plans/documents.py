@@ -8,12 +8,12 @@ from dossierlake.functions import lists, stance, text
 from dossierlake.operators import chat, evaluation as ev, lines, models, reports, stages, tables
 from dossierlake.plans.oracle import CLEAN, LABELLED
 from dossierlake.plans.reference import TOPICS, labelled
-from dossierlake.session import table
+from dossierlake.session import table, text_table
 from dossierlake.streaming.merge import windowed_counts
 
 
 def xml_files(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "articleiv_xml_updated")
+    return text_table(spark, d, "articleiv_xml_updated")
 
 
 def report_parts(spark, d):
@@ -50,11 +50,11 @@ def packages(spark, d):
 
 
 def processed_documents(spark, d):
-    return lines.process_documents(table(spark, d, "df_documents"), "row_id", "staff")
+    return lines.process_documents(text_table(spark, d, "df_documents"), "row_id", "staff")
 
 
 def line_labels(spark, d):
-    found = lines.document_lines(table(spark, d, "documents"), "doc_id", "text").withColumn("label", lines.line_label(F.col("line")))
+    found = lines.document_lines(text_table(spark, d, "documents"), "doc_id", "text").withColumn("label", lines.line_label(F.col("line")))
     return found.groupBy("label").agg(F.count("*").alias("n"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions import lists, stance, text
 from dossierlake.operators import aggregate as agg, evaluation as ev, relational as rel
-from dossierlake.session import table
+from dossierlake.session import table, text_table
 
 GROUPS = ["AEs", "EMDEs", "LICs"]
 YEARS = list(range(2010, 2025))
@@ -120,7 +120,7 @@ def agreement_pivot(spark, d):
 
 def text_by_topic(spark, d):
     conditions = {t: text.has_keywords(F.col("text"), any_of=w) for t, w in TOPICS.items()}
-    return agg.text_by_topic(table(spark, d, "documents").where("source is not null and print_isbn is not null"), ["print_isbn", "source"], conditions, "text", "doc_id")
+    return agg.text_by_topic(text_table(spark, d, "documents").where("source is not null and print_isbn is not null"), ["print_isbn", "source"], conditions, "text", "doc_id")
 
 
 def paragraphs(df: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def paragraph_explode(spark, d):
 
 def topic_wide(spark, d):
     """Keyword confidence per document and topic, wide, with dummies."""
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = text_table(spark, d, "documents").where("text is not null")
     hits = F.explode(F.array(*(F.struct(F.lit(t).alias("topic"), F.least(F.lit(100), 20 * sum((F.regexp_count(F.lower("text"), F.lit(w)) for w in words), F.lit(0))).alias("confidence")) for t, words in TOPICS.items())))
     wide = agg.pivot_labels(docs.select("doc_id", hits.alias("h")).select("doc_id", "h.*"), ["doc_id"], "topic", "confidence", list(TOPICS))
     return wide.withColumns({f"{t}_dummy": stance.dummy(F.col(t)) for t in TOPICS}).withColumn("best", F.greatest(*TOPICS))
@@ -366,7 +366,7 @@ def domain_filter(spark, d):
 
 
 def keyword_flags(spark, d):
-    docs = table(spark, d, "documents").where("text is not null")
+    docs = text_table(spark, d, "documents").where("text is not null")
     return docs.select("doc_id", *(text.has_keywords(F.col("text"), any_of=w).alias(f"has_{t}") for t, w in TOPICS.items()), text.count_words(F.col("text")).alias("n_words"))
 
 
@@ -402,12 +402,12 @@ def fold_sizes(spark, d):
 def readability(spark, d):
     c = text.complexity(F.col("text"))
     names = ["words", "distinct_words", "sentences", "type_token_ratio", "sentence_length", "flesch_ease", "flesch_grade", "fog", "smog", "automated_index", "coleman_liau"]
-    return table(spark, d, "documents").where("text is not null").select("doc_id", c.alias("c")).select("doc_id", *(F.col(f"c.{n}") for n in names))
+    return text_table(spark, d, "documents").where("text is not null").select("doc_id", c.alias("c")).select("doc_id", *(F.col(f"c.{n}") for n in names))
 
 
 ROWS_ONLY = ("sampled", "fold_sizes", "readability")
 
 
 def queries() -> dict:
-    skip = {"dataset", "labelled", "paragraphs", "panel", "table", "queries"}
+    skip = {"dataset", "labelled", "paragraphs", "panel", "table", "text_table", "queries"}
     return {k: f for k, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and k not in skip}

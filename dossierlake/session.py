@@ -37,6 +37,14 @@ def table(spark: SparkSession, directory: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{directory}/{name}.parquet")
 
 
+def text_table(spark: SparkSession, directory: str, name: str) -> DataFrame:
+    """A table whose rows are much work each (texts, XML). Where its files have less than half as many parts as there are
+    cores, the rows are dealt out to all; each part is at most spark.sql.files.maxPartitionBytes, so little is moved, and a
+    large table is read as it lies."""
+    df, cores = table(spark, directory, name), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < max(2, cores / 2) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. Only a local session without spark.checkpoint.dir (tests) gets one of its own; on a cluster a missing one is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
