@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions.text import isbn_digits, present, read_year, strip
 from dossierlake.llm import bpe, canonical, mixing, overlap, pieces, private, quota, splits
-from dossierlake.session import cut_lineage, shared_path, table, write_shared
+from dossierlake.session import cut_lineage, shared_path, table, text_table, write_shared
 
 
 def country_trie(spark: SparkSession, d: str) -> canonical.Trie:
@@ -73,14 +73,14 @@ def p1_kept(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    pairs = overlap.cross_split_pairs(table(spark, d, "training"), table(spark, d, "testing"), "row_id", "staff", isbn_digits(F.col("print_isbn")))
+    pairs = overlap.cross_split_pairs(text_table(spark, d, "training"), text_table(spark, d, "testing"), "row_id", "staff", isbn_digits(F.col("print_isbn")))
     return pairs.select(F.col("train_id").alias("train_row_id"), F.col("test_id").alias("test_row_id"))
 
 
 def p3_coverage(spark: SparkSession, d: str) -> DataFrame:
     """How much of each row of testing training has: pairs, the share of words its best match leaves unchanged, and the share in shared passages."""
-    testing = table(spark, d, "testing")
-    found = overlap.cross_split_coverage(table(spark, d, "training"), testing, "row_id", "staff", isbn_digits(F.col("print_isbn")))
+    testing = text_table(spark, d, "testing")
+    found = overlap.cross_split_coverage(text_table(spark, d, "training"), testing, "row_id", "staff", isbn_digits(F.col("print_isbn")))
     return found.withColumnRenamed("test_id", "test_row_id").join(testing.select(F.col("row_id").alias("test_row_id"), "split", "label_source"), "test_row_id")
 
 
@@ -116,7 +116,7 @@ def p4_unmatched(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_pieces(spark: SparkSession, d: str) -> DataFrame:
-    both = pieces.sides(table(spark, d, "df_documents"), "row_id", ["staff", "buff"])
+    both = pieces.sides(text_table(spark, d, "df_documents"), "row_id", ["staff", "buff"])
     return pieces.cut_texts(both, ["row_id", "side"], "text")
 
 
@@ -182,7 +182,7 @@ def p7_drawn(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
-    return bpe.encode(table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
+    return bpe.encode(text_table(spark, d, "documents"), "doc_id", "text").select(F.col("id").alias("doc_id"), "ids")
 
 
 def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
@@ -192,7 +192,7 @@ def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
 
 def source_tokens(spark: SparkSession, d: str) -> DataFrame:
     """(id, source, n): the tokens of each document. The counts are written first: a join's plan, which is kept in many versions, then holds no vocabulary."""
-    counts = write_shared(bpe.encode(table(spark, d, "documents"), "doc_id", "text").select("id", F.size("ids").cast("long").alias("n")))
+    counts = write_shared(bpe.encode(text_table(spark, d, "documents"), "doc_id", "text").select("id", F.size("ids").cast("long").alias("n")))
     sources = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "source").where("source is not null")
     return write_shared(sources.join(counts, "id").select("id", "source", "n"))
 
@@ -228,7 +228,7 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
 
 def mentions(spark: SparkSession, d: str) -> DataFrame:
     names = private.given_names(table(spark, d, "given_names"), "given_name")
-    return private.find_private(table(spark, d, "documents"), "doc_id", "text", names)
+    return private.find_private(text_table(spark, d, "documents"), "doc_id", "text", names)
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
