@@ -173,3 +173,15 @@ def decode(ids: Column, path: str | None = None) -> Column:
     by_id = {v: k.hex().upper() for k, v in ranks.items()}
     pieces = F.split(F.lit(",".join(by_id[i] for i in range(len(by_id)))), ",")
     return F.decode(F.unhex(F.array_join(F.transform(ids, lambda i: F.get(pieces, i)), "")), "UTF-8")
+
+
+def message_tokens(df: DataFrame, id_col: str, messages: str, path: str | None = None, per_message: int = 3, reply: int = 3) -> DataFrame:
+    """(id, n_tokens, n_answer) for chats, arrays of (role, content): tokens of all roles and contents with a fixed number more for
+    each message and for the reply that follows, and tokens of the assistant's contents alone. A null or empty chat has the
+    reply's tokens only; null contents have none. Ids must be unique."""
+    parts = df.select(F.col(id_col).alias("id"), F.posexplode(messages).alias("no", "m"))
+    words = parts.select(F.struct("id", F.lit(False).alias("answer")).alias("k"), F.col("m.role").alias("t")).unionByName(parts.select(F.struct("id", (F.col("m.role") == "assistant").alias("answer")).alias("k"), F.col("m.content").alias("t")))
+    sums = encode(words, "k", "t", path).select("id.id", F.size("ids").cast("long").alias("n"), F.col("id.answer").alias("answer"))
+    per = sums.groupBy("id").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("answer"), F.col("n")).otherwise(0)).alias("n_answer"))
+    chats = df.select(F.col(id_col).alias("id"), F.greatest(F.size(messages), F.lit(0)).alias("n_messages"))
+    return chats.join(per, "id", "left").select("id", (F.coalesce("n", F.lit(0)) + per_message * F.col("n_messages") + reply).alias("n_tokens"), F.coalesce("n_answer", F.lit(0)).alias("n_answer"))

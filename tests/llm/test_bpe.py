@@ -54,3 +54,11 @@ def test_hash_is_sparks(spark):
     words = ["", "a", " the", "é", "日本語", "abcd", "abcde", "abcdefg\u00ff", "F0A1", "x" * 63]
     rows = spark.createDataFrame([(w,) for w in words], "w string").select("w", F.hash("w").alias("h")).collect()
     assert {r["w"]: r["h"] for r in rows} == {w: bpe.spark_hash(w.encode()) for w in words}
+
+
+def test_tokens_of_chats(spark, encoding):
+    chats = {1: [("system", "Judge it."), ("user", "Growth  was strong"), ("assistant", "mostly agree")], 2: [("user", None)], 3: [], 4: None}
+    df = spark.createDataFrame([(i, m) for i, m in chats.items()], "doc_id bigint, messages array<struct<role:string,content:string>>")
+    n = lambda t: len(encoding.encode_ordinary(t or ""))
+    want = {i: (sum(3 + n(r) + n(t) for r, t in m or []) + 3, sum(n(t) for r, t in m or [] if r == "assistant")) for i, m in chats.items()}
+    assert {r["id"]: (r["n_tokens"], r["n_answer"]) for r in bpe.message_tokens(df, "doc_id", "messages").collect()} == want
