@@ -95,6 +95,13 @@ def lag_by_year(df: DataFrame, key: str, at: str, value: str) -> DataFrame:
     return df.withColumn("lagged", before).withColumns({"change": F.col(value) - F.col("lagged"), "growth": F.when(F.col("lagged") != 0, F.col(value) / F.col("lagged") - 1)})
 
 
+def lag_of_change(df: DataFrame, key: str, at: str, value: str) -> DataFrame:
+    """lag_by_year, and the change of the year before as change_lagged; null where one of the three years is missing."""
+    w = Window.partitionBy(key).orderBy(at)
+    changed = lag_by_year(df, key, at, value)
+    return changed.withColumn("change_lagged", F.when(F.lag(at).over(w) == F.col(at) - 1, F.lag("change").over(w)))
+
+
 def first_and_second(df: DataFrame, key: str, order: list[Column], value: str) -> DataFrame:
     """(key, first, second): the first two values of each key, such as two annotators' labels."""
     w = Window.partitionBy(key).orderBy(*order)

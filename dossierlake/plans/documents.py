@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from dossierlake.functions import lists, stance, text
 from dossierlake.operators import chat, evaluation as ev, lines, models, reports, stages, tables
-from dossierlake.plans.oracle import CLEAN, LABELLED
+from dossierlake.plans.oracle import CLEAN, LABELLED, WS, aliases
 from dossierlake.plans.reference import TOPICS, labelled
 from dossierlake.session import table, text_table
 from dossierlake.streaming.merge import windowed_counts
@@ -178,6 +178,20 @@ def probit_model(spark, d):
 
 
 ORACLE = {
+    "readability": f"""with t as (select doc_id, lower({CLEAN('text')}) as t from documents where text is not null),
+ w as (select doc_id, t, list_filter(regexp_split_to_array(t, '[^\\p{{L}}\\p{{N}}'']+'), lambda x: x <> '') as w from t),
+ c as (select doc_id, len(w) as n, len(list_distinct(w)) as d, greatest(len(regexp_extract_all(t, '[.!?]+(?:\\s|$)')), 1) as s, greatest(len(regexp_extract_all(t, '[aeiouyáéíóúàèùâêîôû]+')), 1) as v, len(list_filter(w, lambda x: regexp_matches(x, '[aeiouy]+[^aeiouy]+[aeiouy]+[^aeiouy]+[aeiouy]'))) as h, length(regexp_replace(t, '[^\\p{{L}}\\p{{N}}]+', '', 'g')) as l from w)
+ select doc_id, cast(n as int) as words, cast(d as int) as distinct_words, cast(s as int) as sentences, d / nullif(n, 0) as type_token_ratio, n / nullif(s, 0) as sentence_length,
+ 206.835::double - 1.015::double * (n / s) - 84.6::double * (v / nullif(n, 0)) as flesch_ease, 0.39::double * (n / s) + 11.8::double * (v / nullif(n, 0)) - 15.59::double as flesch_grade,
+ 0.4::double * (n / s + 100 * (h / nullif(n, 0))) as fog, 1.043::double * sqrt(h * 30 / s) + 3.1291::double as smog, 4.71::double * (l / nullif(n, 0)) + 0.5::double * (n / s) - 21.43::double as automated_index,
+ 5.88::double * (l / nullif(n, 0)) - 29.6::double * (s / nullif(n, 0)) - 15.8::double as coleman_liau from c""",
+    "enriched_metadata": f"""with f as (select *, row_number() over (partition by trim(regexp_replace(print_isbn, '{WS}', ' ', 'g')) order by row_id) as rn, trim(regexp_replace(print_isbn, '{WS}', ' ', 'g')) as isbn from df_meta)
+ select isbn as print_isbn, row_id, trim(split_part({CLEAN('title')}, ':', 1)) as head, case when contains({CLEAN('title')}, ':') then trim(substr({CLEAN('title')}, strpos({CLEAN('title')}, ':') + 1)) else '' end as tail, trim(split_part({CLEAN('regions')}, ' | ', 1)) as first_regions,
+ try_cast(nullif(regexp_extract(coalesce(title, ''), '\\b((?:19|20)[0-9]{{2}})\\b', 1), '') as int) as year_in_title, coalesce(regexp_matches(title, '(?i)article\\s*iv'), false) as is_article_iv, a.iso3 from f left join {aliases()} a on lower(trim(split_part({CLEAN('title')}, ':', 1))) = a.k where rn = 1 and isbn <> ''""",
+    "linear_model": f"""with t as (select yr, staff_future_num as y, buff_future_num as x from {LABELLED} where staff_future_num is not null and buff_future_num is not null and yr is not null),
+ m as (select yr, avg(x) as mx, avg(y) as my, count(*) as n from t group by 1), b as (select sum((x - mx) * (y - my)) / sum((x - mx) * (x - mx)) as b from t join m using (yr)), k as (select yr, my - b * mx as a from m, b), z as (select a as base from k order by yr limit 1)
+ select 'const' as term, round(base, 6) as coefficient from z union all select 'buff_future_num', round(b, 6) from b union all select 'yr=' || yr, round(a - base, 6) from k, z where yr <> (select min(yr) from k)""",
+    "batch_lines": f"select row_id, to_json({{custom_id: 'row-' || row_id, method: 'POST', url: '/v1/chat/completions', body: {{model: 'any', messages: [{{role: 'system', content: E'You read statements.\\nReply with JSON of this schema: {{agreement: string}}'}}, {{role: 'user', content: coalesce(country, '') || ' ' || coalesce(cast(year as varchar), '') || ': ' || regexp_replace(coalesce(staff, ''), '^{WS}|{WS}$', '', 'g')}}]}}}})::varchar as line from labelled_monetary_v6",
     "file_roles": "select file_id, package_id, case when regexp_matches(file, '(?i)manifest') then 'manifest' when regexp_matches(file, '(?i)-a[0-9]{3}\\b') or regexp_matches(file, '(?i)^A[0-9]{2}_') then 'article' when regexp_matches(file, '(?i)front') then 'front_matter' when regexp_matches(file, '(?i)issue') then 'issue' when regexp_matches(file, '(?i)book') then 'book' else 'other' end as role, case when regexp_matches(file, '(?i)-a[0-9]{3}\\b') or regexp_matches(file, '(?i)^A[0-9]{2}_') then 2 else 4 end as file_rank, coalesce(try_cast(nullif(regexp_extract(file, '(?i)(?:-a|^A)([0-9]{2,3})', 1), '') as int), 999) as number from articleiv_xml_updated",
     "packages": "select package_id, min(file) as first_path, count(*) as n_files from articleiv_xml_updated group by 1",
     "page_range": "select row_id, min(page) filter (contains(lower(body), 'risks are tilted')) as first_page, least(min(page) filter (contains(lower(body), 'risks are tilted')) + 4, max(page)) as last_page from (select row_id, unnest(string_split(staff, E'\\n\\n')) as body, cast(generate_subscripts(string_split(staff, E'\\n\\n'), 1) - 1 as int) as page from df_documents) group by 1 having count(*) filter (contains(lower(body), 'risks are tilted')) > 0",

@@ -5,12 +5,13 @@ Their SQL states the rules a second time, with its own constants; it takes nothi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from dossierlake.functions import stance, text
 from dossierlake.operators import assembly, evaluation as ev, relational as rel, stages
-from dossierlake.plans.oracle import LABEL, LABELLED, YEAR
-from dossierlake.plans.reference import YEARS, labelled
+from dossierlake.operators.nested import flatten_records
+from dossierlake.plans.oracle import LABEL, LABELLED, PANEL, YEAR
+from dossierlake.plans.reference import YEARS, country_errors, labelled, panel
 from dossierlake.session import table
 
 c = F.col
@@ -181,6 +182,31 @@ def unresolved_reports(spark, d):
     return stages.unresolved(table(spark, d, "df_meta"), table(spark, d, "df_agree"), "print_isbn")
 
 
+def change_lag(spark, d):
+    t = rel.lag_of_change(panel(spark, d, "df", "mon_agreement", "n"), "country", "year", "n")
+    return t.select("country", "year", "n", "change", "change_lagged")
+
+
+def average_error(spark, d):
+    """The mean over countries of the mean absolute difference."""
+    return country_errors(spark, d).agg(F.round(F.avg("mae"), 5).alias("average_mae"), F.count("*").alias("n_countries"))
+
+
+def missing_countries(spark, d):
+    """Countries as df has them that are no name of the reference."""
+    names = table(spark, d, "df").where("country is not null").select("country").distinct()
+    return rel.missing_from(names, table(spark, d, "country_reference"), ["country"])
+
+
+def nested_orders(spark, d):
+    """Orders as JSON records with their lines in an array, flattened again: the lines with their order's key and their place."""
+    lines = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(c("l_linenumber").alias("line"), c("l_partkey").alias("part"), c("l_quantity").cast("double").alias("quantity"), F.struct(c("l_returnflag").alias("flag")).alias("state")))).alias("lines"))
+    records = table(spark, d, "orders").join(lines, c("o_orderkey") == c("l_orderkey"), "left").select("o_orderkey", F.to_json(F.struct(c("o_orderstatus").alias("status"), "lines")).alias("record"))
+    schema = T._parse_datatype_string("status string, lines array<struct<line: bigint, part: bigint, quantity: double, state: struct<flag: string>>>")
+    flat = flatten_records(records, "o_orderkey", "record", schema)["lines"]
+    return flat.select(c("id").alias("o_orderkey"), "parent_key", "pos", c("v_line").alias("line"), c("v_part").alias("part"), c("v_quantity").alias("quantity"), c("`v_state.flag`").alias("flag"))
+
+
 SCALE = lambda x: f"case {x} when 'tightening' then 5 when 'tightening bias' then 4 when 'no change' then 3 when 'loosening bias' then 2 when 'loosening' then 1 end"
 NONE = "('', 'nan', 'n', 'unclear', 'irrelevant')"
 FIRST = lambda t, cols: f"(select print_isbn, {cols} from (select *, row_number() over (partition by print_isbn order by row_id) as rn from {t} where print_isbn is not null) where rn = 1)"
@@ -269,6 +295,10 @@ ORACLE = {
     "season_lookup": f"select row_id, country, season, n as n_training from (select row_id, country, {SEASON} as season from testing) left join (select country, {SEASON} as season, count(*) as n from training where country is not null group by 1, 2) using (country, season)",
     "year_lookup": f"with w as (select country, {YEAR} as y, count(*) as n from df where country is not null and {YEAR} between 2010 and 2024 group by 1, 2) select row_id, a.n as n_df, round(a.n / b.n - 1, 6) as growth from (select row_id, country, {YEAR} as y from training) t left join w a on a.country = t.country and a.y = t.y left join w b on b.country = a.country and b.y = a.y - 1",
     "first_packages": "select file_id, package_id from articleiv_xml_updated where package_id in (select distinct package_id from articleiv_xml_updated where package_id is not null order by 1 limit 20)",
+    "change_lag": f"with p as {PANEL('df', 'mon_agreement')} select a.country, a.year, a.n, a.n - b.n as change, b.n - e.n as change_lagged from p a left join p b on b.country = a.country and b.year = a.year - 1 left join p e on e.country = b.country and e.year = b.year - 1",
+    "average_error": f"select round(avg(m), 5) as average_mae, count(*) as n_countries from (select country, avg(abs(fut_diff)) as m from {LABELLED} where country is not null and fut_diff is not null group by 1)",
+    "missing_countries": "select distinct country from df where country is not null except select country from country_reference",
+    "nested_orders": "select l_orderkey as o_orderkey, cast(l_orderkey as varchar) as parent_key, cast(row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_quantity, l_returnflag) as int) as pos, cast(l_linenumber as bigint) as line, cast(l_partkey as bigint) as part, cast(l_quantity as double) as quantity, l_returnflag as flag from lineitem where l_orderkey in (select o_orderkey from orders)",
     "unresolved_reports": "select print_isbn, case when a and not b then 'missing' else 'unmatched' end as problem from (select print_isbn, max(a) as a, max(b) as b from (select print_isbn, true as a, false as b from df_meta where print_isbn is not null union all select print_isbn, false, true from df_agree where print_isbn is not null) group by 1) where a <> b",
 }
 

@@ -40,7 +40,7 @@ def _match(by: str) -> str:
     return f"(select {by}, variable, count(*) as valid, cast(sum(case when a = b then 1 else 0 end) as bigint) as matches, round(avg(case when a = b then 1.0 else 0.0 end), 6) as rate from ({one('current')} union all {one('future')}) group by {by}, variable)"
 
 
-def _aliases() -> str:
+def aliases() -> str:
     spelled = f"select ref_id, iso3, income, {ALIAS_KEY('country')} as k from country_reference union all select ref_id, iso3, income, {ALIAS_KEY('country_1')} from country_reference"
     turned = f"select * from ({spelled}) union all select ref_id, iso3, income, trim(split_part(k, ',', 2)) || ' ' || trim(split_part(k, ',', 1)) from ({spelled}) where contains(k, ',')"
     toggled = f"select * from ({turned}) union all select ref_id, iso3, income, case when starts_with(k, 'the ') then k[5:] else 'the ' || k end from ({turned})"
@@ -73,7 +73,7 @@ def oracle_sql() -> dict[str, str]:
         "shared_keys": "select print_isbn from training where print_isbn is not null intersect select print_isbn from testing",
         "unshared_keys": "select print_isbn from df_meta where print_isbn is not null except select print_isbn from training",
         "overlap_ratio": "select n as both, round(n / least((select count(distinct print_isbn) from training), (select count(distinct print_isbn) from testing)), 6) as ratio from (select count(*) as n from (select print_isbn from training where print_isbn is not null intersect select print_isbn from testing))",
-        "country_resolve": f"select row_id, prefix, iso3, income from (select row_id, trim({HEAD}) as prefix from df_meta) left join {_aliases()} on lower(prefix) = k",
+        "country_resolve": f"select row_id, prefix, iso3, income from (select row_id, trim({HEAD}) as prefix from df_meta) left join {aliases()} on lower(prefix) = k",
         "title_fields": f"select row_id, trim({HEAD}) as head, case when contains({CLEAN('title')}, ':') then trim(substr({CLEAN('title')}, strpos({CLEAN('title')}, ':') + 1)) else '' end as tail, try_cast(nullif(regexp_extract(coalesce(title, ''), '\\b((?:19|20)[0-9]{{2}})\\b', 1), '') as int) as title_year, coalesce(regexp_matches(title, '(?i)article\\s*iv'), false) as is_aiv, trim(split_part({CLEAN('regions')}, ' | ', 1)) as first_region, coalesce(regexp_matches(publication_date, '(?i)\\b[0-9]{{4}}\\b|\\b(?:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*\\b|\\b[0-9]{{1,2}}[-/.][0-9]{{1,2}}[-/.][0-9]{{2,4}}\\b'), false) as dated from df_meta",
         "fence_recover": "select row_id, coalesce(agreement_gpt0, json_extract_string(bare, '$.agreement')) as agreement, bare from (select row_id, agreement_gpt0, trim(regexp_replace(error_gpt0, '```[A-Za-z]*', '', 'g'), E' \\n') as bare from df_agree)",
         "panel_outer": f"select country, year, a.n as n_df, b.n as n_agree from {PANEL('df', 'mon_agreement')} a full join {PANEL('df_agree', 'agreement_gpt0')} b using (country, year)",

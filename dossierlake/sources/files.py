@@ -14,6 +14,12 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     return df.withColumn(source_column, F.col("_metadata.file_name")) if source_column else df
 
 
+def read_results(spark: SparkSession, root: str, suffix: str = ".csv", label: str = "disagreement_areas") -> DataFrame:
+    """All CSV files below a folder as one table of text, with their name as source_file; rows whose label is an empty list are left out, those without the label stay."""
+    files = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}").option("header", True).option("multiLine", True).option("escape", '"').csv(root)
+    return files.withColumn("source_file", F.col("_metadata.file_name")).where(F.coalesce(F.trim(label) != "[]", F.lit(True)))
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One JSON value for each line: (line) without a schema; with one, its fields and `broken`, the text of lines that do not parse."""
     lines = spark.read.text(path).where(F.trim("value") != "")
@@ -111,18 +117,6 @@ def markdown_report(metrics: DataFrame, title: str, most: int = 1000) -> str:
     return "\n".join([f"# {title}", "", line(metrics.columns), line(["---"] * len(metrics.columns)), *(line(map(show, r)) for r in rows)]) + "\n"
 
 
-def read_sheet(spark: SparkSession, path: str, sheet: str | int = 0) -> DataFrame:
-    """A sheet of a workbook, all cells as text. Needs openpyxl; workbooks are read on the driver, so they are for reference lists, not for data."""
-    try:
-        import openpyxl  # noqa: F401
-    except ImportError as e:
-        raise RuntimeError("reading workbooks needs openpyxl; export the sheet as CSV or Parquet instead") from e
-    import pandas as pd
-
-    frame = pd.read_excel(path, sheet_name=sheet, dtype=str)
-    return spark.createDataFrame(frame.where(frame.notna(), None), ", ".join(f"`{c}` string" for c in frame.columns))
-
-
 def read_pdf_pages(spark: SparkSession, root: str) -> DataFrame:
     """(path, page, body) of the pages of PDF files, extracted in the tasks. Needs pypdf."""
     try:

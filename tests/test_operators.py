@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from dossierlake.operators import aggregate as agg, chat, evaluation as ev, lines, models, relational as rel, reports, tables
 from dossierlake.plans import reference
-from dossierlake.sources import files
+from dossierlake.sources import files, office
 from dossierlake.streaming.merge import merge_stream, windowed_counts
 
 
@@ -192,3 +192,59 @@ def test_carried_forward_keeps_later_years(spark, small):
     assert any(year > 2021 for _, year in panel)
     got = [tuple(r) for r in reference.carried_forward(spark, small).select("country", "year", "n").collect()]
     assert sorted(got) == sorted((*k, n) for k, n in want.items())
+
+
+def test_workbooks_there_and_back(spark, tmp_path):
+    one = spark.createDataFrame([(1, "a & <b>", 1.5), (2, None, None), (3, " two\nlines ", -2.0)], "n int, t string, x double")
+    names = office.write_workbook_file({"A/B": one, "A?B": one.limit(0), "Other": one.select("t")}, str(tmp_path / "w.xlsx"))
+    assert names == ["A_B", "A_B_2", "Other"]
+    (tmp_path / "bad.xlsx").write_bytes(b"no zip")
+    rows = office.read_workbooks(spark, "file://" + str(tmp_path))
+    assert [r["path"].endswith("bad.xlsx") for r in rows.where("error is not null").collect()] == [True]
+    got = {(r["sheet"], r["row_no"]): (r["n"], r["t"], r["missing"]) for r in office.sheet_table(rows, ["n", "t", "missing"]).collect()}
+    assert got == {("A_B", 2): ("1", "a & <b>", None), ("A_B", 3): ("2", None, None), ("A_B", 4): ("3", " two\nlines ", None), ("Other", 2): (None, "a & <b>", None), ("Other", 4): (None, " two\nlines ", None)}
+
+
+def test_workbook_with_shared_strings():
+    import io
+    import zipfile
+
+    buffer, main = io.BytesIO(), 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {main} xmlns:r="u"><sheets><sheet name="S" sheetId="1" r:id="x"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="x" Target="/xl/worksheets/s.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f"<sst {main}><si><t>one</t></si><si><r><t>t</t></r><r><t>wo</t></r></si></sst>")
+        z.writestr("xl/worksheets/s.xml", f'<worksheet {main}><sheetData><row r="1"><c r="A1" t="s"><v>0</v></c><c r="C1" t="s"><v>1</v></c></row><row r="2"/><row r="3"><c r="B3" t="b"><v>1</v></c><c r="AA3"><v>2.5</v></c></row></sheetData></worksheet>')
+    assert list(office.sheet_rows(buffer.getvalue())) == [("S", 1, ["one", None, "two"]), ("S", 3, [None, "TRUE", *[None] * 24, "2.5"])]
+
+
+def test_word_processor_files(spark, tmp_path):
+    import zipfile
+
+    w = 'xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"'
+    body = "<w:p><w:r><w:t>Hello </w:t></w:r><w:r><w:t>there</w:t></w:r></w:p><w:tbl><w:tr><w:tc><w:p><w:r><w:t>Risk</w:t></w:r></w:p></w:tc><w:tc><w:p/></w:tc></w:tr></w:tbl><w:p/>"
+    with zipfile.ZipFile(tmp_path / "d.docx", "w") as z:
+        z.writestr("word/document.xml", f"<w:document {w}><w:body>{body}</w:body></w:document>")
+    with zipfile.ZipFile(tmp_path / "e.docx", "w") as z:
+        z.writestr("x", "")
+    got = sorted(((r["block_no"] or 0, r["kind"], r["text"], r["cells"], r["error"] is None) for r in office.read_documents(spark, str(tmp_path)).collect()))
+    assert got == [(0, None, None, None, False), (1, "p", "Hello there", None, True), (2, "table", None, [["Risk", ""]], True), (3, "p", "", None, True)]
+
+
+def test_results_of_many_files(spark, tmp_path):
+    for n, rows in (("a", 'x,disagreement_areas\n1,[]\n2,"[\'t\']"\n'), ("b", "x,disagreement_areas\n3,\n")):
+        (tmp_path / n).mkdir()
+        (tmp_path / n / f"{n}.csv").write_text(rows)
+    assert sorted((r["x"], r["source_file"]) for r in files.read_results(spark, str(tmp_path)).collect()) == [("2", "a.csv"), ("3", "b.csv")]
+
+
+def test_lag_of_change(spark):
+    df = spark.createDataFrame([("a", 2010, 1), ("a", 2011, 3), ("a", 2012, 4), ("a", 2014, 9)], "c string, y int, v int")
+    assert {r["y"]: (r["change"], r["change_lagged"]) for r in rel.lag_of_change(df, "c", "y", "v").collect()} == {2010: (None, None), 2011: (2, None), 2012: (1, 2), 2014: (None, None)}
+
+
+def test_long_documents_and_contents(spark):
+    text = "Table of Contents\nIntroduction ....... 1\nOutlook 2\n" + "A paragraph that runs on and on without an end here\n" * 400 + "CONTENTS\nLast part of it 9\nThe end of the text is here at last."
+    got = lines.process_documents(spark.createDataFrame([(1, text), (1, text)], "id bigint, t string"), "id", "t").collect()
+    assert len(got) == 2 and got[0]["n_lines"] == 406 and "Introduction" not in got[0]["text"] and "Last part" not in got[0]["text"]
+    assert got[0]["n_kept"] == 14 and got[0]["text"].endswith("The end of the text is here at last.")  # thirty lines a paragraph
