@@ -15,7 +15,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import reduce
 from html.entities import html5
 from xml.parsers import expat
 
@@ -181,8 +180,22 @@ def flatten_records(df: DataFrame, id_col: str, record: str, schema: T.StructTyp
     return tables
 
 
-def _level_arrays(t: T.StructType, at: Column) -> list[tuple[str, Column, T.StructType]]:
-    return [(n, c, e) for n, c, e in _children(t, at) if n in KINDS]
+ELEMENT = "kind: string, node_no: int, parent_sec_no: int, pos: int, text: string"
+
+
+def _elements(t: T.StructType, v: Column, parent: Column, with_text: bool) -> tuple[Column, T.StructType | None]:
+    """(array, type): the elements directly in a section v of type t, as structs of ELEMENT and `v`, the section itself where it may hold more (null for other kinds); the type is that of `v`, or null if there is nothing below."""
+    arrays = {n: (c, e) for n, c, e in _children(t, v) if n in KINDS}
+    below = arrays["sec"][1] if "sec" in arrays and any(n in KINDS for n in arrays["sec"][1].fieldNames()) else None
+
+    def one(kind: str):
+        return lambda e, at: F.struct(
+            F.lit(kind).alias("kind"), e["no"].cast("int").alias("node_no"), parent.alias("parent_sec_no"), (at + 1).cast("int").alias("pos"),
+            (e["text"] if with_text and kind != "sec" else F.lit(None).cast("string")).alias("text"), *([(e if kind == "sec" else F.lit(None).cast(below)).alias("v")] if below else []),
+        )
+
+    found = [F.coalesce(F.transform(c, one(kind)), F.array()) for kind, (c, _) in arrays.items()]
+    return F.concat(*found) if found else F.array(), below
 
 
 def section_tables(df: DataFrame, id_col: str, content: str, with_text: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -192,27 +205,20 @@ def section_tables(df: DataFrame, id_col: str, content: str, with_text: bool = T
     kind) and text (null for sections and without with_text). rejects: id, error. Null, empty and damaged contents are
     rejects; a repeated id keeps the rows of both files; an empty table gives two empty tables.
 
-    One level of the merged schema at a time: its elements are exploded, and its sections go on to the next, with their
-    number as the parent's key; there are no joins and no shuffles.
+    Every record is parsed once. Each level of the merged schema is one explode: a section becomes its own row and a row for each
+    element in it, with its number as the parent's key, and rows of upper levels pass through; no joins and no shuffles.
     """
     records = cut_lineage(xml_records(df, id_col, content, with_text))
     rejects = records.where("error is not null").select("id", "error")
     good = records.where("record is not null").select("id", "record", "parent")
-    parts: list[DataFrame] = []
-    schema = merged_schema(good, "record")
-    level, t = good.select("id", "parent", F.from_json("record", schema).alias("v")) if schema.fields else None, schema
-    while level is not None:
-        arrays = {kind: (array, element) for kind, array, element in _level_arrays(t, F.col("v"))}
-        row = lambda kind: lambda e, at: F.struct(F.lit(kind).alias("kind"), e["no"].cast("int").alias("node_no"), (at + 1).cast("int").alias("pos"), (e["text"] if with_text and kind != "sec" else F.lit(None).cast("string")).alias("text"))
-        if arrays:
-            rows = F.flatten(F.array(*(F.coalesce(F.transform(array, row(kind)), F.array()) for kind, (array, _) in arrays.items())))
-            parts.append(level.select("id", "parent", F.explode(rows).alias("e")).select("id", "e.kind", "e.node_no", F.col("parent").alias("parent_sec_no"), "e.pos", "e.text"))
-        if "sec" not in arrays:
-            break
-        array, element = arrays["sec"]
-        below = level.select("id", F.explode(array).alias("v")).select("id", F.col("v.no").cast("int").alias("parent"), "v")
-        level, t = (below, element) if any(n in KINDS for n in element.fieldNames()) else (None, t)
-    if not parts:
-        empty = df.sparkSession.createDataFrame([], "kind string, node_no int, parent_sec_no int, pos int, text string")
-        return records.select("id").limit(0).crossJoin(empty), rejects
-    return reduce(DataFrame.unionByName, parts), rejects
+    t = merged_schema(good, "record")
+    if not any(n in KINDS for n in t.fieldNames()):
+        return records.select("id", F.explode(F.array().cast(f"array<struct<{ELEMENT}>>")).alias("e")).select("id", "e.*"), rejects
+    parsed = good.select("id", "parent", F.from_json("record", t).alias("v"))
+    found, below = _elements(t, F.col("v"), F.col("parent"), with_text)
+    level = parsed.select("id", F.explode(found).alias("e"))
+    while below is not None:
+        inside, deeper = _elements(below, F.col("e.v"), F.col("e.node_no"), with_text)
+        own = F.struct(*(F.col(f"e.{n}").alias(n) for n in ("kind", "node_no", "parent_sec_no", "pos", "text")), *([F.lit(None).cast(deeper).alias("v")] if deeper else []))
+        level, below = level.select("id", F.explode(F.concat(F.array(own), inside)).alias("e")), deeper
+    return level.select("id", "e.kind", "e.node_no", "e.parent_sec_no", "e.pos", "e.text"), rejects
