@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from dossierlake.functions.stance import no_disagreement, nn
+from dossierlake.functions.stance import BUCKETS, bucket, nn, no_disagreement, recode
 from dossierlake.functions.text import strip
 
 
@@ -45,6 +47,23 @@ def share_by(df: DataFrame, by: str, category: str, order: list[str]) -> DataFra
     return counted.withColumn("share", F.round(F.col("n") / whole, 6))
 
 
+def slug(value: Column) -> Column:
+    """A name as part of a column name: lower case, other signs than letters and digits as single underscores."""
+    return F.regexp_replace(F.regexp_replace(F.lower(strip(value)), r"[^\p{L}\p{N}]+", "_"), "^_|_$", "")
+
+
+def pivot_stances(df: DataFrame, keys: list[str], author: str, fields: list[str], order: str, author_map: dict[str, str] | None = None, authors: tuple[str, ...] = ("staff", "buff")) -> DataFrame:
+    """One row for each key with <author>_<field>: the first label that is there, by `order`. author_map renames authors before they become part of a name; authors outside the list are left out."""
+    put = df.withColumn("_author", slug(recode(F.col(author), author_map or {})))
+    first = lambda a, f: F.min_by(F.col(f), F.when((F.col("_author") == a) & F.col(f).isNotNull(), F.col(order))).alias(f"{a}_{f}")
+    return put.where(F.col("_author").isin(*authors)).groupBy(*keys).agg(*(first(a, f) for a in authors for f in fields))
+
+
+def compare_shares(df: DataFrame, by: str, diff: str, bucket: Callable[[Column], Column] = bucket, order: tuple[str, ...] = BUCKETS) -> DataFrame:
+    """(by, bucket, n, share): how differences fall into buckets, which the caller may name otherwise; unknown differences are left out."""
+    return share_by(df.where(F.col(diff).isNotNull()).select(by, bucket(F.col(diff)).alias("bucket")), by, "bucket", list(order))
+
+
 def crosstab(df: DataFrame, rows: str, columns: str) -> DataFrame:
     """Counts by row and column with margins, as a cube; margins are 'All'."""
     named = df.where(F.col(rows).isNotNull() & F.col(columns).isNotNull()).select(F.col(rows).alias("r"), F.col(columns).alias("c"))

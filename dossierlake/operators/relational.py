@@ -82,10 +82,10 @@ def next_event(df: DataFrame, events: DataFrame, key: str, at: str, event_at: st
 
 
 def ever_and_after(df: DataFrame, key: str, at: str, flag: str) -> DataFrame:
-    """flag_ever: whether the key ever has the flag; flag_after: whether it had it at an earlier time."""
-    w = Window.partitionBy(key)
-    earlier = w.orderBy(at).rangeBetween(Window.unboundedPreceding, -1)
-    return df.withColumns({f"{flag}_ever": F.max(flag).over(w), f"{flag}_after": F.coalesce(F.max(flag).over(earlier), F.lit(0))})
+    """flag_ever: whether the key ever has the flag (1); flag_after: whether it had it at an earlier time. The first time of each key is aggregated and joined, so no key gathers in a window; null keys have 0 and 0."""
+    first = df.where(F.col(flag) == 1).groupBy(key).agg(F.min(at).alias("_first"))
+    as_int = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    return df.join(first, key, "left").withColumns({f"{flag}_ever": F.col("_first").isNotNull().cast("int"), f"{flag}_after": as_int(F.col(at) > F.col("_first"))}).select(*df.columns, f"{flag}_ever", f"{flag}_after")
 
 
 def lag_by_year(df: DataFrame, key: str, at: str, value: str) -> DataFrame:

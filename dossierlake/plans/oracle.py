@@ -9,6 +9,7 @@ YEAR = "try_cast(nullif(regexp_extract(cast(year as varchar), '((?:19|20)[0-9]{2
 SQUASH = lambda c: f"trim(regexp_replace({c}, '{WS}', ' ', 'g'))"
 CLEAN = lambda c: f"coalesce({SQUASH(c)}, '')"
 PRESENT = lambda c: f"case when lower({SQUASH(c)}) not in ('','nan','n/a','na','none','null','-','--','[]','nil','n.a.') then {SQUASH(c)} end"
+LOWERED = lambda c: f"lower(nullif({SQUASH(c)}, ''))"
 DATASET = f"""(select *, {YEAR} as yr, case upper({SQUASH('classification')}) when 'AES' then 'AEs' when 'AE' then 'AEs' when 'EMDES' then 'EMDEs' when 'EMDE' then 'EMDEs' when 'LICS' then 'LICs' when 'LIC' then 'LICs' when 'LC' then 'LICs' end as grp from df)"""
 LABEL = lambda c: f"case when {c} is null or lower({SQUASH(c)}) in ('','nan','none','null') then 'irrelevant' else lower({SQUASH(c)}) end"
 CUR = lambda c: f"cast(case {c} when 'restrictive' then 1 when 'neutral' then 0 when 'accommodative' then -1 end as double)"
@@ -61,7 +62,7 @@ def oracle_sql() -> dict[str, str]:
         "stance_agreement": f"select row_id, case abs(fut_diff) when 4 then 'major difference' when 3 then 'major difference' when 2 then 'some difference' when 1 then 'minor difference' when 0 then 'no difference' else 'irrelevant' end as size_label, case fut_diff when 4 then 'significantly tighter' when 3 then 'significantly tighter' when 2 then 'tighter' when 1 then 'moderately tighter' when 0 then 'same' when -1 then 'moderately looser' when -2 then 'looser' when -3 then 'significantly looser' when -4 then 'significantly looser' else 'irrelevant' end as direction_label, {AGREE_CUR} as agree_current, {AGREE_FUT} as agree_future from {LABELLED}",
         "policy_mix": f"select yr, 'M' || {WAY('staff_future')} || 'F' || {WAY('buff_future')} as mix, count(*) as n from {LABELLED} group by 1, 2",
         "agreement_overall": "select row_id, mon, fis, coalesce((mon = 1 and fis = 1) or (mon is null and fis = 1) or (fis is null and mon = 1), false) as agreement_overall from (select row_id, cast(case mon_agreement when 'mostly agree' then 1 when 'disagreement exists' then 0 end as double) as mon, cast(case fis_agreement when 'mostly agree' then 1 when 'disagreement exists' then 0 end as double) as fis from df)",
-        "stance_wide": f"select c, yr, {', '.join(f'arg_min({x}, row_id) as {x}' for x in ('staff_current', 'staff_future', 'buff_current', 'buff_future'))} from (select *, {PRESENT('country')} as c from {LABELLED}) where c is not null and yr is not null group by c, yr",
+        "stance_wide": f"select c, yr, {', '.join(f'arg_min({w}_{k}, row_id) as {w}_{k}' for w in ('staff', 'buff') for k in ('current', 'future'))} from (select row_id, {PRESENT('country')} as c, {YEAR} as yr, {', '.join(LOWERED(f'{w}_stance_{k}') + f' as {w}_{k}' for w in ('staff', 'buff') for k in ('current', 'future'))} from training) where c is not null and yr is not null group by c, yr",
         "agreement_pivot": "select print_isbn, country, year, " + ", ".join(f"nullif(string_agg(text, ' ' order by doc_id) filter (source = '{s}' and trim(text, E' \\n\\r\\t  ') <> ''), '') as {s}" for s in ("staff_report", "buff_statement")) + " from documents where source in ('staff_report', 'buff_statement') and print_isbn is not null and country is not null and year is not null group by print_isbn, country, year",
         "text_by_topic": "select print_isbn, source, topic, string_agg(text, E'\\n\\n' order by doc_id) as text from (" + " union all ".join(f"select print_isbn, source, doc_id, text, '{t}' as topic from documents where {HAS('text', w)}" for t, w in TOPICS.items()) + ") where source is not null and print_isbn is not null group by print_isbn, source, topic",
         "paragraph_explode": "select row_id, print_isbn, kind, cast(ord - 1 as int) as ord, paragraph from (select *, row_number() over (partition by print_isbn, kind, paragraph order by row_id, side_no, ord) as rn from (select row_id, print_isbn, side_no, kind, unnest(string_split(body, E'\\n\\n')) as paragraph, generate_subscripts(string_split(body, E'\\n\\n'), 1) as ord from (select row_id, print_isbn, 0 as side_no, 'buff' as kind, buff as body from df_documents union all select row_id, print_isbn, 1, 'staff', staff from df_documents)) where length(paragraph) > 100) where rn = 1",

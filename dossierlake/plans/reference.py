@@ -84,8 +84,7 @@ def stance_share_by_year(spark, d):
 
 
 def stance_compare_share(spark, d):
-    known = labelled(spark, d).where("fut_diff is not null").select("yr", stance.bucket(F.col("fut_diff")).alias("bucket"))
-    return agg.share_by(known, "yr", "bucket", list(stance.BUCKETS))
+    return agg.compare_shares(labelled(spark, d), "yr", "fut_diff")
 
 
 def stance_agreement(spark, d):
@@ -107,10 +106,11 @@ def agreement_overall(spark, d):
 
 
 def stance_wide(spark, d):
-    """Stances of the first row of each consultation, by author and time, wide."""
-    t = labelled(spark, d).where("yr is not null").withColumn("c", text.present(F.col("country"))).where("c is not null")
-    long = rel.wide_to_long(t, ["row_id", "c", "yr"], ["staff_current", "staff_future", "buff_current", "buff_future"], "what", "label")
-    return long.groupBy("c", "yr").pivot("what", ["staff_current", "staff_future", "buff_current", "buff_future"]).agg(F.min_by("label", "row_id"))
+    """The first stances there are of each consultation, by author and time, wide."""
+    t = table(spark, d, "training").select("row_id", text.present(F.col("country")).alias("c"), text.read_year(F.col("year")).alias("yr"), *(F.lower(text.blank_to_null(F.col(f"{w}_stance_{k}"))).alias(f"{w}_{k}") for w in ("staff", "buff") for k in ("current", "future")))
+    sides = F.explode(F.array(*(F.struct(F.lit(name).alias("author"), F.col(f"{w}_current").alias("current"), F.col(f"{w}_future").alias("future")) for w, name in (("staff", "Staff "), ("buff", "Authorities")))))
+    long = t.where("c is not null and yr is not null").select("row_id", "c", "yr", sides.alias("s")).select("row_id", "c", "yr", "s.*")
+    return agg.pivot_stances(long, ["c", "yr"], "author", ["current", "future"], "row_id", {"Authorities": "buff"})
 
 
 def agreement_pivot(spark, d):

@@ -248,3 +248,25 @@ def test_long_documents_and_contents(spark):
     got = lines.process_documents(spark.createDataFrame([(1, text), (1, text)], "id bigint, t string"), "id", "t").collect()
     assert len(got) == 2 and got[0]["n_lines"] == 406 and "Introduction" not in got[0]["text"] and "Last part" not in got[0]["text"]
     assert got[0]["n_kept"] == 14 and got[0]["text"].endswith("The end of the text is here at last.")  # thirty lines a paragraph
+
+
+def test_ever_and_after(spark):
+    df = spark.createDataFrame([("a", 1, 0), ("a", 2, 1), ("a", 3, 0), ("b", 1, 0), (None, 1, 1), ("c", None, 1)], "k string, y int, f int")
+    got = {(r["k"], r["y"]): (r["f_ever"], r["f_after"]) for r in rel.ever_and_after(df, "k", "y", "f").collect()}
+    assert got == {("a", 1): (1, 0), ("a", 2): (1, 0), ("a", 3): (1, 1), ("b", 1): (0, 0), (None, 1): (0, 0), ("c", None): (0, 0)}
+
+
+def test_stances_wide_and_own_buckets(spark):
+    df = spark.createDataFrame([(1, "k", "STAFF!", None), (2, "k", "staff", "x"), (3, "k", "staff", "y"), (4, "k", "Gov", "z"), (5, "k", "other", "w"), (6, None, "staff", "v")], "o int, k string, who string, s string")
+    got = {r["k"]: (r["staff_s"], r["buff_s"]) for r in agg.pivot_stances(df, ["k"], "who", ["s"], "o", {"Gov": "buff"}).collect()}
+    assert got == {"k": ("x", "z"), None: ("v", None)}
+    diffs = spark.createDataFrame([(1, 2.0), (1, -1.0), (1, None), (2, 0.0)], "y int, d double")
+    shares = agg.compare_shares(diffs, "y", "d", lambda d: F.when(d > 0, "up").otherwise("not up"), ("up", "not up"))
+    assert rows(shares) == [(1, "not up", 1, 0.5), (1, "up", 1, 0.5), (2, "not up", 1, 1.0)]
+
+
+def test_first_rows_are_cut_before_they_meet(spark, small):
+    """Each task keeps the first rows of a group before the shuffle, so a hot group sends a few rows from each."""
+    plan = reference.latest_per_source(spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert "WindowGroupLimit" in reference.both_annotated(spark, small)._jdf.queryExecution().optimizedPlan().toString()
