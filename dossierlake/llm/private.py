@@ -1,7 +1,7 @@
 """Personal data in free text, found by weak supervision and replaced by typed placeholders.
 
 Labelers vote on candidate spans (`spans`); two more know all texts: whether a pair of capitalized words is a fixed
-expression (its second word follows only that first one) or a name (its second word follows many), and whether the second
+expression (its second word follows only that first one) or a name (its second word follows many), and whether either
 word stands elsewhere where only names stand, so that a name is known in phrases no list has. Per kind,
 expectation-maximisation over the vote patterns, whose counts cover every candidate, estimates how reliable each labeler
 is and how likely each pattern is a mention. A logistic model over votes, form, affixes and neighbouring words is then
@@ -63,28 +63,36 @@ def find_candidates(df: DataFrame, id_col: str, text: str, names: frozenset[str]
     return picked.select("id", F.xxhash64("text").alias("text_hash"), F.explode(scan("text")).alias("c")).select("id", "text_hash", "c.*")
 
 
-def expression_votes(found: DataFrame) -> DataFrame:
-    """(second, vote): two votes for each second word, over all different texts. The first: it follows one first word only
-    (-) or many (+). The second: its candidates mostly stand in surroundings that speak for a name (+) or hardly ever (-)."""
+def _of_places(n: Column, backed: Column) -> Column:
+    return F.when((n >= FIXED_LEAST) & (backed / n <= BACKED_LEAST), "-").when((n >= NAME_LEAST) & (backed / n >= BACKED_SHARE), "+").otherwise("0")
+
+
+def expression_votes(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """((second, vote), (first, vote)): what all different texts say of the words of a pair. Two votes for each second word: it
+    follows one first word only (-) or many (+), and it mostly stands where names stand (+) or hardly ever (-). One vote
+    for each first word: the latter."""
     names = found.where("kind = 'name' and first != ''").select("second", "first", "text_hash", F.concat(F.substring("votes", 2, 2), F.substring("votes", 6, 1)).contains("+").alias("backed"))
     pairs = names.groupBy("second", "first", "text_hash").agg(F.max("backed").alias("backed"))
-    words = pairs.groupBy("second", "first").agg(F.count("*").alias("n"), F.count_if("backed").alias("b")).groupBy("second").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("b").alias("b"))
-    share, backed = F.col("most") / F.col("n"), F.col("b") / F.col("n")
+    counted = write_shared(pairs.groupBy("second", "first").agg(F.count("*").alias("n"), F.count_if("backed").alias("b")))
+    seconds = counted.groupBy("second").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("b").alias("b"))
+    share = F.col("most") / F.col("n")
     of_words = F.when((F.col("n") >= FIXED_LEAST) & (share >= FIXED_SHARE), "-").when((F.col("n") >= NAME_LEAST) & (share <= NAME_SHARE), "+").otherwise("0")
-    of_places = F.when((F.col("n") >= FIXED_LEAST) & (backed <= BACKED_LEAST), "-").when((F.col("n") >= NAME_LEAST) & (backed >= BACKED_SHARE), "+").otherwise("0")
-    return words.select("second", F.concat(of_words, of_places).alias("vote")).where("vote != '00'")
+    firsts = counted.groupBy("first").agg(F.sum("n").alias("n"), F.sum("b").alias("b"))
+    by_second = seconds.select("second", F.concat(of_words, _of_places(F.col("n"), F.col("b"))).alias("vote")).where("vote != '00'")
+    return by_second, firsts.select("first", _of_places(F.col("n"), F.col("b")).alias("vote")).where("vote != '0'")
 
 
 def with_expressions(found: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """The candidates, names with two votes more, which the model sees as well."""
-    votes = write_shared(expression_votes(found))
-    size = votes.agg(F.sum(F.length("second") * 2 + 48)).first()[0] or 0
-    names = found.where("kind = 'name'").join(F.broadcast(votes) if size <= broadcast_bytes else votes, "second", "left")
-    at = spans.LABELERS["name"]
-    both = F.coalesce("vote", F.lit("00"))
-    marks = F.array(*(F.concat(F.lit(f"name|v{at + i}"), F.substring(both, i + 1, 1)) for i in range(2)))
+    """The candidates, names with three votes more, which the model sees as well."""
+    names = found.where("kind = 'name'")
+    for word, votes, name, none in zip(("second", "first"), expression_votes(found), ("_of_second", "_of_first"), ("00", "0")):
+        table = write_shared(votes.withColumnRenamed("vote", name))
+        size = table.agg(F.sum(F.length(word) * 2 + 48)).first()[0] or 0
+        names = names.join(F.broadcast(table) if size <= broadcast_bytes else table, word, "left").withColumn(name, F.coalesce(name, F.lit(none)))
+    at, more = spans.LABELERS["name"], F.concat("_of_second", "_of_first")
+    marks = F.array(*(F.concat(F.lit(f"name|v{at + i}"), F.substring(more, i + 1, 1)) for i in range(3)))
     cells = F.transform(F.filter(marks, lambda m: ~F.endswith(m, F.lit("0"))), lambda m: F.pmod(F.crc32(m.cast("binary")), F.lit(CELLS)).cast("int"))
-    voted = names.withColumns({"votes": F.concat("votes", both), "cells": F.concat("cells", cells)}).drop("vote")
+    voted = names.withColumns({"votes": F.concat("votes", more), "cells": F.concat("cells", cells)}).drop("_of_second", "_of_first")
     return found.where("kind != 'name'").unionByName(voted)
 
 

@@ -99,9 +99,12 @@ BEHIND = re.compile(AFTER_NAME, re.I)
 NAMED = re.compile(r"[Nn](?<!\w.)(?:ame|om|ombre|(?<=N)(?:AME|OM|OMBRE))\s?:\s*")
 GIVEN_BEFORE = re.compile(rf"([{U}][{U}{L}’'-]+){GAP}+$")
 #: Words that are no part of a name, also where they are capitalized.
-NOT_NAMES = frozenset("by mr mrs ms dr prof messrs of on behalf the and to in at for from with under some yours sincerely statement prepared approved contact name tel fax phone mobile cc governor minister senior executive advisor director table figure box loan decision".split())
+NOT_NAMES = frozenset("by mr mrs ms dr prof messrs of on behalf the and to in at for from with under some yours sincerely statement prepared approved contact name tel fax phone mobile cc governor minister senior executive advisor director table figure box loan decision"
+    " a an both either neither each every all any no not when while whereas after before although though since once if as that this these those there here then thus hence but or nor so yet because until unless also however"
+    " le la les un une des du de et ou mais donc car quand lorsque si comme selon pour dans sur avec sans el los las una unos y o pero cuando aunque como según para con sin en".split())
 MONTH_NAMES = frozenset("january february march april may june july august september october november december monday tuesday wednesday thursday friday saturday sunday".split())
 MORE_NAME = re.compile(rf"{GAP}+(?P<word>{PART}[{U}][{U}{L}’']+(?:-[{U}][{U}{L}’']+)?)(?![\w@’'])")
+SENTENCE_START = re.compile(r"(?:^|[.!?:;)\n][\"'”’)]*)\s*$")
 #: Honorifics behind a name in Chinese and Japanese.
 HAN = re.compile(r"[\u4e00-\u9fff]{2,4}(?=\u5148\u751f|\u5973\u58eb|\u5c0f\u59d0|\u535a\u58eb|\u6559\u6388|\u90e8\u957f|\u884c\u957f|\u3055\u3093|\u6c0f(?!\w))")
 FRENCH_M = re.compile(r"(?i)(?:\b(?:de|par|à|et|avec|que|selon|pour|chez|le)|\bd[’'])\s+$")
@@ -231,7 +234,7 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
     begins: list[int] = []  # of the accepted spans, in order; no two of them overlap
     ends: list[int] = []
 
-    def add(begin: int, end: int, given: str, family: str, form: str, head: int | None = None) -> None:
+    def add(begin: int, end: int, given: str, family: str, form: str, head: int | None = None, held: bool = True) -> None:
         behind = begin if head is None else head  # a title belongs to the mention's surroundings
         before, after = " " + " ".join(t[max(0, behind - 30) : behind].casefold().split()), t[end : end + 40]
         g = given.casefold().strip(" .")
@@ -246,7 +249,7 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
             -1 if _institution(words) else 0,
             1 if form == "reversed" else -1 if after[:1] == ":" else 0,
         ), given, family)
-        if form != "plain" and form != "middle" or not _institution(words):  # 'Governor Prepared By': the next pair may begin inside
+        if held and (form != "plain" and form != "middle" or not _institution(words)):  # 'Governor Prepared By': the next pair may begin inside
             i = bisect_left(begins, begin)
             begins.insert(i, begin)
             ends.insert(i, end)
@@ -280,7 +283,13 @@ def names(t: str, given_names: frozenset[str]) -> list[Candidate]:
         if not free(m.start(), m.end()) or word(m["given"]) or word(m["family"].split()[-1]):
             at = m.start() + len(m["given"])
             continue
-        add(m.start(), m.end(), m["given"], m["family"], "middle" if m["middle"] else "plain")
+        form, given = "middle" if m["middle"] else "plain", m["given"].casefold()
+        inner = form == "plain" and ' ' not in m["family"].strip() and given not in given_names and SENTENCE_START.search(t[max(0, m.start() - 4) : m.start()]) and FULL.match(t, m.start("family"))
+        if inner and not word(inner["family"].split()[-1]):  # 'Earlier Jane Doe': the first word may only open a sentence, so both pairs are judged
+            add(m.start(), m.end(), m["given"], m["family"], form, held=False)
+            at = m.start("family")
+            continue
+        add(m.start(), m.end(), m["given"], m["family"], form)
         if _institution(f"{m['given']} {m['family']}"):
             at = m.start() + len(m["given"])
     for m in HAN.finditer(t):

@@ -122,8 +122,8 @@ def test_ends_of_mentions(text, kind, want):
         assert w in got, got
 
 
-#: Phrases that no list of the labelers has.
-HELD_OUT = ["Questions were put to our colleague {} in spring. ", "Minutes were kept; {} chaired the panel. ", "An earlier note, drafted jointly, thanks {} for comments. ", "It was {} who signed the memorandum. ", "The desk, headed since May by economist {}, revised it. ", "Slides: {}, for the seminar. "]
+#: Phrases that no list of the labelers has. The labelers over the corpus were worked out with the first six in sight; the rest came later.
+HELD_OUT = ["Questions were put to our colleague {} in spring. ", "Minutes were kept; {} chaired the panel. ", "An earlier note, drafted jointly, thanks {} for comments. ", "It was {} who signed the memorandum. ", "The desk, headed since May by economist {}, revised it. ", "Slides: {}, for the seminar. ", "Thanks are due to {}, who hosted the workshop. ", "{} replied that the numbers were final. ", "Both {} and the desk were absent. ", "Last year {} left the department. ", "Earlier {} had asked for the same table. ", "What {} saw in the ledger was unclear. "]
 
 
 def test_held_out_phrases(spark):
@@ -150,3 +150,11 @@ def test_no_part_of_a_mention_stays(spark):
     clean = [r["text"] for r in private.redact(df, "doc_id", "text", private.find_private(df, "doc_id", "text", GIVEN)).collect()]
     assert sum(any(w in t for w in ("Orlio", "Varova", "Oskulu", "Saltmarsh", "Tarn", "53138", "Flat", "@")) for t in clean) <= 1
     assert all(t.startswith("Growth was strong. Prepared by [NAME] and kept. Letters may be sent to [ADDRESS]. cc: [EMAIL]") for t in clean[:1])
+
+
+def test_first_words_of_sentences(spark):
+    """'Earlier Jane Doe': both pairs are candidates; a given name known to the gazetteer keeps its three words."""
+    at = lambda t: [t[c.begin : c.end] for c in spans.candidates(t, GIVEN) if c.kind == "name"]
+    assert at("It rose. Earlier Kith Varova spoke.") == ["Earlier Kith", "Kith Varova"] and at("It rose. Both Kith Varova spoke.") == ["Kith Varova"]
+    assert at("It rose. Orlio Kith Varova spoke.") == ["Orlio Kith"] and at("then Earlier Kith Varova spoke.") == ["Earlier Kith"]
+    assert "VAN TOLERU" not in at("Approved By\nFITH VAN TOLERU and T. Oskul")
